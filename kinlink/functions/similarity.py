@@ -167,19 +167,14 @@ def indel_ratio_native(a: Column, b: Column) -> Column:
     return F.coalesce(score, F.lit(0.0))
 
 
-def allowed_distance(len_a: Column, len_b: Column, threshold: float) -> Column:
-    """Most insertions and deletions a pair may need and still reach ``threshold``."""
-    return F.floor((1.0 - threshold / 100.0) * (len_a + len_b) + F.lit(1e-9)).cast("int")
+def may_reach(a: str, b: str, threshold: float) -> str:
+    """Lossless SQL test of two columns in generated code: false or null only for pairs below ``threshold``.
 
-
-def may_reach(a: Column, b: Column, threshold: float) -> Column:
-    """Lossless test in generated code: false only for pairs below ``threshold``.
-
-    The insert/delete distance is at least the length difference and at least the Levenshtein distance.
+    A pair may need at most ``limit`` insertions and deletions. That number is at least the length difference and
+    at least the Levenshtein distance.
     """
-    limit = allowed_distance(F.length(a), F.length(b), threshold)
-    near = F.abs(F.length(a) - F.length(b)) <= limit
-    return near & (F.call_function("levenshtein", a, b, limit) >= 0)
+    limit = f"CAST(floor({1.0 - threshold / 100.0!r}D * (length({a}) + length({b})) + 1e-9D) AS INT)"
+    return f"(abs(length({a}) - length({b})) <= {limit} AND levenshtein({a}, {b}, {limit}) >= 0)"
 
 
 def soundex(c: Column) -> Column:

@@ -44,24 +44,22 @@ def assign(
     Blocks whose row pairs number at most ``pairs_per_task`` are settled in one task each; larger ones in rounds
     over the whole cluster.
     """
-    pairs = materialize(pairs, "pairs")
     left_sizes = left_members.groupBy("left_class").agg(F.count("*").alias("left_n"))
     right_sizes = right_members.groupBy("right_class").agg(F.count("*").alias("right_n"))
     sized = pairs.join(left_sizes, "left_class").join(right_sizes, "right_class")
     load = sized.groupBy("block").agg(F.sum(F.col("left_n").cast("double") * F.col("right_n")).alias("load"))
-    load = materialize(load, "load")
-    large = load.where(F.col("load") > pairs_per_task)
-    small = load.where(F.col("load") <= pairs_per_task)
-    rows = (
-        pairs.join(small, "block", "left_semi")
-        .join(left_members, "left_class")
-        .join(right_members, "right_class")
-        .select(_MATCH)
-    )
-    settled = rows.groupBy("block").applyInPandas(greedy, _SCHEMA)
+    large = load.where(F.col("load") > pairs_per_task).select("block")
     if large.isEmpty():
-        return settled
-    return settled.unionByName(assign_in_rounds(sized.join(large, "block", "left_semi"), left_members, right_members))
+        return _in_blocks(pairs, left_members, right_members)
+    large = materialize(large, "large-blocks")
+    settled = _in_blocks(pairs.join(large, "block", "left_anti"), left_members, right_members)
+    sized = materialize(sized.join(large, "block", "left_semi"), "large-pairs")
+    return settled.unionByName(assign_in_rounds(sized, left_members, right_members))
+
+
+def _in_blocks(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
+    rows = pairs.join(left_members, "left_class").join(right_members, "right_class").select(_MATCH)
+    return rows.groupBy("block").applyInPandas(greedy, _SCHEMA)
 
 
 def _units(sized: DataFrame, right_members: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from kinlink.operators.assign import assign
 from kinlink.operators.rules import Rule, passing
 from kinlink.operators.similar import similar_values
 from kinlink.operators.tiles import compare_tiles
-from kinlink.storage import materialize
+from kinlink.storage import materialize, materialize_all
 
 PAIRS_PER_VALUE_PAIR = 100_000
 
@@ -60,51 +60,53 @@ def _as_values(classes: DataFrame, keys: list[str], column: str) -> DataFrame:
     return classes.select(*keys, F.col(column).alias("value"))
 
 
-def _through(
-    lefts: DataFrame,
-    rights: DataFrame,
-    keys: list[str],
-    first: tuple[str, str, float],
-    second: list[tuple[str, str, float]],
-    limit: int,
-) -> DataFrame:
-    """Class pairs whose ``first`` texts are similar; a value pair shared by many classes also needs a ``second``.
+def _value_pairs(lefts: DataFrame, rights: DataFrame, threshold: float, keys: list[str], limit: int) -> DataFrame:
+    """Similar values of both sides and whether they stand for more than ``limit`` class pairs.
 
-    Two streets may be alike for a great many classes on both sides (a filler street, a mall). Above ``limit``
-    class pairs the classes under that value pair meet only through their other texts' similarity.
+    Inputs: classes with ``left_value`` and ``right_value``, one row per class and text.
     """
-    left_text, right_text, threshold = first
-    alike = similar_values(_as_values(lefts, keys, left_text), _as_values(rights, keys, right_text), threshold, keys)
-    left_n = lefts.groupBy(*keys, F.col(left_text).alias("left_value")).agg(F.count("*").alias("left_n"))
-    right_n = rights.groupBy(*keys, F.col(right_text).alias("right_value")).agg(F.count("*").alias("right_n"))
+    a, b = _as_values(lefts, keys, "left_value"), _as_values(rights, keys, "right_value")
+    left_n = lefts.groupBy(*keys, "left_value").agg(F.count("*").alias("left_n"))
+    right_n = rights.groupBy(*keys, "right_value").agg(F.count("*").alias("right_n"))
+    alike = similar_values(a, b, threshold, keys)
     weighed = alike.join(left_n, [*keys, "left_value"]).join(right_n, [*keys, "right_value"])
-    weight = F.col("left_n").cast("double") * F.col("right_n")
-    weighed = materialize(
-        weighed.select(*keys, "left_value", "right_value", (weight > limit).alias("heavy")), "value-pairs"
-    )
+    heavy = F.col("left_n").cast("double") * F.col("right_n") > limit
+    return weighed.select(*keys, "left_value", "right_value", heavy.alias("heavy"))
+
+
+def _meet(pairs: DataFrame, lefts: DataFrame, rights: DataFrame, keys: list[str]) -> DataFrame:
+    met = pairs.join(lefts, [*keys, "left_value"]).join(rights, [*keys, "right_value"])
+    return met.select("block", "left_class", "right_class", *_TEXTS)
 
-    def meet(pairs: DataFrame, a: DataFrame, b: DataFrame, on: list[str], texts: tuple[str, str]) -> DataFrame:
-        met = pairs.join(a.withColumn("left_value", F.col(texts[0])), [*on, "left_value"]).join(
-            b.withColumn("right_value", F.col(texts[1])), [*on, "right_value"]
-        )
-        return met.select("block", "left_class", "right_class", *_TEXTS)
 
-    light = weighed.where(~F.col("heavy"))
-    out = [meet(light, lefts, rights, keys, (left_text, right_text))]
+def _with_texts(classes: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """One row per class and text of ``columns``; a class whose texts are equal appears once."""
+    if len(columns) == 1:
+        return classes.withColumn(name, F.col(columns[0])).where(F.col(name).isNotNull())
+    texts = F.array_compact(F.array_distinct(F.array(*columns)))
+    return classes.withColumn(name, F.explode(texts))
+
+
+def _class_pairs(
+    weighed: DataFrame, lefts: DataFrame, rights: DataFrame, others: tuple[list[str], list[str]], least: float
+) -> DataFrame:
+    """Class pairs under similar values. Where a value pair stands for very many of them (a filler street, a mall),
+    the classes under it meet only through their other texts, which must reach ``least``.
+    """
+    light = _meet(weighed.where(~F.col("heavy")), lefts, rights, ["block"])
     heavy = weighed.where("heavy").select(
-        *keys, F.col("left_value").alias("first_left"), F.col("right_value").alias("first_right")
+        "block", F.col("left_value").alias("first_left"), F.col("right_value").alias("first_right")
     )
     if heavy.isEmpty():
-        return out[0]
-    finer = [*keys, "first_left", "first_right"]
-    few_left = lefts.withColumn("first_left", F.col(left_text)).join(heavy, [*keys, "first_left"])
-    few_right = rights.withColumn("first_right", F.col(right_text)).join(heavy, [*keys, "first_right"])
-    for left_other, right_other, least in second:
-        inner = similar_values(
-            _as_values(few_left, finer, left_other), _as_values(few_right, finer, right_other), least, finer
-        )
-        out.append(meet(inner, few_left, few_right, finer, (left_other, right_other)))
-    return reduce(DataFrame.unionByName, out)
+        return light
+    finer = ["block", "first_left", "first_right"]
+    few_left = lefts.withColumnRenamed("left_value", "first_left").join(heavy, ["block", "first_left"])
+    few_right = rights.withColumnRenamed("right_value", "first_right").join(heavy, ["block", "first_right"])
+    few_left, few_right = _with_texts(few_left, others[0], "left_value"), _with_texts(few_right, others[1], "right_value")
+    inner = similar_values(
+        _as_values(few_left, finer, "left_value"), _as_values(few_right, finer, "right_value"), least, finer
+    )
+    return light.unionByName(_meet(inner, few_left, few_right, finer))
 
 
 _SCORES = T.StructType([T.StructField(f"{c}_score", T.DoubleType()) for c in ("street", "name", "parent")])
@@ -124,40 +126,42 @@ def _score_udf(
     )
 
 
-def _any_rule_may_pass(rules: list[Rule]) -> Column:
-    def reach(a: str, b: str, threshold: float) -> Column:
-        return F.coalesce(may_reach(F.col(a), F.col(b), threshold), F.lit(False))
+def _any_rule_may_pass(rules: list[Rule]) -> str:
+    def test(r: Rule) -> str:
+        own = may_reach("left_name", "name", r.name)
+        other = may_reach("left_name", "parent", r.parent)
+        return f"({may_reach('left_street', 'street', r.street)} AND (coalesce({own}, false) OR coalesce({other}, false)))"
 
-    tests = [
-        reach("left_street", "street", r.street)
-        & (reach("left_name", "name", r.name) | reach("left_name", "parent", r.parent))
-        for r in rules
-    ]
-    return reduce(Column.__or__, tests)
+    return " OR ".join(map(test, rules))
 
 
 def fuzzy_candidates(
     lefts: DataFrame, rights: DataFrame, rules: list[Rule], limit: int = PAIRS_PER_VALUE_PAIR
 ) -> DataFrame:
     """Scored class pairs that can pass some rule, found through the text on which the rule is strictest."""
-    ways: dict[tuple[str, str], tuple[float, list[tuple[str, str, float]]]] = {}
-
-    def add(pair: tuple[str, str], threshold: float, others: list[tuple[str, str, float]]) -> None:
-        old, known = ways.get(pair, (threshold, others))
-        least = [(a, b, min(t, u)) for (a, b, t), (_, _, u) in zip(others, known)]
-        ways[pair] = (min(threshold, old), least)
-
-    for rule in rules:
-        if rule.street >= max(rule.name, rule.parent):
-            names = [("left_name", "name", rule.name), ("left_name", "parent", rule.parent)]
-            add(("left_street", "street"), rule.street, names)
-        else:
-            street = [("left_street", "street", rule.street)]
-            add(("left_name", "name"), rule.name, street)
-            add(("left_name", "parent"), rule.parent, street)
+    street, names = (["left_street"], ["street"]), (["left_name"], ["name", "parent"])
+    strict_street = [r for r in rules if r.street >= max(r.name, r.parent)]
+    strict_name = [r for r in rules if r not in strict_street]
+    ways = []
+    if strict_street:
+        first = min(r.street for r in strict_street)
+        ways.append((street, first, names, min(min(r.name, r.parent) for r in strict_street)))
+    if strict_name:
+        first = min(min(r.name, r.parent) for r in strict_name)
+        ways.append((names, first, street, min(r.street for r in strict_name)))
+    sides = [
+        (_with_texts(lefts, texts[0], "left_value"), _with_texts(rights, texts[1], "right_value"))
+        for texts, _, _, _ in ways
+    ]
+    weighed = materialize_all(
+        *[
+            (_value_pairs(a, b, first, ["block"], limit), "value-pairs")
+            for (a, b), (_, first, _, _) in zip(sides, ways)
+        ]
+    )
     found = [
-        _through(lefts, rights, ["block"], (*pair, threshold), others, limit)
-        for pair, (threshold, others) in ways.items()
+        _class_pairs(pairs, a, b, others, least)
+        for pairs, (a, b), (_, _, others, least) in zip(weighed, sides, ways)
     ]
     pairs = reduce(DataFrame.unionByName, found).where(_any_rule_may_pass(rules))
     pairs = pairs.dropDuplicates(["left_class", "right_class"])
@@ -229,12 +233,13 @@ def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> Data
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates) -> DataFrame:
     """Matches of all rules in turn, each on the rows its predecessors left over; ``method`` names the rule."""
-    lefts, rights = materialize(left_classes(left), "left-classes"), materialize(right_classes(right), "right-classes")
+    lefts, rights = materialize_all((left_classes(left), "left-classes"), (right_classes(right), "right-classes"))
     scored = materialize(candidates(lefts, rights, rules), "scored")
     used_left = lefts.join(scored.select("left_class").distinct(), "left_class", "left_semi")
     used_right = rights.join(scored.select("right_class").distinct(), "right_class", "left_semi")
-    free_left = materialize(left_members(left, used_left), "left-members")
-    free_right = materialize(right_members(right, used_right), "right-members")
+    free_left, free_right = materialize_all(
+        (left_members(left, used_left), "left-members"), (right_members(right, used_right), "right-members")
+    )
     found = []
     for rule in rules:
         won = assign(passing(scored, rule), free_left, free_right)

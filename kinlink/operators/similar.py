@@ -1,10 +1,9 @@
 """Similarity join of text values: all pairs at or above a score, without comparing every value with every other."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinlink.functions.similarity import indel_ratio, may_reach
-from kinlink.storage import materialize
 
 _BUCKETS = 4096
 _EDGE = "\u0002"
@@ -27,42 +26,39 @@ def lost_gram_share(threshold: float, q: int) -> float:
     return max(per_own + per_other * m for m in (t / (2 - t), (2 - t) / t))
 
 
-def _grams(c: Column, q: int) -> Column:
-    edge = F.lit(_EDGE * (q - 1))
-    padded = F.concat(edge, c, edge)
-    starts = F.sequence(F.lit(1), F.length(c) + (q - 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, q)))
+def _grams(q: int) -> str:
+    edge = f"repeat('{_EDGE}', {q - 1})"
+    padded = f"concat({edge}, value, {edge})"
+    return f"array_distinct(transform(sequence(1, length(value) + {q - 1}), i -> substring({padded}, i, {q})))"
 
 
-def _bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(_BUCKETS)).cast("int")
+def _bucket(gram: str) -> str:
+    return f"CAST(pmod(xxhash64({gram}), {_BUCKETS}L) AS INT)"
 
 
-def _bucket_sizes(values: DataFrame, q: int) -> Column:
+def _bucket_sizes(values: DataFrame, q: int) -> str:
     """How often each of 4,096 hash buckets of grams occurs, as one array literal: rare grams select best.
 
     The order of grams decides only how many candidates are looked at, never which pairs are found.
     """
-    grams = values.select(F.explode(_grams(F.col("value"), q)).alias("gram"))
-    rows = grams.groupBy(_bucket(F.col("gram")).alias("bucket")).count().collect()
+    grams = values.selectExpr(f"explode({_grams(q)}) AS gram")
+    rows = grams.groupBy(F.expr(_bucket("gram")).alias("bucket")).count().collect()
     sizes = [0] * _BUCKETS
     for row in rows:
         sizes[row["bucket"]] = row["count"]
-    return F.split(F.lit(",".join(map(str, sizes))), ",").cast("array<bigint>")
+    return f"CAST(split('{','.join(map(str, sizes))}', ',') AS ARRAY<BIGINT>)"
 
 
-def _with_signature(values: DataFrame, threshold: float, q: int, sizes: Column) -> DataFrame:
+def _with_signature(values: DataFrame, threshold: float, q: int, sizes: str) -> DataFrame:
     """One row per signature gram: the rarest grams, one more than a partner can lack.
 
     Two texts at or above the threshold share a gram, and the first one they share in the common order is among
     these on both sides.
     """
-    keep = F.floor(F.length("value") * lost_gram_share(threshold, q) + F.lit(1e-9)).cast("int") + 1
-    ranked = F.transform(
-        _grams(F.col("value"), q), lambda g: F.struct(F.get(sizes, _bucket(g)).alias("n"), g.alias("gram"))
-    )
-    signature = F.transform(F.slice(F.array_sort(ranked), F.lit(1), keep), lambda s: s["gram"])
-    return values.withColumn("gram", F.explode(signature))
+    keep = f"CAST(floor(length(value) * {lost_gram_share(threshold, q)!r}D + 1e-9D) AS INT) + 1"
+    ranked = f"transform({_grams(q)}, g -> struct(get({sizes}, {_bucket('g')}) AS n, g AS gram))"
+    signature = f"transform(slice(array_sort({ranked}), 1, {keep}), s -> s.gram)"
+    return values.withColumn("gram", F.expr(f"explode({signature})"))
 
 
 def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: list[str] | None = None) -> DataFrame:
@@ -78,12 +74,11 @@ def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: l
     q = gram_size(threshold)
     columns = [*block, "value"]
     known = F.col("value").isNotNull()
-    a = materialize(left.select(columns).where(known).distinct(), "values")
-    b = materialize(right.select(columns).where(known).distinct(), "values")
-    sizes = _bucket_sizes(a.unionByName(b), q)
-    a = _with_signature(a, threshold, q, sizes).withColumnRenamed("value", "left_value")
-    b = _with_signature(b, threshold, q, sizes).withColumnRenamed("value", "right_value")
-    near = may_reach(F.col("left_value"), F.col("right_value"), threshold)
+    a, b = left.select(columns).where(known), right.select(columns).where(known)
+    sizes = _bucket_sizes(a.select("value").union(b.select("value")), q)
+    a = _with_signature(a.distinct(), threshold, q, sizes).withColumnRenamed("value", "left_value")
+    b = _with_signature(b.distinct(), threshold, q, sizes).withColumnRenamed("value", "right_value")
+    near = may_reach("left_value", "right_value", threshold)
     pairs = a.join(b, [*block, "gram"]).where(near).select(*block, "left_value", "right_value").distinct()
     return pairs.withColumn("score", indel_ratio(F.col("left_value"), F.col("right_value"))).where(
         F.col("score") >= threshold

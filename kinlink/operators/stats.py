@@ -24,7 +24,7 @@ def block_stats(
     A method that no longer had rows on both sides when its turn came did not run and is null.
     """
     totals = block_counts(with_known_block(left, key, other), with_known_block(right, key, other), key)
-    per_method = matches.groupBy(F.col("block").alias(key)).pivot("method", methods).agg(F.count("*"))
+    per_method = matches.groupBy(F.col("block").alias(key)).pivot("method", methods).agg(F.count("left_id"))
     joined = totals.join(per_method, key, "left").fillna(0, methods)
     columns, done, ran = [], F.lit(0), F.lit(True)
     for method in methods:

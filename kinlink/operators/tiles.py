@@ -15,7 +15,7 @@ def _cut(df: DataFrame, sizes: DataFrame, block: list[str], key: str, own: str,
     spread = df.join(sizes, block)
     mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
     spread = spread.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    return spread.select(*df.columns, "_lt", "_rt")
+    return spread.select([F.col(c).alias(c) for c in [*df.columns, "_lt", "_rt"]])
 
 
 def _tile_counts(df: DataFrame, block: list[str], name: str, rows: int) -> DataFrame:

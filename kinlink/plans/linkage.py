@@ -13,7 +13,7 @@ from kinlink.operators.stats import block_stats, phase_counts
 from kinlink.plans.cleaning import reference_cities, standardize_left, standardize_right, survivors
 from kinlink.plans.phases import run_phases
 from kinlink.plans.settings import Settings
-from kinlink.storage import materialize
+from kinlink.storage import materialize, materialize_all
 
 ORDER = "match_order"
 
@@ -41,9 +41,11 @@ def prepare(
     Survivors take part in the order of tax id, then record id: the order in which grouping leaves them.
     """
     left, right = add_record_ids(left, right, "record_id", left_order, right_order)
-    standardized = materialize(standardize_left(left, reference_cities(right), settings), "left")
+    standardized, right = materialize_all(
+        (standardize_left(left, reference_cities(right), settings), "left"),
+        (standardize_right(right, settings), "right"),
+    )
     coded, kept = survivors(standardized, settings)
-    right = materialize(standardize_right(right, settings), "right")
     kept = number_rows(kept, ["PrimaryFEIN", "record_id"], ORDER)
 
     def count(df: DataFrame, name: str) -> DataFrame:

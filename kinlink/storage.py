@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -27,3 +29,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(*tables: tuple[DataFrame, str]) -> list[DataFrame]:
+    """Independent tables written at the same time, so that one job's last tasks leave no executor idle."""
+    spark = tables[0][0].sparkSession
+    shared_dir(spark)
+    write = inheritable_thread_target(spark)(materialize)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(write, *zip(*tables)))

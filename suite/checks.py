@@ -124,8 +124,8 @@ def composite_key(spark, sf):
 )
 def match_keys(spark, sf):
     left, right = keyed_parties(spark, sf)
-    named_left = {v: F.col(k) for v, k in blocking.LEFT_KEYS.items()} | {"Zipcode": F.col("Zip_UPDATED")}
-    named_right = {v: F.col(k) for v, k in blocking.RIGHT_KEYS.items()} | {"physical_zip": F.col("Zip_UPDATED")}
+    named_left = {old: F.col(new) for new, old in blocking.LEFT_KEYS.items()} | {"Zipcode": F.col("Zip_UPDATED")}
+    named_right = {old: F.col(new) for new, old in blocking.RIGHT_KEYS.items()} | {"physical_zip": F.col("Zip_UPDATED")}
     a = left.withColumns(named_left).select("record_id", *named_left)
     b = right.withColumns(named_right).select("record_id", *named_right)
     a, b = blocking.add_match_keys(a, b)
@@ -152,7 +152,7 @@ def match_keys(spark, sf):
 )
 def record_ids(spark, sf):
     left = sql(spark, sf, "SELECT c_custkey, c_acctbal FROM customer")
-    right = spark.sql("SELECT s_suppkey AS c_custkey, s_name FROM supplier")
+    right = sql(spark, sf, "SELECT s_suppkey AS c_custkey, s_name FROM supplier")
     a, b = ordering.add_record_ids(left, right, "record_id", ["c_acctbal", "c_custkey"], ["s_name"])
     a, b = a.withColumn("side", F.lit("L")), b.withColumn("side", F.lit("R"))
     return a.select("c_custkey", "record_id", "side").unionByName(b.select("c_custkey", "record_id", "side"))
@@ -206,8 +206,8 @@ SHEET = """SELECT p_partkey AS line, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE
 
 @check(
     "abbrev_map",
-    f"""SELECT word, arg_max(value, at) AS abbreviation, min(at) AS position FROM (
-     SELECT line * 2 AS at, a AS word, c AS value FROM ({SHEET}) t
+    f"""SELECT word, arg_max(value, place) AS abbreviation, min(place) AS position FROM (
+     SELECT line * 2 AS place, a AS word, c AS value FROM ({SHEET}) t
      UNION ALL SELECT line * 2 + 1, b, c FROM ({SHEET}) t) WHERE word IS NOT NULL AND value IS NOT NULL GROUP BY word""",
 )
 def abbrev_map(spark, sf):
@@ -284,7 +284,7 @@ def soundex_blocks(spark, sf):
 )
 def similar_names(spark, sf):
     left = sql(spark, sf, "SELECT p_brand AS brand, upper(p_name) AS value FROM part")
-    right = spark.sql("SELECT p_brand AS brand, upper(replace(p_name, 'e', 'a')) AS value FROM part")
+    right = sql(spark, sf, "SELECT p_brand AS brand, upper(replace(p_name, 'e', 'a')) AS value FROM part")
     pairs = similar.similar_values(left, right, 85.0, ["brand"])
     return pairs.withColumn("score", F.round("score", 4))
 
@@ -331,9 +331,13 @@ def cosine(spark, sf):
 
 @check(
     "hash_embed",
-    f"""WITH {duck.vectors("SELECT text AS t FROM documents UNION SELECT url FROM pages")}
-     SELECT md5(t) AS text_key, list_sum(list_transform(v, lambda x: (x > 0)::INT))::BIGINT AS filled,
-     round(list_max(v), 4) AS top, (list_position(v, list_max(v)) - 1)::INT AS top_slot FROM vec""",
+    """WITH texts AS (SELECT DISTINCT md5(t) AS text_key, '  ' || t || ' ' AS p FROM (
+       SELECT text AS t FROM documents UNION SELECT url FROM pages) WHERE t IS NOT NULL),
+     grams AS (SELECT text_key, ('0x' || substr(md5(p[i:i + 2]), 1, 2))::INT AS slot
+       FROM (SELECT text_key, p, unnest(range(1, length(p) - 1)) AS i FROM texts)),
+     counts AS (SELECT text_key, slot, count(*) AS n FROM grams GROUP BY text_key, slot)
+     SELECT text_key, count(*) AS filled, round((max(n) / sqrt(sum(n * n)))::FLOAT::DOUBLE, 4) AS top,
+     arg_min(slot, (-n, slot)) AS top_slot FROM counts GROUP BY text_key""",
 )
 def hash_embed(spark, sf):
     texts = sql(spark, sf, "SELECT text FROM documents UNION SELECT url FROM pages")
@@ -375,7 +379,7 @@ def _link_checks() -> None:
         @check(f"merge_{name}", mapped(both))
         def merged(spark, sf, key=key, value=value, column=column, flat=flat):
             a = blocking.value_links(sql(spark, sf, LEFT_PARTY), key, value)
-            b = blocking.value_links(spark.sql(RIGHT_PARTY), key, value)
+            b = blocking.value_links(sql(spark, sf, RIGHT_PARTY), key, value)
             return flat(blocking.as_mapping(blocking.merge_links(a, b), column))
 
 
@@ -388,7 +392,7 @@ _COUNTS = f"""a AS (SELECT zip, count(*) AS n FROM ({LEFT_PARTY}) t WHERE zip IS
 
 
 def _counts(spark, sf, keep_zero):
-    return blocking.block_counts(sql(spark, sf, LEFT_PARTY), spark.sql(RIGHT_PARTY), "zip", keep_zero)
+    return blocking.block_counts(sql(spark, sf, LEFT_PARTY), sql(spark, sf, RIGHT_PARTY), "zip", keep_zero)
 
 
 @check("block_counts", f"WITH {_COUNTS} SELECT * FROM counts")
@@ -425,7 +429,7 @@ def batches(spark, sf):
 @check("batches_orders", _batch_sql(_ORDER_COUNTS, "k", "w", 30))
 def batches_orders(spark, sf):
     left = sql(spark, sf, "SELECT o_custkey AS k FROM orders")
-    counts = blocking.block_counts(left, spark.sql("SELECT l_suppkey AS k FROM lineitem"), "k", True)
+    counts = blocking.block_counts(left, sql(spark, sf, "SELECT l_suppkey AS k FROM lineitem"), "k", True)
     return blocking.batches(counts, 30)
 
 
@@ -436,7 +440,7 @@ _KNOWN = f"SELECT record_id, zip, city FROM ({LEFT_PARTY}) t WHERE zip IS NOT NU
 def semi_known(spark, sf):
     left = sql(spark, sf, LEFT_PARTY).select("record_id", "zip", "city")
     links = blocking.value_links(left, "zip", "city")
-    return blocking.in_mapping(left, blocking.merge_links(links, blocking.value_links(spark.sql(RIGHT_PARTY), "zip", "city")))
+    return blocking.in_mapping(left, blocking.merge_links(links, blocking.value_links(sql(spark, sf, RIGHT_PARTY), "zip", "city")))
 
 
 @check("known_block", _KNOWN)
@@ -694,7 +698,7 @@ def match_output(spark, sf):
 )
 def name_maps(spark, sf):
     left = sql(spark, sf, f"SELECT upper(name) AS v FROM ({NAMES}) t WHERE name IS NOT NULL")
-    right = spark.sql(
+    right = sql(spark, sf, 
         """SELECT upper(concat(p_name, ' ', p_type)) AS v FROM part
            UNION SELECT replace(upper(concat(p_name, ' b/o INCORPORATED')), 'RED', 'REDD') FROM part
            UNION SELECT upper(concat(p_name, 'Inc')) FROM part WHERE p_size < 25"""

@@ -60,7 +60,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         try:
             result = difference(spark, connection, sf_dir, name)
         except Exception as error:  # report and go on with the other queries
-            result = f"{type(error).__name__}: {str(error)[:1500]}"
+            result = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(result)
         print(f"{time.time() - start:6.1f}s {name}: {result or 'ok'}", flush=True)
     return bad

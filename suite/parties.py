@@ -1,9 +1,12 @@
 """Inputs of the checks: two parties derived from the given tables by SQL that Spark and DuckDB both run."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions import text
+from kinlink.storage import materialize
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -62,19 +65,21 @@ FROM part
 """
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    for table in TABLES:
+def register(spark: SparkSession, sf_dir: str, tables=TABLES) -> None:
+    for table in tables:
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
 
 
-def sql(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
-    register(spark, sf_dir)
-    return spark.sql(query)
+def sql(spark: SparkSession, sf_dir: str, *queries: str):
+    """The queries' results over the given tables."""
+    register(spark, sf_dir, [t for t in TABLES if re.search(rf"\b{t}\b", " ".join(queries))])
+    results = [spark.sql(q) for q in queries]
+    return results[0] if len(results) == 1 else results
 
 
 def keyed_parties(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both parties with match keys."""
-    register(spark, sf_dir)
+    """Both parties with match keys, kept as tables like the cleaning job's result."""
+    left, right = sql(spark, sf_dir, LEFT_PARTY, RIGHT_PARTY)
 
     def keys(df: DataFrame, *more):
         return df.select(
@@ -87,4 +92,4 @@ def keyed_parties(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         )
 
     parent = text.standardize_business_name(F.col("parent"), ABBREVIATIONS).alias("GlobalName_UPDATED")
-    return keys(spark.sql(LEFT_PARTY)), keys(spark.sql(RIGHT_PARTY), parent)
+    return materialize(keys(left), "left"), materialize(keys(right, parent), "right")
