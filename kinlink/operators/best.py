@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinlink.functions.similarity import indel_scores, token_set_scores
 from kinlink.operators.tiles import compare_tiles
 
-_TILE_ROWS = 512
+_TILE_ROWS = 2048
 _STEP = 64
 
 

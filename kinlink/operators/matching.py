@@ -22,6 +22,8 @@ from kinlink.operators.tiles import compare_tiles
 from kinlink.storage import materialize, materialize_all
 
 PAIRS_PER_VALUE_PAIR = 100_000
+_VECTOR_ROWS = 8192
+_VECTOR_STEP = 1024
 
 _TEXTS = ["left_street", "left_name", "street", "name", "parent"]
 Candidates = Callable[[DataFrame, DataFrame, list[Rule]], DataFrame]
@@ -169,8 +171,7 @@ def fuzzy_candidates(
     return scored.select("block", "left_class", "right_class", "parent", "scores.*")
 
 
-def _unit_rows(column: pd.Series) -> np.ndarray:
-    size = next((len(v) for v in column if v is not None), 1)
+def _unit_rows(column: pd.Series, size: int) -> np.ndarray:
     grid = np.stack([np.zeros(size) if v is None else np.asarray(v, dtype=np.float64) for v in column])
     norm = np.sqrt((grid * grid).sum(axis=1, keepdims=True))
     return grid / np.where(norm > 0, norm, 1.0)
@@ -200,35 +201,36 @@ def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> Data
     """Scored pairs from ready vectors: ``vs``, ``vn`` and, on the right, ``vp`` with its ``parent`` text."""
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        names = _unit_rows(x["vn"])
-        street = _unit_rows(x["vs"]) @ _unit_rows(y["vs"]).T
-        name = names @ _unit_rows(y["vn"]).T
-        name[:, y["vn"].isna()] = -1.0
-        parent = np.full(name.shape, -1.0)
-        known = y["vp"].notna().to_numpy()
-        if known.any():
-            parent[:, known] = names @ _unit_rows(y.loc[known, "vp"]).T
-        keep = np.zeros(name.shape, dtype=bool)
-        for r in rules:
-            keep |= (street >= r.street) & ((name >= r.name) | (parent >= r.parent))
-        i, j = np.nonzero(keep)
-        return pd.DataFrame(
-            {
-                "block": x["block"].to_numpy()[i],
-                "left_class": x["left_class"].to_numpy()[i],
+        size = len(y["vs"].iloc[0])
+        streets, names, parents = (_unit_rows(y[c], size) for c in ("vs", "vn", "vp"))
+        no_name, no_parent = y["vn"].isna().to_numpy(), y["vp"].isna().to_numpy()
+        found = []
+        for start in range(0, len(x), _VECTOR_STEP):
+            part = x.iloc[start : start + _VECTOR_STEP]
+            own = _unit_rows(part["vn"], size)
+            street, name, parent = _unit_rows(part["vs"], size) @ streets.T, own @ names.T, own @ parents.T
+            name[:, no_name], parent[:, no_parent] = -1.0, -1.0
+            keep = np.zeros(name.shape, dtype=bool)
+            for r in rules:
+                keep |= (street >= r.street) & ((name >= r.name) | (parent >= r.parent))
+            i, j = np.nonzero(keep)
+            columns = {
+                "block": part["block"].to_numpy()[i],
+                "left_class": part["left_class"].to_numpy()[i],
                 "right_class": y["right_class"].to_numpy()[j],
                 "parent": y["parent"].to_numpy()[j],
                 "street_score": street[i, j],
                 "name_score": name[i, j],
                 "parent_score": parent[i, j],
             }
-        )
+            found.append(pd.DataFrame(columns))
+        return pd.concat(found)
 
     schema = (
         "block string, left_class bigint, right_class bigint, parent string, "
         "street_score double, name_score double, parent_score double"
     )
-    return compare_tiles(lefts, rights, ["block"], "left_class", "right_class", compare, schema)
+    return compare_tiles(lefts, rights, ["block"], "left_class", "right_class", compare, schema, _VECTOR_ROWS)
 
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates) -> DataFrame:

@@ -23,10 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/kinlink-{spark.sparkContext.applicationId}"
+
+
+def discard_intermediates(spark: SparkSession) -> None:
+    """Delete what this application materialized, once its results are stored elsewhere."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: short lineage, no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

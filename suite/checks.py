@@ -1,19 +1,32 @@
 """Every operator as a query over the given tables, with the SQL that must give the same rows."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions import cast, encode, similarity, text
-from kinlink.operators import best, blocking, matching, names, ordering, rules, similar, stats, survivorship
+from kinlink.operators import blocking, matching, names, ordering, rules, similar, stats, survivorship
 from kinlink.operators.city import standardize_city
 from kinlink.plans.linkage import link
 from kinlink.plans.phases import phase_inputs, run_phase, run_phases
 from kinlink.plans.settings import PHASES, Settings
 from kinlink.sources import lookups, tables
+from kinlink.sources.metrics import log_metrics, read_metrics
+from kinlink.storage import shared_dir
 from suite import duck
-from suite.parties import ABBREVIATIONS, ADDRESSES, LEFT_PARTY, NAMES, RIGHT_PARTY, keyed_parties, sql
+from suite.parties import (
+    ABBREVIATIONS,
+    ADDRESSES,
+    LEFT_PARTY,
+    LEFT_RAW,
+    NAMES,
+    RIGHT_PARTY,
+    RIGHT_RAW,
+    keyed_parties,
+    sql,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +34,36 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+_done: dict[tuple[str, str, str], object] = {}
+
+
+def once(make: Callable) -> Callable:
+    """Results that are stored tables anyway are made once per application and input."""
+
+    def get(spark: SparkSession, sf: str):
+        key = (spark.sparkContext.applicationId, sf, make.__name__)
+        if key not in _done:
+            _done[key] = make(spark, sf)
+        return _done[key]
+
+    return get
+
+
+@once
+def parties(spark, sf):
+    return keyed_parties(spark, sf)
+
+
+@once
+def phase1_matches(spark, sf):
+    return run_phase(*parties(spark, sf), PHASES[0])
+
+
+@once
+def all_matches(spark, sf):
+    return run_phases(*parties(spark, sf))
+
+
 def check(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         QUERIES[name] = query
@@ -123,7 +166,7 @@ def composite_key(spark, sf):
      upper(trim({duck.business_name("name")})), upper(trim({duck.business_name("parent")})) FROM ({RIGHT_PARTY}) t""",
 )
 def match_keys(spark, sf):
-    left, right = keyed_parties(spark, sf)
+    left, right = parties(spark, sf)
     named_left = {old: F.col(new) for new, old in blocking.LEFT_KEYS.items()} | {"Zipcode": F.col("Zip_UPDATED")}
     named_right = {old: F.col(new) for new, old in blocking.RIGHT_KEYS.items()} | {"physical_zip": F.col("Zip_UPDATED")}
     a = left.withColumns(named_left).select("record_id", *named_left)
@@ -494,7 +537,7 @@ _CLASSES = f"""{duck.parties()},
 
 
 def _inputs(spark, sf, phase):
-    left, right = keyed_parties(spark, sf)
+    left, right = parties(spark, sf)
     return phase_inputs(left, right, phase, Settings(), "record_id", "record_id")
 
 
@@ -614,7 +657,7 @@ def embedding_table_match(spark, sf):
 
 @check("phase1", f"WITH RECURSIVE {_PHASE1} SELECT {_MATCH_COLUMNS}, method FROM ({_matched(_M1, _M2)})")
 def phase1(spark, sf):
-    return _rounded(run_phase(*keyed_parties(spark, sf), PHASES[0])).drop("phase")
+    return _rounded(phase1_matches(spark, sf)).drop("phase")
 
 
 @check(
@@ -623,7 +666,7 @@ def phase1(spark, sf):
      {_rule("n2", rules.M2, "z2", ["n1"])} SELECT {_MATCH_COLUMNS}, method FROM ({_matched(_N1, _N2)})""",
 )
 def phase2(spark, sf):
-    return _rounded(run_phase(*keyed_parties(spark, sf), PHASES[1])).drop("phase")
+    return _rounded(run_phase(*parties(spark, sf), PHASES[1])).drop("phase")
 
 
 @check(
@@ -633,15 +676,15 @@ def phase2(spark, sf):
      SELECT {_MATCH_COLUMNS}, method FROM ({_matched(*_M345)})""",
 )
 def phase3(spark, sf):
-    return _rounded(run_phase(*keyed_parties(spark, sf), PHASES[2])).drop("phase")
+    return _rounded(run_phase(*parties(spark, sf), PHASES[2])).drop("phase")
 
 
 @check("phases", f"WITH RECURSIVE {_PHASE3} SELECT {_MATCH_COLUMNS}, method, phase FROM ({_matched(_M1, _M2, _N1, _N2, *_M345)})")
 def phases(spark, sf):
-    return _rounded(run_phases(*keyed_parties(spark, sf)))
+    return _rounded(all_matches(spark, sf))
 
 
-_BOTH1 = f"(SELECT left_id, right_id FROM m1 UNION ALL SELECT left_id, right_id FROM m2)"
+_BOTH1 = "(SELECT left_id, right_id FROM m1 UNION ALL SELECT left_id, right_id FROM m2)"
 
 
 @check(
@@ -650,8 +693,8 @@ _BOTH1 = f"(SELECT left_id, right_id FROM m1 UNION ALL SELECT left_id, right_id
      WHERE record_id NOT IN (SELECT left_id FROM {_BOTH1})""",
 )
 def unmatched_left(spark, sf):
-    left, right = keyed_parties(spark, sf)
-    gone = matching.unmatched(left, run_phase(left, right, PHASES[0]), "record_id", "left_id")
+    left, right = parties(spark, sf)
+    gone = matching.unmatched(left, phase1_matches(spark, sf), "record_id", "left_id")
     return gone.toDF("record_id", "zip", "city", "street", "name", "matched")
 
 
@@ -661,8 +704,8 @@ def unmatched_left(spark, sf):
      WHERE record_id NOT IN (SELECT right_id FROM {_BOTH1})""",
 )
 def remaining_right(spark, sf):
-    left, right = keyed_parties(spark, sf)
-    rest = matching.remaining(right, run_phase(left, right, PHASES[0]), "record_id", "right_id")
+    left, right = parties(spark, sf)
+    rest = matching.remaining(right, phase1_matches(spark, sf), "record_id", "right_id")
     return rest.toDF("record_id", "zip", "city", "street", "name", "parent")
 
 
@@ -676,8 +719,8 @@ def remaining_right(spark, sf):
      FROM ({_matched(_M1, _M2)}) m JOIN l ON l.record_id = m.left_id JOIN r ON r.record_id = m.right_id""",
 )
 def match_output(spark, sf):
-    left, right = keyed_parties(spark, sf)
-    found = _rounded(run_phase(left, right, PHASES[0])).drop("phase")
+    left, right = parties(spark, sf)
+    found = _rounded(phase1_matches(spark, sf)).drop("phase")
     names_left = ["record_id", "zip", "city", "street", "name"]
     return matching.match_output(found, left.toDF(*names_left), right.toDF(*names_left, "parent"))
 
@@ -722,8 +765,8 @@ def name_maps(spark, sf):
      round((x1 + x2) / ln * 100, 4) AS "Match_Percentage" FROM t""",
 )
 def block_stats(spark, sf):
-    left, right = keyed_parties(spark, sf)
-    found = run_phase(left, right, PHASES[0])
+    left, right = parties(spark, sf)
+    found = phase1_matches(spark, sf)
     methods = [r.method for r in PHASES[0].rules]
     table = stats.block_stats(left, right, found, "Zip_UPDATED", "City_UPDATED", methods, "Zipcode")
     return table.withColumn("Match_Percentage", F.round("Match_Percentage", 4))
@@ -735,9 +778,9 @@ def block_stats(spark, sf):
      SELECT (SELECT count(*) FROM l) AS rows_before, (SELECT count(*) FROM {_BOTH1}) AS rows_after)""",
 )
 def match_rate(spark, sf):
-    left, right = keyed_parties(spark, sf)
+    left, right = parties(spark, sf)
     before = left.agg(F.count("*").alias("rows_before"))
-    after = run_phase(left, right, PHASES[0]).agg(F.count("*").alias("rows_after"))
+    after = phase1_matches(spark, sf).agg(F.count("*").alias("rows_after"))
     rate = stats.match_rate(F.col("rows_before"), F.col("rows_after"))
     return before.join(F.broadcast(after)).withColumn("percentage", F.round(rate, 4))
 
@@ -750,5 +793,125 @@ def match_rate(spark, sf):
      FROM (VALUES (1), (2), (3)) p(phase) LEFT JOIN f ON f.phase = p.phase) p""",
 )
 def run_rollup(spark, sf):
-    left, right = keyed_parties(spark, sf)
-    return stats.phase_counts(left, run_phases(left, right))
+    left, right = parties(spark, sf)
+    return stats.phase_counts(left, all_matches(spark, sf))
+
+
+# --- the whole job ---------------------------------------------------------------------------------------------
+
+_CITY_FIX = f"""ask AS (SELECT DISTINCT upper(trim(City)) AS city FROM ({LEFT_RAW}) t WHERE City IS NOT NULL AND City <> ''),
+ ref AS (SELECT DISTINCT physical_city AS ref FROM ({RIGHT_RAW}) t),
+ sim AS MATERIALIZED (SELECT city, ref, {duck.indel("cs", "rs")} AS score, {duck.soundex("city")} = {duck.soundex("ref")} AS alike
+   FROM (SELECT city, ref, {duck.sorted_tokens("city")} AS cs, {duck.sorted_tokens("ref")} AS rs FROM ask, ref)),
+ near AS (SELECT city, arg_min(ref, (-score, ref)) AS ref FROM sim WHERE score >= 85 GROUP BY city),
+ sound AS (SELECT city, arg_min(ref, (-score, ref)) AS ref FROM sim WHERE alike GROUP BY city),
+ fix AS (SELECT ask.city, coalesce(ref.ref, near.ref, sound.ref) AS fixed FROM ask LEFT JOIN ref ON ref.ref = ask.city
+   LEFT JOIN near ON near.city = ask.city LEFT JOIN sound ON sound.city = ask.city)"""
+_CLEAN = f"""{_CITY_FIX},
+ std AS (SELECT row_number() OVER (ORDER BY FileNumber) AS rid, coalesce(nullif(Zipcode, ''), '99999') AS zip, fixed AS city,
+   CAST(coalesce(nullif(regexp_replace(PrimaryFEIN, '[\\s-]+', '', 'g'), ''), '000000000') AS BIGINT) AS fein,
+   {duck.common("CASE WHEN StreetAddress IN ('STATE OF PA', 'STATE OF DE', 'PA', 'DE', 'NO SPECIFIC LOCATION') THEN 'MISSING' ELSE StreetAddress END")} AS street,
+   {duck.business_name("PrimaryInsuredName")} AS name, CAST(AddressTypeCode AS BIGINT) AS code
+   FROM ({LEFT_RAW}) t LEFT JOIN fix ON fix.city = upper(trim(t.City))),
+ kept AS (SELECT * FROM (SELECT *, max(CASE WHEN code = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY fein) AS has2,
+   row_number() OVER (PARTITION BY fein ORDER BY code NULLS LAST, rid) AS rn FROM std)
+   WHERE code = 2 OR (has2 = 0 AND rn = 1 AND code IS NOT NULL)),
+ l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY fein, rid) AS record_id, * EXCLUDE (has2, rn) FROM kept
+   QUALIFY row_number() OVER (PARTITION BY fein, street ORDER BY rid) = 1),
+ r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY source_key) AS record_id, physical_city AS city,
+   regexp_extract(physical_zip, '([0-9]{{5}})', 1) AS zip, {duck.common("physical_street_address")} AS street,
+   {duck.business_name("business_name")} AS name, {duck.business_name("global_ultimate_name")} AS parent FROM ({RIGHT_RAW}) t)"""
+_LINKED = _PHASE3.replace(duck.parties(), _CLEAN)
+
+
+@once
+def linkage(spark, sf):
+    left, right = sql(spark, sf, LEFT_RAW, RIGHT_RAW)
+    return link(left, right, ["FileNumber"], ["source_key"], Settings(abbreviations=ABBREVIATIONS))
+
+
+@check(
+    "link",
+    f"""WITH RECURSIVE {_LINKED} SELECT m.block, l.rid AS left_id, m.right_id, round(m.street_score, 4) AS street_score,
+     round(m.name_score, 4) AS name_score, m.used_global, m.method, m.phase
+     FROM ({_matched(_M1, _M2, _N1, _N2, *_M345)}) m JOIN l ON l.record_id = m.left_id""",
+)
+def linked(spark, sf):
+    return _rounded(linkage(spark, sf).matches)
+
+
+@check(
+    "link_metrics",
+    f"""WITH RECURSIVE {_LINKED}, n AS (SELECT (SELECT count(*) FROM std) AS std, (SELECT count(*) FROM kept) AS kept,
+     (SELECT count(*) FROM l) AS l, (SELECT count(*) FROM ({_matched(_M1, _M2, _N1, _N2, *_M345)})) AS m)
+     SELECT 'Apply Hierarchy Method' AS description, std AS rows_before, kept AS rows_after FROM n
+     UNION ALL SELECT 'Drop Duplicates', kept, l FROM n UNION ALL SELECT 'Number of matched rows', l, m FROM n
+     UNION ALL SELECT 'Number of unmatched rows', l, l - m FROM n""",
+)
+def link_metrics(spark, sf):
+    return linkage(spark, sf).metrics
+
+
+# --- sources and sinks -----------------------------------------------------------------------------------------
+
+_PER_CUSTOMER = "SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS top_price FROM orders GROUP BY o_custkey"
+
+
+def _fresh(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@check("stage_cache", _PER_CUSTOMER)
+def stage_cache(spark, sf):
+    path, source = _fresh(spark, "stage"), sql(spark, sf, _PER_CUSTOMER)
+    key = tables.fingerprint(source, "per customer")
+    tables.cached_stage(spark, path, key, lambda: source)
+    return tables.cached_stage(spark, path, key, lambda: source.limit(0))
+
+
+@check("snapshot", _PER_CUSTOMER)
+def snapshot(spark, sf):
+    path = _fresh(spark, "snapshot")
+    tables.save_snapshot(sql(spark, sf, _PER_CUSTOMER), path)
+    return tables.load_snapshot(spark, path)
+
+
+_STATS = "SELECT l_returnflag AS name, count(*) AS n, l_linenumber % 3 + 1 AS phase FROM lineitem GROUP BY ALL"
+
+
+@check("stats_sink", _STATS)
+def stats_sink(spark, sf):
+    path, rows = _fresh(spark, "stats"), sql(spark, sf, _STATS)
+    tables.write_stats(rows, path)
+    tables.write_stats(rows.where("phase = 2"), path)
+    return spark.read.parquet(path)
+
+
+@check(
+    "match_sink",
+    f"WITH RECURSIVE {_PHASE1} SELECT left_id, right_id, method, phase FROM ({_matched(_M1, _M2)})",
+)
+def match_sink(spark, sf):
+    path = _fresh(spark, "match-file")
+    tables.write_matches(phase1_matches(spark, sf).select("left_id", "right_id", "method", "phase"), path, "csv")
+    return spark.read.schema("left_id bigint, right_id bigint, method string, phase int").csv(path, header=True)
+
+
+@check(
+    "metrics_log",
+    """SELECT o_orderpriority AS "Description of Operation", count(*) AS "Rows Before",
+     count(*) FILTER (o_orderstatus = 'F') AS "Rows After",
+     round(count(*) FILTER (o_orderstatus = 'F') / count(*) * 100, 4) AS "Percentage Change" FROM orders GROUP BY ALL""",
+)
+def metrics_log(spark, sf):
+    counts = sql(
+        spark,
+        sf,
+        """SELECT o_orderpriority AS description, count(*) AS rows_before,
+         count(*) FILTER (WHERE o_orderstatus = 'F') AS rows_after FROM orders GROUP BY ALL""",
+    )
+    path = _fresh(spark, "metrics")
+    log_metrics(counts, path, "run-1")
+    log_metrics(counts, path, "run-2")
+    report = read_metrics(spark, path, "run-2").drop("Timestamp")
+    return report.withColumn("Percentage Change", F.round("Percentage Change", 4))

@@ -93,3 +93,20 @@ def keyed_parties(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
     parent = text.standardize_business_name(F.col("parent"), ABBREVIATIONS).alias("GlobalName_UPDATED")
     return materialize(keys(left), "left"), materialize(keys(right, parent), "right")
+
+
+# The parties as raw tables with the column names of the cleaning job.
+LEFT_RAW = f"""
+SELECT lpad(CAST(record_id AS STRING), 9, '0') AS FileNumber, zip AS Zipcode,
+ CASE WHEN fein % 50 = 0 THEN NULL ELSE concat('10-', lpad(CAST(fein AS STRING), 7, '0')) END AS PrimaryFEIN,
+ name AS PrimaryInsuredName, CASE WHEN record_id % 53 = 0 THEN 'PA' ELSE street END AS StreetAddress,
+ CASE WHEN record_id % 6 = 1 THEN replace(city, 'NATION', 'NATON') ELSE city END AS City, 'PA' AS State,
+ CAST(NULL AS STRING) AS InsuredPhoneNumber, CAST(address_type AS STRING) AS AddressTypeCode,
+ CAST(record_id % 90 AS STRING) AS NumberOfEmployees FROM ({LEFT_PARTY}) party
+"""
+RIGHT_RAW = f"""
+SELECT record_id AS source_key, name AS business_name, parent AS global_ultimate_name, street AS physical_street_address,
+ CAST(NULL AS STRING) AS second_address_line, city AS physical_city, 'PA' AS physical_state_abbreviation,
+ concat(zip, '-0001') AS physical_zip, CAST(NULL AS STRING) AS tradestyle, CAST(NULL AS STRING) AS second_tradestyle,
+ parent AS domestic_ultimate_business_name, '12' AS employees_total, '' AS employees_here FROM ({RIGHT_PARTY}) party
+"""
