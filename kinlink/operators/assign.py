@@ -14,6 +14,7 @@ from kinlink.storage import materialize
 
 PAIRS_PER_TASK = 200_000
 
+_TIER = ["left_class", "name_score", "street_score"]
 _MATCH = ["block", "left_id", "right_id", "street_score", "name_score", "used_global"]
 _SCHEMA = (
     "block string, left_id bigint, right_id bigint, street_score double, name_score double, used_global boolean"
@@ -68,9 +69,8 @@ def _units(sized: DataFrame, right_members: DataFrame) -> DataFrame:
     Copies inside one right class are taken in id order by everyone, so the class with a capacity stands for them.
     Two right classes with equal scores for some left class compete row by row and are split into rows.
     """
-    score = ["left_class", "name_score", "street_score"]
-    ties = sized.groupBy(*score).agg(F.count("*").alias("n"), F.collect_set("right_class").alias("classes"))
-    tied = ties.where(F.col("n") > 1).select(F.explode("classes").alias("right_class")).distinct()
+    ties = sized.groupBy(*_TIER).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    tied = sized.join(ties, _TIER, "left_semi").select("right_class").distinct()
     whole = sized.join(tied, "right_class", "left_anti").withColumns(
         {"unit": F.col("right_class"), "capacity": F.col("right_n")}
     )
@@ -83,6 +83,25 @@ def _units(sized: DataFrame, right_members: DataFrame) -> DataFrame:
     return whole.unionByName(single.select(whole.columns))
 
 
+def _wishes(units: DataFrame) -> DataFrame:
+    """Each left class's units in order of preference: number ``wish`` and the places ``before`` it.
+
+    A tier (one score) holds one whole class or single rows, so a place in the tier is a rank. Ranks are taken in
+    id ranges and tiers are added up, as one tier may hold a great many rows.
+    """
+    ahead = Window.partitionBy("left_class").orderBy(F.desc("name_score"), F.desc("street_score"))
+    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    tiers = units.groupBy(*_TIER).agg(F.count("*").alias("n"), F.sum("capacity").alias("places"))
+    tiers = tiers.select(
+        *_TIER,
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("units_ahead"),
+        F.coalesce(F.sum("places").over(ahead), F.lit(0)).alias("places_ahead"),
+    )
+    placed = rank_in_group(units, _TIER, "unit", "at").join(tiers, _TIER)
+    wish, before = F.col("units_ahead") + F.col("at"), F.col("places_ahead") + F.col("at") - 1
+    return placed.withColumns({"wish": wish, "before": before}).drop("units_ahead", "places_ahead", "at")
+
+
 def assign_in_rounds(sized: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
     """The same matches by deferred acceptance: every right row prefers the smallest left id.
 
@@ -91,10 +110,7 @@ def assign_in_rounds(sized: DataFrame, left_members: DataFrame, right_members: D
     one unit on. The n-th member of a left class starts behind the n - 1 places its elder copies must fill first,
     so copies do not queue for the same row.
     """
-    units = _units(sized, right_members)
-    wish = Window.partitionBy("left_class").orderBy(F.desc("name_score"), F.desc("street_score"), "unit")
-    before = F.coalesce(F.sum("capacity").over(wish.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wishes = materialize(units.withColumns({"wish": F.row_number().over(wish), "before": before}), "wishes")
+    wishes = materialize(_wishes(_units(sized, right_members)), "wishes")
     slots = wishes.where(F.col("before") < F.col("left_n")).select(
         "left_class",
         "wish",

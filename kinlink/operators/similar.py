@@ -50,15 +50,28 @@ def _bucket_sizes(values: DataFrame, q: int) -> str:
 
 
 def _with_signature(values: DataFrame, threshold: float, q: int, sizes: str) -> DataFrame:
-    """One row per signature gram: the rarest grams, one more than a partner can lack.
+    """One row per signature gram: the rarest grams, one more than a partner can lack; ``bits`` sketches all grams.
 
     Two texts at or above the threshold share a gram, and the first one they share in the common order is among
     these on both sides.
     """
     keep = f"CAST(floor(length(value) * {lost_gram_share(threshold, q)!r}D + 1e-9D) AS INT) + 1"
-    ranked = f"transform({_grams(q)}, g -> struct(get({sizes}, {_bucket('g')}) AS n, g AS gram))"
+    ranked = f"transform(grams, g -> struct(get({sizes}, {_bucket('g')}) AS n, g AS gram))"
     signature = f"transform(slice(array_sort({ranked}), 1, {keep}), s -> s.gram)"
-    return values.withColumn("gram", F.expr(f"explode({signature})"))
+    bits = "aggregate(grams, 0L, (b, g) -> b | shiftleft(1L, CAST(pmod(xxhash64(g), 64L) AS INT)))"
+    with_grams = values.withColumn("grams", F.expr(_grams(q))).withColumn("bits", F.expr(bits))
+    return with_grams.withColumn("gram", F.expr(f"explode({signature})")).drop("grams")
+
+
+def _may_share(a: str, b: str, threshold: float, q: int) -> str:
+    """Lossless SQL test on the sketches: neither text may lack more of the other's grams than its edits destroy."""
+    n, m = f"length({a}_value)", f"length({b}_value)"
+    common = f"CAST(ceil(({n} + {m}) * {threshold / 200.0!r}D - 1e-9D) AS INT)"
+    tests = []
+    for x, y, len_x, len_y in ((a, b, n, m), (b, a, m, n)):
+        lost = f"{q} * ({len_x} - {common}) + {q - 1} * ({len_y} - {common})"
+        tests.append(f"bit_count({x}_bits & ~{y}_bits) <= {lost}")
+    return " AND ".join(tests)
 
 
 def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: list[str] | None = None) -> DataFrame:
@@ -66,7 +79,7 @@ def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: l
 
     Both inputs have the block columns and ``value``. Values meet on (block, signature gram), so the shuffle key
     is far finer than the block, and pairs that cannot reach the score are dropped inside the join by
-    length and bounded Levenshtein distance before the exact score is computed.
+    gram sketches, lengths and bounded Levenshtein distance before the exact score is computed.
     """
     block = block or []
     if not 70 <= threshold <= 100:
@@ -76,9 +89,11 @@ def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: l
     known = F.col("value").isNotNull()
     a, b = left.select(columns).where(known), right.select(columns).where(known)
     sizes = _bucket_sizes(a.select("value").union(b.select("value")), q)
-    a = _with_signature(a.distinct(), threshold, q, sizes).withColumnRenamed("value", "left_value")
-    b = _with_signature(b.distinct(), threshold, q, sizes).withColumnRenamed("value", "right_value")
-    near = may_reach("left_value", "right_value", threshold)
+    a = _with_signature(a.distinct(), threshold, q, sizes)
+    b = _with_signature(b.distinct(), threshold, q, sizes)
+    a = a.withColumnsRenamed({"value": "left_value", "bits": "left_bits"})
+    b = b.withColumnsRenamed({"value": "right_value", "bits": "right_bits"})
+    near = f"{_may_share('left', 'right', threshold, q)} AND {may_reach('left_value', 'right_value', threshold)}"
     pairs = a.join(b, [*block, "gram"]).where(near).select(*block, "left_value", "right_value").distinct()
     return pairs.withColumn("score", indel_ratio(F.col("left_value"), F.col("right_value"))).where(
         F.col("score") >= threshold

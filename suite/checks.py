@@ -730,7 +730,7 @@ def match_output(spark, sf):
     f"""WITH a AS (SELECT DISTINCT trim(upper(name)) AS v FROM ({NAMES}) t WHERE name IS NOT NULL),
      b AS (SELECT DISTINCT trim(upper(concat(p_name, ' ', p_type))) AS v FROM part
        UNION SELECT DISTINCT replace(upper(concat(p_name, ' b/o INCORPORATED')), 'RED', 'REDD') FROM part
-       UNION SELECT DISTINCT upper(concat(p_name, 'Inc')) FROM part WHERE p_size < 25),
+       UNION SELECT DISTINCT upper(concat(p_name, CASE WHEN p_size < 25 THEN 'Inc' ELSE ' Inc' END)) FROM part),
      lo AS (SELECT v, {duck.soundex("v")} AS code FROM a WHERE v NOT IN (SELECT v FROM b)),
      ro AS (SELECT v, {duck.soundex("v")} AS code FROM b WHERE v NOT IN (SELECT v FROM a)),
      s AS MATERIALIZED (SELECT lo.v AS x, ro.v AS y, {duck.token_set("lo.v", "ro.v")} AS score FROM lo JOIN ro USING (code)),
@@ -744,7 +744,7 @@ def name_maps(spark, sf):
     right = sql(spark, sf, 
         """SELECT upper(concat(p_name, ' ', p_type)) AS v FROM part
            UNION SELECT replace(upper(concat(p_name, ' b/o INCORPORATED')), 'RED', 'REDD') FROM part
-           UNION SELECT upper(concat(p_name, 'Inc')) FROM part WHERE p_size < 25"""
+           UNION SELECT upper(concat(p_name, CASE WHEN p_size < 25 THEN 'Inc' ELSE ' Inc' END)) FROM part"""
     )
     return names.name_maps(left, right).withColumn("score", F.round("score", 4))
 
