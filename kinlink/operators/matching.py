@@ -177,24 +177,32 @@ def _unit_rows(column: pd.Series, size: int) -> np.ndarray:
     return grid / np.where(norm > 0, norm, 1.0)
 
 
+def text_vectors(texts: list[tuple[DataFrame, str]], make_encoder=None) -> DataFrame:
+    """``(text, vector)`` of all distinct texts in the given columns, stored."""
+    every = reduce(DataFrame.union, [df.select(F.col(c).alias("text")) for df, c in texts])
+    return materialize(encode_distinct(every, "text", make_encoder), "vectors")
+
+
 def vector_candidates(lefts: DataFrame, rights: DataFrame, rules: list[Rule], make_encoder=None) -> DataFrame:
     """Scored class pairs that pass some rule on cosine similarity of their text vectors.
 
     Vectors are computed once per distinct text. Inside a block tiles are compared by matrix product.
     """
-    every = [lefts.select(F.col(c).alias("text")) for c in ("left_street", "left_name")]
-    every += [rights.select(F.col(c).alias("text")) for c in ("street", "name", "parent")]
-    vectors = materialize(encode_distinct(reduce(DataFrame.union, every), "text", make_encoder), "vectors")
+    texts = [(lefts, c) for c in ("left_street", "left_name")] + [(rights, c) for c in ("street", "name", "parent")]
+    vectors = text_vectors(texts, make_encoder)
+    a = attach_vectors(lefts, vectors, {"left_street": "vs", "left_name": "vn"})
+    b = attach_vectors(rights, vectors, {"street": "vs", "name": "vn", "parent": "vp"})
+    return vector_pairs(
+        a.select("block", "left_class", "vs", "vn"), b.select("block", "right_class", "parent", "vs", "vn", "vp"), rules
+    )
 
-    def attach(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-        for text, name in columns.items():
-            one = vectors.select(F.col("text").alias(text), F.col("vector").alias(name))
-            df = df.join(one, text, "left")
-        return df
 
-    a = attach(lefts, {"left_street": "vs", "left_name": "vn"}).select("block", "left_class", "vs", "vn")
-    b = attach(rights, {"street": "vs", "name": "vn", "parent": "vp"})
-    return vector_pairs(a, b.select("block", "right_class", "parent", "vs", "vn", "vp"), rules)
+def attach_vectors(df: DataFrame, vectors: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds the vector of each text column; null where the text is."""
+    for text, name in columns.items():
+        one = vectors.select(F.col("text").alias("_text"), F.col("vector").alias(name))
+        df = df.join(one, F.col(text) == F.col("_text"), "left").drop("_text")
+    return df
 
 
 def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -289,3 +297,16 @@ def match_output(
     )
     joined = details.join(ours, prefixes[0] + row_id).join(theirs, prefixes[1] + row_id)
     return joined.select(*ours.columns, *theirs.columns, *[c for c in details.columns[2:]])
+
+
+def with_match_vectors(output: DataFrame, make_encoder=None, prefixes=("pcrb_", "dnb_")) -> DataFrame:
+    """Output rows of the vector phase with the vectors they were compared by."""
+    left, right = prefixes
+    columns = {
+        f"{left}Street_UPDATED": f"{left}Embedding_Street",
+        f"{left}BusinessName_UPDATED": f"{left}Embedding_BusinessName",
+        f"{right}Street_UPDATED": f"{right}Embedding_Street",
+        f"{right}BusinessName_UPDATED": f"{right}Embedding_BusinessName",
+        f"{right}GlobalName_UPDATED": f"{right}Embedding_GlobalName",
+    }
+    return attach_vectors(output, text_vectors([(output, c) for c in columns], make_encoder), columns)

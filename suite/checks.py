@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions import cast, encode, similarity, text
-from kinlink.operators import blocking, matching, names, ordering, rules, similar, stats, survivorship
+from kinlink.operators import best, blocking, matching, names, ordering, rules, similar, stats, survivorship
 from kinlink.operators.city import standardize_city
 from kinlink.plans.linkage import link
 from kinlink.plans.phases import phase_inputs, run_phase, run_phases
@@ -725,6 +725,48 @@ def match_output(spark, sf):
     return matching.match_output(found, left.toDF(*names_left), right.toDF(*names_left, "parent"))
 
 
+@check(
+    "match_output_vectors",
+    f"""WITH RECURSIVE {duck.parties()}, {_TEXT_VECTORS}, {duck.vector_scored("z3", "l", "r", "zip", "city")},
+     {_rule("m3", rules.M3, "z3", [])}, {_rule("m4", rules.M4, "z3", ["m3"])}, {_rule("m5", rules.M5, "z3", ["m3", "m4"])}
+     SELECT left_id, right_id, round(street_score, 4) AS street, CASE WHEN NOT used_global THEN round(name_score, 4) END AS name,
+     CASE WHEN used_global THEN round(name_score, 4) END AS parent FROM ({_matched(*_M345)})""",
+)
+def match_output_vectors(spark, sf):
+    left, right = parties(spark, sf)
+    found = run_phase(left, right, PHASES[2])
+    rows = matching.with_match_vectors(matching.match_output(found, left, right))
+    own, street = F.col("pcrb_Embedding_BusinessName"), F.col("pcrb_Embedding_Street")
+    through = F.col("Used_Global")
+    name = similarity.cosine(own, F.col("dnb_Embedding_BusinessName"))
+    parent = similarity.cosine(own, F.col("dnb_Embedding_GlobalName"))
+    return rows.select(
+        F.col("pcrb_record_id").alias("left_id"),
+        F.col("dnb_record_id").alias("right_id"),
+        F.round(similarity.cosine(street, F.col("dnb_Embedding_Street")), 4).alias("street"),
+        F.when(~through, F.round(name, 4)).alias("name"),
+        F.when(through, F.round(parent, 4)).alias("parent"),
+    )
+
+
+_OPTIONS = """SELECT DISTINCT p_type AS code, replace(p_name, 'e', 'a') AS value FROM part"""
+
+
+@check(
+    "best_choice",
+    f"""WITH a AS (SELECT DISTINCT p_type AS code, concat(p_type, ' ', p_name, ' co') AS value FROM part), b AS ({_OPTIONS})
+     SELECT left_value, right_value, round(score, 4) AS score FROM (SELECT a.value AS left_value, b.value AS right_value,
+     {duck.indel("a.value", "b.value")} AS score FROM a JOIN b USING (code))
+     WHERE score >= 40 QUALIFY row_number() OVER (PARTITION BY left_value ORDER BY score DESC, right_value) = 1""",
+)
+def best_choice(spark, sf):
+    left, right = sql(
+        spark, sf, "SELECT DISTINCT p_type AS code, concat(p_type, ' ', p_name, ' co') AS value FROM part", _OPTIONS
+    )
+    top = best.best_in_block(left, right, "code", "ratio")
+    return top.where("score >= 40").withColumn("score", F.round("score", 4))
+
+
 @check(
     "name_maps",
     f"""WITH a AS (SELECT DISTINCT trim(upper(name)) AS v FROM ({NAMES}) t WHERE name IS NOT NULL),
@@ -816,8 +858,8 @@ _CLEAN = f"""{_CITY_FIX},
  kept AS (SELECT * FROM (SELECT *, max(CASE WHEN code = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY fein) AS has2,
    row_number() OVER (PARTITION BY fein ORDER BY code NULLS LAST, rid) AS rn FROM std)
    WHERE code = 2 OR (has2 = 0 AND rn = 1 AND code IS NOT NULL)),
- l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY fein, rid) AS record_id, * EXCLUDE (has2, rn) FROM kept
-   QUALIFY row_number() OVER (PARTITION BY fein, street ORDER BY rid) = 1),
+ l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY fein, rid) AS record_id, * FROM (SELECT * EXCLUDE (has2, rn) FROM kept
+   QUALIFY row_number() OVER (PARTITION BY fein, street ORDER BY rid) = 1)),
  r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY source_key) AS record_id, physical_city AS city,
    regexp_extract(physical_zip, '([0-9]{{5}})', 1) AS zip, {duck.common("physical_street_address")} AS street,
    {duck.business_name("business_name")} AS name, {duck.business_name("global_ultimate_name")} AS parent FROM ({RIGHT_RAW}) t)"""
@@ -852,6 +894,37 @@ def link_metrics(spark, sf):
     return linkage(spark, sf).metrics
 
 
+@check(
+    "clean_left",
+    f"""WITH {_CLEAN} SELECT rid AS record_id, record_id AS match_order, fein, zip, city, street, name, code,
+     concat(CAST(fein AS VARCHAR), '_', coalesce(street, '')) AS fein_address FROM l""",
+)
+def clean_left(spark, sf):
+    return linkage(spark, sf).left.select(
+        "record_id",
+        "match_order",
+        F.col("PrimaryFEIN").alias("fein"),
+        F.col("Zip_UPDATED").alias("zip"),
+        F.col("City_UPDATED").alias("city"),
+        F.col("Street_UPDATED").alias("street"),
+        F.col("BusinessName_UPDATED").alias("name"),
+        F.col("AddressTypeCode").alias("code"),
+        F.col("FEIN_Address").alias("fein_address"),
+    )
+
+
+@check("clean_right", f"WITH {_CLEAN} SELECT record_id, zip, city, street, name, parent FROM r")
+def clean_right(spark, sf):
+    return linkage(spark, sf).right.select(
+        "record_id",
+        F.col("Zip_UPDATED").alias("zip"),
+        F.col("City_UPDATED").alias("city"),
+        F.col("Street_UPDATED").alias("street"),
+        F.col("BusinessName_UPDATED").alias("name"),
+        F.col("GlobalName_UPDATED").alias("parent"),
+    )
+
+
 # --- sources and sinks -----------------------------------------------------------------------------------------
 
 _PER_CUSTOMER = "SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS top_price FROM orders GROUP BY o_custkey"

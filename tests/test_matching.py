@@ -170,3 +170,15 @@ def test_name_maps(spark):
     right = spark.createDataFrame([("ACME BAKERY INN",), ("SAME",)], "n string")
     got = [tuple(r) for r in names.name_maps(left, right).select("left_name", "right_name", "tier").collect()]
     assert got == [("ACME BAKERY", "ACME BAKERY INN", "high")]
+
+
+def test_null_texts_match_in_the_vector_phase_only_when_filled(spark):
+    from kinlink.plans.phases import run_phase
+    from kinlink.plans.settings import PHASES, Settings
+
+    columns = "record_id long, Zip_UPDATED string, City_UPDATED string, Street_UPDATED string, BusinessName_UPDATED string"
+    left = spark.createDataFrame([(1, "1", "C", None, "ACME")], columns)
+    right = spark.createDataFrame([(2, "1", "C", None, "ACME", None)], columns + ", GlobalName_UPDATED string")
+    assert run_phase(left, right, PHASES[2]).count() == 0
+    got = run_phase(left, right, PHASES[2], Settings(fill_missing=True)).collect()
+    assert [(r["left_id"], r["right_id"], r["method"], r["phase"]) for r in got] == [(1, 2, "Method 3", 3)]
