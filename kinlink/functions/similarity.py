@@ -133,6 +133,14 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return _indel_udf(a, b)
 
 
+def indel_ratio_once(a: Column, b: Column) -> Column:
+    """The same score for a column that is filtered next.
+
+    Marked so that the optimizer does not copy the filter below an aggregate and compute the score twice.
+    """
+    return F.pandas_udf(_indel_udf.func, T.DoubleType()).asNondeterministic()(a, b)
+
+
 def sorted_tokens(c: Column) -> Column:
     words = F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
     return F.array_join(F.array_sort(words), " ")

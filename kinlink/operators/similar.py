@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.functions.similarity import indel_ratio, may_reach
+from kinlink.functions.similarity import indel_ratio_once, may_reach
 
 _BUCKETS = 4096
 _EDGE = "\u0002"
@@ -95,6 +95,6 @@ def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: l
     b = b.withColumnsRenamed({"value": "right_value", "bits": "right_bits"})
     near = f"{_may_share('left', 'right', threshold, q)} AND {may_reach('left_value', 'right_value', threshold)}"
     pairs = a.join(b, [*block, "gram"]).where(near).select(*block, "left_value", "right_value").distinct()
-    return pairs.withColumn("score", indel_ratio(F.col("left_value"), F.col("right_value"))).where(
+    return pairs.withColumn("score", indel_ratio_once(F.col("left_value"), F.col("right_value"))).where(
         F.col("score") >= threshold
     )

@@ -4,7 +4,7 @@ import __spark_entry__ as contract
 from suite.compare import difference, duck_tables
 
 SMALL = "/root/testdata/sf0.001"
-FAST = ["cast_int", "std_common", "std_business_name", "std_city", "similar_names", "hierarchy", "batches", "name_maps", "phase1", "phase3", "metrics_log"]
+FAST = ["cast_int", "std_city", "similar_names", "hierarchy", "name_maps", "phase1", "phase3"]
 
 
 @pytest.mark.parametrize("name", FAST)

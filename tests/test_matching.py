@@ -36,6 +36,12 @@ def test_similarity_join_finds_every_pair(spark, threshold):
     assert got == {p for p, s in zip(pairs, scores) if s >= threshold}
 
 
+def test_a_pair_is_scored_once(spark):
+    a = spark.createDataFrame([("ACME BAKERY",)], "value string")
+    plan = similar_values(a, a, 90)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def in_turn(pairs):
     taken, out = set(), []
     for left in sorted({p[0] for p in pairs}):
