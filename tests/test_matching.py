@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from kinlink.functions.similarity import indel_scores
 from kinlink.operators import matching, names
