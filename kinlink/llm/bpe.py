@@ -11,6 +11,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import cached_property
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +20,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinlink.llm.common import slices
+from kinlink.llm.common import pieces, slices
 
 #: Splits a text before the merges (fixed value of the public byte-level vocabularies).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 128
 #: Words whose ids a task remembers; a full memory starts anew, which changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _NONE = np.int32(2**31 - 1)
+DIGESTS = T.StructType([
+    T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids_sha256", T.StringType()),
+    T.StructField("decoded_sha256", T.StringType()),
+])
 
 
 def byte_symbols() -> list[str]:
@@ -202,7 +208,7 @@ def encoded(text: str | Column, vocabulary) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary.value)
         for batch in batches:
-            packed = [x for run in slices(t or "" for t in batch.to_pylist()) for x in encoder.encode(run)]
+            packed = [x for run in slices((t or "" for t in pieces(batch)), 1_000_000) for x in encoder.encode(run)]
             ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
@@ -227,6 +233,31 @@ def decoded(ids: str | Column, vocabulary) -> Column:
     return texts(ids)
 
 
+def digests(text: str | Column, vocabulary) -> Column:
+    """Struct of n_tokens, ids_sha256 and decoded_sha256: a text's ids and what they decode to, without moving either.
+
+    One Python worker does both ways for a run of texts at a time; two functions in a row would hold two workers a task.
+    """
+
+    @F.arrow_udf(DIGESTS)
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(vocabulary.value)
+        get = vocabulary.value.bytes.__getitem__
+        for batch in batches:
+            counts, of_ids, of_texts = [], [], []
+            for run in slices((t or "" for t in pieces(batch)), 1_000_000):
+                for packed in encoder.encode(run):
+                    ids = np.frombuffer(packed, np.int32).tolist()
+                    back = b"".join(map(get, ids)).decode("utf-8", "replace")
+                    counts.append(len(ids))
+                    of_ids.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    of_texts.append(sha256(back.encode()).hexdigest())
+            parts = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
+            yield pa.StructArray.from_arrays(parts, DIGESTS.fieldNames())
+
+    return digest(text)
+
+
 def encode_table(df: DataFrame, vocabulary, text: str = "text", into: str = "token_ids") -> DataFrame:
     """``df`` with a column of token ids (a column of that name is replaced); all other columns stay as they are."""
     return df.withColumn(into, encoded(F.col(f"`{text}`"), vocabulary))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +21,17 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def slices(texts: Iterable[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` characters; a longer text comes alone and whole."""
+def pieces(column: pa.Array) -> Iterator[str | None]:
+    """The values of an Arrow column, a thousand at a time as Python objects."""
+    for start in range(0, len(column), 1_000):
+        yield from column.slice(start, 1_000).to_pylist()
+
+
+def slices(texts: Iterable[str], most: int = SLICE_CHARS, rows: int = 4_000) -> Iterator[list[str]]:
+    """Runs of at most ``rows`` texts of about ``most`` characters; a longer text comes alone and whole."""
     run, size = [], 0
     for text in texts:
-        if run and size + len(text) > most:
+        if run and (size + len(text) > most or len(run) >= rows):
             yield run
             run, size = [], 0
         run.append(text)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import bpe, toxicity
+from kinlink.llm import bottomk, bpe, extract, minhash, pii, toxicity
 from kinlink.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,18 +23,55 @@ def query(make: Query) -> Query:
     return make
 
 
+@query
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract.extract_table(pages, extract.load(spark))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets resemble each other by 0.8 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text that they decode to, as digests."""
     vocabulary = bpe.load(spark, TOKENIZER)
-    ids = bpe.encode_table(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, into="ids")
-    both = ids.select("doc_id", "ids", bpe.decoded("ids", vocabulary).alias("back"))
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return both.select(
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", bpe.digests("text", vocabulary).alias("d")).select("doc_id", "d.*")
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_in_table(docs, pii.load(spark), into="found").select("doc_id", "found")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        pii.digest(pii.listed("found", base_only=True)).alias("base_sha256"),
+        pii.listed("found").alias("spans"),
+    )
+
+
+@query
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    found = bottomk.fingerprints(table(spark, sf_dir, "documents"))
+    alike = lambda other: bottomk.resemblance(F.col("sketch"), F.col(other))
+    return found.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        bottomk.as_text(F.col("sketch")).alias("fingerprint"),
+        bottomk.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        alike("edited_sketch").alias("near_edited"),
+        alike("next_sketch").alias("near_next"),
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinlink.llm.common import NOT_WORD, HashedWords, slices
+from kinlink.llm.common import NOT_WORD, HashedWords, pieces, slices
 
 BITS = 20
 STEMS = (4, 5, 6)
@@ -153,7 +153,7 @@ def fit_chain(lists: list[np.ndarray], targets: dict[str, np.ndarray], folds: in
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def text_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        lists = [x for run in slices((t or "" for t in batch.to_pylist()), 1_000_000) for x in feature_lists(run)]
+        lists = [x for run in slices((t or "" for t in pieces(batch)), 1_000_000) for x in feature_lists(run)]
         ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
         yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*lists, np.zeros(0, np.int32)])))
 
@@ -208,7 +208,7 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text", into: str = "toxic
         own = shared.value
         used = own.features()
         for batch in batches:
-            runs = [own.predict(feature_lists(r, used)) for r in slices((t or "" for t in batch.to_pylist()), 1_000_000)]
+            runs = [own.predict(feature_lists(r, used)) for r in slices((t or "" for t in pieces(batch)), 1_000_000)]
             flat = np.concatenate([*(r.ravel() for r in runs), np.zeros(0)])
             ends = np.arange(len(batch) + 1, dtype=np.int32) * len(own.names)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
