@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import bottomk, bpe, extract, minhash, pii, toxicity
+from kinlink.llm import ann, bottomk, bpe, extract, minhash, mixing, pii, shards, toxicity, urls
 from kinlink.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@query
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text that they decode to, as digests."""
@@ -59,6 +65,20 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes as sequences of 512 tokens in training order, written as shards; the index is returned."""
+    docs = table(spark, sf_dir, "documents")
+    return shards.write_shards(docs, shards.text_bytes(), key=20240607).index
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the mixture takes, in which epoch and at which place of its source."""
+    taken = mixing.mixed_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return taken.select("doc_id", "source", mixing.word_count().alias("n_words"), "mix_epoch", "mix_place")
+
+
 @query
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
@@ -75,6 +95,14 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's address; unigram counts come from all documents."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = urls.judged(pages, urls.word_counts(table(spark, sf_dir, "documents")))
+    return found.select("page_id", "host", "path", "rule", "verdict", F.array_join("words", " ").alias("words"), "score")
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of the categories for every document, and whether it is rejected."""
