@@ -2,8 +2,9 @@
 
 Vectors are scaled to length one, so the largest cosine is the smallest distance. Each is projected by a Gaussian matrix to
 ``DIMENSIONS`` numbers; the squared projected distance of a pair, over its squared distance, is chi-square distributed with
-so many degrees of freedom. A query walks the leaves of the tree in the order of projected distance and verifies their
-points in full. It stops when a point still nearer than its k-th best would, with probability ``SURE``, have come before.
+so many degrees of freedom. A query opens the leaves of the tree in the order of projected distance and verifies points
+in full, nearest projections first. It stops where a point nearer than its k-th best would, with probability ``SURE``, have
+come before.
 
 Rows are cut into blocks and queries into runs; a task holds one block's tree and one run. Every row is indexed.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIMENSIONS = 8
-SURE = 0.98
+SURE = 0.95
 BLOCK, RUN, LEAF = 16_384, 4_096, 64
 
 
@@ -97,37 +98,47 @@ class Block:
         raw = vectors[first]
         unit = raw / np.sqrt((raw * raw).sum(1, keepdims=True))
         self.matrix = projection(raw.shape[1])
-        self.tree = Tree(unit @ self.matrix)
+        projected = unit @ self.matrix
+        self.tree = Tree(projected)
         self.points = self.tree.order
+        self.low_points = projected[self.points]
+        self.copies = np.array([len(x) for x in self.owned])[self.points]
         self.raw, self.unit = raw[self.points], unit[self.points]
 
     def nearest(self, own_id: int, query: np.ndarray, k: int, limit: float) -> tuple[list[tuple[int, float]], int]:
         """The k best (id, cosine) found, ties to the smaller id, and how many points were verified."""
         unit = query / np.sqrt((query * query).sum())
-        leaves, far = self.tree.leaves_from(unit @ self.matrix)
-        begin, end = self.tree.begin[leaves], self.tree.end[leaves]
-        at, step, seen = 0, 4, []
-        best = np.zeros(0)
-        verified = 0
-        while at < len(leaves):
-            if len(best) > k:
-                # one more than k, as the query itself may be among them
-                worst = max(2 - 2 * best[-1], 0.0)
-                if far[at] > limit * worst:
-                    break
+        aim = unit @ self.matrix
+        leaves, far = self.tree.leaves_from(aim)
+        begin, end, far = self.tree.begin[leaves], self.tree.end[leaves], np.append(far, np.inf)
+        at, step, best = 0, 4, np.zeros(0)
+        waiting, distance = np.zeros(0, np.int64), np.zeros(0)
+        seen_places, seen_cosines = [waiting], [distance]
+        reach = np.inf
+        while at < len(leaves) and far[at] <= reach:
             stop = min(at + step, len(leaves))
-            places = np.concatenate([np.arange(a, b) for a, b in zip(begin[at:stop], end[at:stop])])
-            cosines = self.unit[places] @ unit
-            verified += len(places)
-            seen.append((places, cosines))
-            copies = np.fromiter((len(self.owned[self.points[p]]) for p in places), np.int64, len(places))
-            best = np.sort(np.concatenate([best, np.repeat(cosines, copies)]))[::-1][: k + 1]
+            new = np.concatenate([np.arange(a, b) for a, b in zip(begin[at:stop], end[at:stop])])
+            waiting = np.concatenate([waiting, new])
+            distance = np.concatenate([distance, ((self.low_points[new] - aim) ** 2).sum(1)])
             at, step = stop, step * 2
-        places = np.concatenate([p for p, _ in seen]) if seen else np.zeros(0, np.int64)
-        cosines = np.concatenate([c for _, c in seen]) if seen else np.zeros(0)
+            # nothing outside the opened leaves is projected nearer than the next box
+            ready = distance <= min(far[at], reach)
+            places, waiting, distance = waiting[ready], waiting[~ready], distance[~ready]
+            cosines = self.unit[places] @ unit
+            seen_places.append(places)
+            seen_cosines.append(cosines)
+            near = cosines > best[-1] if len(best) > k else np.ones(len(cosines), bool)
+            best = np.sort(np.concatenate([best, np.repeat(cosines[near], self.copies[places[near]])]))[::-1][: k + 1]
+            if len(best) > k:  # one more than k, as the query itself may be among them
+                reach = limit * max(2 - 2 * best[-1], 0.0)
+        if at < len(leaves) or len(waiting):  # what lies between the last box and the reach
+            ready = distance <= reach
+            seen_places.append(waiting[ready])
+            seen_cosines.append(self.unit[waiting[ready]] @ unit)
+        places, cosines = np.concatenate(seen_places), np.concatenate(seen_cosines)
+        verified = len(places)
         if len(best):
-            close = cosines >= best[-1] - 1e-9
-            places = places[close]
+            places = places[cosines >= best[-1] - 1e-9]
         scores = exact_cosines(self.raw[places], query)
         found = [(-s, i) for p, s in zip(places, scores) for i in self.owned[self.points[p]] if i != own_id]
         return [(i, -s) for s, i in sorted(found)[:k]], verified
