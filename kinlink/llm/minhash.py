@@ -7,8 +7,8 @@ the sets' resemblance, and the number of equal ones is concentrated.
 
 Texts with equal sets are one class. Classes that share a band of the sketch meet in a bucket. A bucket of any size costs a
 pair for each member: all are verified against the least member. Buckets whose members are then still in several components
-are compared in tiles of bounded size, which emit only pairs that agree in enough coordinates. Links are confirmed on full
-sets made from the texts.
+are compared in tiles of bounded size: pairs that agree in enough coordinates are looked at, and a tile gives the links that
+join components. All links are confirmed on full sets made from the texts.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ from kinlink.storage import materialize
 COORDINATES = 128
 #: Coordinates of a band. At a resemblance of 0.8 all 32 bands differ in one of 19 million pairs.
 ROWS = 4
-#: Equal coordinates below which a pair of a tile is no candidate: six standard deviations under 0.8.
-AGREEING = 75
-TILE = 512
+#: Equal coordinates below which a pair of a tile is no candidate: five and a half standard deviations under 0.8.
+AGREEING = 78
+#: Rows of a side of a tile, and rows of the tiles that a task looks at together.
+TILE, TOGETHER = 512, 4_000
 SIGNED = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("cls", T.LongType()),
@@ -49,7 +50,7 @@ def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     rolled = np.zeros(len(own), np.uint64)
     rng = np.random.default_rng(width).integers(1, 2**62, max(width, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     with np.errstate(over="ignore"):
-        for j in range(width):
+        for j in range(min(width, len(own))):
             rolled[: len(own) - j] += own[j:] * rng[j]
     rolled = mixed(rolled, 1)
     sets = []
@@ -146,20 +147,38 @@ def class_of(text: str | Column, width: int) -> Column:
     return classes(text)
 
 
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union holds for two ascending sets, neither of them empty."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def set_list(texts: list[str], width: int) -> list[np.ndarray]:
+    out = []
+    for run in slices(texts, 1_000_000):
+        values, ends = shingle_sets(run, width)
+        out += [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    return out
+
+
 def resembling(left: str, right: str, width: int, percent: int) -> Column:
-    """Whether 100 * intersection >= percent * union holds for the shingle sets of two texts."""
+    """Whether the full shingle sets of two texts resemble each other enough."""
 
     @F.arrow_udf(T.BooleanType())
     def check(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for a, b in batches:
-            out, last, kept = np.zeros(len(a), bool), None, None
-            for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist())):
-                if x != last:  # rows with the same left text come together
-                    last, kept = x, shingle_sets([x], width)[0]
-                other = shingle_sets([y], width)[0]
-                common = len(np.intersect1d(kept, other, assume_unique=True))
-                out[i] = 100 * common >= percent * (len(kept) + len(other) - common) > 0
-            yield pa.array(out)
+            out = []
+            for start in range(0, len(a), 500):
+                x, y = a.slice(start, 500).to_pylist(), b.slice(start, 500).to_pylist()
+                texts = list({*x, *y})
+                sets = dict(zip(texts, set_list(texts, width)))
+                out += [alike(sets[s], sets[t], percent) for s, t in zip(x, y)]
+            yield pa.array(out, pa.bool_())
 
     return check(left, right)
 
@@ -171,32 +190,53 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return pairs.join(first, "a").join(second, "b").where(resembling("text_a", "text_b", width, percent)).select("a", "b")
 
 
-def _tile_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a tile that agree in enough coordinates, lie in two components and meet in this bucket first."""
+def _tile_links(rows: pd.DataFrame, width: int, percent: int) -> list[tuple[int, int]]:
+    """Links of one tile that join components: pairs that agree enough are confirmed on full sets, the likeliest first.
+
+    A pair whose ends are joined already is passed over, so a tile gives fewer links than it has rows.
+    """
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
     if not len(left) or not len(right):
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return []
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
     short = np.stack([np.frombuffer(x, "<u2") for x in right["short"]])
     bands = np.stack([np.asarray(x, np.int64) for x in right["bands"]])
     cls, comp, rest = (right[c].to_numpy() for c in ("cls", "comp", "rest"))
-    a, b = [], []
-    for one, own, mine, mine_comp in zip(left["cls"], left["short"], left["bands"], left["comp"]):
-        may = (comp != mine_comp) & (~rest | (cls > one))
-        at = np.flatnonzero(may)
-        at = at[(short[at] == np.frombuffer(own, "<u2")).sum(1) >= AGREEING]
-        if len(at):
-            same = bands[at] == np.asarray(mine, np.int64)
-            at = at[np.asarray(mine, np.int64)[same.argmax(1)] == key[0]]
-        a += [one] * len(at)
-        b += cls[at].tolist()
-    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-
-def unsettled_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of buckets whose members still lie in several components.
+    texts, key = right["text"].to_numpy(), int(rows["k"].iloc[0])
+    sets: dict[int, np.ndarray] = {}
+
+    def full(one: int, text: str) -> np.ndarray:
+        if one not in sets:
+            sets[one] = set_list([text], width)[0]
+        return sets[one]
+
+    links = []
+    for one, own, mine, own_comp, text in zip(*(left[c] for c in ("cls", "short", "bands", "comp", "text"))):
+        agreeing = (short == np.frombuffer(own, "<u2")).sum(1)
+        at = np.flatnonzero((comp != own_comp) & (~rest | (cls > one)) & (agreeing >= AGREEING))
+        if not len(at):
+            continue
+        mine = np.asarray(mine, np.int64)
+        at = at[mine[(bands[at] == mine).argmax(1)] == key]  # the pair's first common bucket looks at it
+        for i in at[np.argsort(-agreeing[at], kind="stable")].tolist():
+            a, b = root(int(own_comp)), root(int(comp[i]))
+            if a != b and alike(full(int(one), text), full(int(cls[i]), texts[i]), percent):
+                above[a] = b
+                links.append((int(one), int(cls[i])))
+    return links
+
+
+def unsettled_links(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) within buckets whose members still lie in several components.
 
     All members are held against those outside the component of the bucket's least member, in tiles of ``TILE`` by ``TILE``
-    rows; a row is copied once for each tile of the other side.
+    rows; a row is copied once for each tile of the other side. Many tiles share a task, a few thousand rows at a time.
     """
     known = labels.select(F.col("node").alias("cls"), F.col("component").alias("comp"))
     placed = members.join(known, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
@@ -204,16 +244,23 @@ def unsettled_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -
     placed = materialize(placed.join(hub, "k").withColumn("rest", F.col("comp") != F.col("hub_comp")), "placed")
     sizes = placed.groupBy("k").agg(F.count("*").alias("all"), F.sum(F.col("rest").cast("long")).alias("others"))
     tiles = lambda name: F.ceil(F.col(name) / TILE).cast("int")
-    sizes = sizes.where("others > 0").select("k", tiles("all").alias("wide"), tiles("others").alias("high"))
-    rows = placed.join(sizes, "k").join(classes.select("cls", "bands", "short"), "cls")
+    sizes = sizes.where("others > 0").withColumns({"wide": tiles("all"), "high": tiles("others")})
+    copies = sizes.agg(F.sum(F.expr("`all` * high + others * wide"))).first()[0] or 0
+    groups = -(-copies // TOGETHER) or 1
+    rows = placed.join(sizes.select("k", "wide", "high"), "k")
     own = lambda n: F.pmod(F.xxhash64("cls", "k"), F.col(n)).cast("int")
-    columns = ["k", "cls", "comp", "rest", "bands", "short"]
     down = rows.where("rest").withColumns({"i": own("high"), "j": F.explode(F.sequence(F.lit(0), F.col("wide") - 1))})
     across = rows.withColumns({"j": own("wide"), "i": F.explode(F.sequence(F.lit(0), F.col("high") - 1))})
-    both = down.select(*columns, "i", "j", F.lit(0).alias("side")).unionByName(
-        across.select(*columns, "i", "j", F.lit(1).alias("side"))
-    )
-    return both.groupBy("k", "i", "j").applyInPandas(_tile_pairs, "a long, b long").distinct()
+    columns = ["k", "i", "j", "cls", "comp", "rest"]
+    both = down.select(*columns, F.lit(0).alias("side")).unionByName(across.select(*columns, F.lit(1).alias("side")))
+    both = both.join(classes.select("cls", "bands", "short"), "cls").join(texts, "cls")
+    both = both.withColumn("together", F.pmod(F.xxhash64("k", "i", "j"), F.lit(groups)))
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [x for _, tile in pdf.groupby(["k", "i", "j"], sort=False) for x in _tile_links(tile, width, percent)]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return both.groupBy("together").applyInPandas(links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,11 +286,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     pairs = members.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     links = materialize(verified(pairs, texts, width, percent), "star_links")
     labels = components(links)
-    more = verified(unsettled_pairs(members, labels, classes), texts, width, percent)
+    more = unsettled_links(members, labels, classes, texts, width, percent)
     labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     of_class = least.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
     of_class = of_class.withColumn("component", F.coalesce("component", "cls"))
-    names = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    # stored, so that a component of very many classes can be split in the join
+    names = materialize(of_class.groupBy("component").agg(F.min("least").alias("component_id")), "names")
     named = materialize(of_class.join(names, "component").select("cls", "component_id"), "components")
     out = some.join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = all_rows.where("cls is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

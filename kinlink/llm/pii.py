@@ -127,7 +127,7 @@ def features(words: list[str]) -> list[list[int]]:
     return out
 
 
-def training_table(rows: int = 1000, seed: int = 5) -> list[tuple[list[str], list[str]]]:
+def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], list[str]]]:
     """Labelled stretches made by rule: (words, label of each word), ``-`` for words that are not personal data."""
     rng = np.random.default_rng(seed)
     pick = lambda *choices: choices[rng.integers(len(choices))]
@@ -180,6 +180,8 @@ def training_table(rows: int = 1000, seed: int = 5) -> list[tuple[list[str], lis
             [letters(4, capital) + "-" + number(2)],
             [letters(4) + number(2)],
             ["page=" + number(1)],
+            [pick("page", "of", "No", "year", "chapter"), str(rng.integers(1, 3000)), "of", str(rng.integers(1, 3000))],
+            [number(pick(1, 2, 3, 4, 5))],
             [letters(1), "=", str(rng.integers(1, 99))],
             [letters(1) + "=" + letters(1) + "+" + number(1)],
             ["C++"],
@@ -192,12 +194,12 @@ def training_table(rows: int = 1000, seed: int = 5) -> list[tuple[list[str], lis
         )
 
     table = []
-    for i in range(rows):
+    for _ in range(rows):
         words, labels = [], []
         for _ in range(rng.integers(1, 4)):
             for _ in range(rng.integers(0, 5)):
                 words, labels = words + [plain()], labels + ["-"]
-            if i % 2:
+            if rng.random() < 0.45:
                 more, kind = private()
                 more = [*more[:-1], more[-1] + pick("", "", "", ".", ",")]
                 # of a name, an equals sign and a value only the value is private
@@ -206,7 +208,8 @@ def training_table(rows: int = 1000, seed: int = 5) -> list[tuple[list[str], lis
                 more = harmless()
                 own = ["-"] * len(more)
             words, labels = words + more, labels + own
-            words, labels = words + [plain()], labels + ["-"]
+            after = [plain()] if rng.random() < 0.8 else []
+            words, labels = words + after, labels + ["-"] * len(after)
         table.append((words, labels))
     return table
 
