@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +29,10 @@ CATEGORIES = {
     "contempt": ("worthless", "pathetic", "disgusting"),
     "dehumanising": ("scum", "trash", "vermin"),
 }
+#: Labelled texts that a feature must occur in to count, and the share of them above which it says nothing.
+LEAST_TEXTS, MOST_SHARE = 4, 0.25
 #: Labelled rows of each class that a fit reads at most, taken in the order of a hash of doc_id.
-MOST_TOXIC, MOST_CLEAN = 4_000, 8_000
+MOST_TOXIC, MOST_CLEAN = 2_000, 4_000
 
 
 def feature_lists(texts: list[str], wanted: np.ndarray | None = None) -> list[np.ndarray]:
@@ -105,8 +106,8 @@ def fit_linear(rows, features, n, before, target, most=2_000, least=4, steps=250
 class Chain:
     names: list[str]
     models: list[Linear]
-    folds_seen: int = 0
     held_out: dict[str, float] = field(default_factory=dict)
+    threshold: float = 0.5
 
     def features(self) -> np.ndarray:
         """A flag for each feature that any model looks at."""
@@ -128,26 +129,40 @@ class Chain:
 
 def fit_chain(lists: list[np.ndarray], targets: dict[str, np.ndarray], folds: int = 3) -> Chain:
     """Fits the categories in the order of ``targets``. A category without examples of both kinds is constant."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    rows, n = np.repeat(np.arange(len(lists)), sizes), len(lists)
-    features = np.concatenate([*lists, np.zeros(0, np.int32)]).astype(np.int64)
-    fold = np.arange(n) % folds
+    n = len(lists)
+    rows = np.repeat(np.arange(n, dtype=np.int32), np.fromiter(map(len, lists), np.int64, n))
+    features = np.concatenate([*lists, np.zeros(0, np.int32)])
+    texts_with = np.bincount(features, minlength=1 << BITS)
+    useful = ((texts_with >= LEAST_TEXTS) & (texts_with <= max(MOST_SHARE * n, LEAST_TEXTS)))[features]
+    rows, features = rows[useful], features[useful]
+    fold = np.random.default_rng(n).permutation(n) % folds
     before, models, held_out = np.zeros((n, 0)), [], {}
     for name, target in targets.items():
         target = np.asarray(target, float)
         out_of_fold = np.zeros(n)
         for k in range(folds):
             mine, rest = fold == k, fold != k
-            place = np.cumsum(rest) - 1
             took = rest[rows]
+            place = (np.cumsum(rest) - 1).astype(np.int32)
             model = fit_linear(place[rows[took]], features[took], int(rest.sum()), before[rest], target[rest])
-            place = np.cumsum(mine) - 1
             took = mine[rows]
+            place = (np.cumsum(mine) - 1).astype(np.int32)
             out_of_fold[mine] = model.score(place[rows[took]], features[took], int(mine.sum()), before[mine])
         models.append(fit_linear(rows, features, n, before, target))
         held_out[name] = float(((out_of_fold >= 0.5) == (target > 0)).mean()) if n else 1.0
         before = np.column_stack([before, out_of_fold])
-    return Chain(list(targets), models, folds, held_out)
+    return Chain(list(targets), models, held_out, best_threshold(out_of_fold, target) if targets else 0.5)
+
+
+def best_threshold(probability: np.ndarray, target: np.ndarray) -> float:
+    """The threshold with the fewest errors out of fold; of several the middle of the widest gap."""
+    order = np.argsort(probability, kind="stable")
+    p, t = probability[order], target[order] > 0
+    errors = np.concatenate([[(~t).sum()], (~t).sum() + np.cumsum(np.where(t, 1, -1))])  # the first i are let through
+    edges = np.concatenate([[0.0], p, [1.0]])
+    gaps = np.where(errors == errors.min(), np.diff(edges), -1)
+    at = int(gaps.argmax())
+    return float((edges[at] + edges[at + 1]) / 2)
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
@@ -158,7 +173,7 @@ def text_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*lists, np.zeros(0, np.int32)])))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> pd.DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Features and labels of at most so many labelled rows of each class; equal texts count once."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
@@ -167,12 +182,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_cl
         part = known.where(F.col("toxic") == value).orderBy(*order).limit(most)
         ids = part if ids is None else ids.unionByName(part)
     spark = docs.sparkSession
-    ids = spark.createDataFrame(ids.toPandas().astype({"doc_id": "int64", "toxic": "int32"}), "doc_id long, toxic int")
+    ids = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids.collect()], "doc_id long, toxic int")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    rows = texts.select("doc_id", "toxic", text_features("text").alias("features")).toPandas()
-    rows = rows.sort_values("doc_id", ignore_index=True)
-    rows["same"] = [np.asarray(f, np.int32).tobytes() for f in rows["features"]]
-    return rows.drop_duplicates(["same", "toxic"], ignore_index=True).drop(columns="same")
+    found = texts.select("doc_id", "toxic", text_features("text").alias("features")).toArrow().combine_chunks()
+    order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
+    toxic, lists = found["toxic"].to_numpy(), found["features"]
+    kept, seen = [], set()
+    for i in order.tolist():
+        own = lists[i].values.to_numpy()
+        key = (int(toxic[i]), hash(own.tobytes()))
+        if key not in seen:
+            seen.add(key)
+            kept.append((own, int(toxic[i])))
+    return [own for own, _ in kept], np.array([label for _, label in kept], float)
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...]] | None = None, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Chain:
@@ -181,9 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...
     A toxic text is of a category if it has one of the category's words; the last category, ``toxic``, is the label. Rows
     without text or label are left out; without any labelled row the chain rejects nothing.
     """
-    rows = labelled_sample(docs, labels, most_toxic, most_clean)
-    lists = [np.asarray(f, np.int32) for f in rows["features"]]
-    toxic = rows["toxic"].to_numpy(float) if len(rows) else np.zeros(0)
+    lists, toxic = labelled_sample(docs, labels, most_toxic, most_clean)
     targets = {}
     for name, words in (CATEGORIES if categories is None else categories).items():
         seeds = np.array([word_feature(w) for w in words])
@@ -195,9 +215,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...
     return fit_chain(lists, targets)
 
 
-def scored(docs: DataFrame, chain: Chain, text: str = "text", into: str = "toxicity", threshold: float = 0.5) -> DataFrame:
+def scored(docs: DataFrame, chain: Chain, text: str = "text", into: str = "toxicity", threshold: float | None = None) -> DataFrame:
     """``docs`` with a struct column of each category's probability and the verdict ``rejected``.
 
+    A text is rejected from ``threshold`` up, or else from the chain's own, which had the fewest errors out of fold.
     Null and empty texts are scored like a text without words; all columns of ``docs`` stay (one named ``into`` is
     replaced).
     """
@@ -217,5 +238,5 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text", into: str = "toxic
     while raw in docs.columns:
         raw = "_" + raw
     each = [F.col(raw)[i].alias(name) for i, name in enumerate(chain.names)]
-    verdict = (F.col(raw)[len(chain.names) - 1] >= threshold).alias("rejected")
+    verdict = (F.col(raw)[len(chain.names) - 1] >= (chain.threshold if threshold is None else threshold)).alias("rejected")
     return docs.withColumn(raw, probabilities(F.col(f"`{text}`"))).withColumn(into, F.struct(*each, verdict)).drop(raw)

@@ -32,7 +32,7 @@ def test_held_out_accuracy(spark, tables):
     chain = toxicity.fit(*tables)
     assert chain.names == [*toxicity.CATEGORIES, "toxic"] and min(chain.held_out.values()) > 0.95
     texts, toxic = corpus(600, 2)
-    rejected = chain.predict(toxicity.feature_lists(texts))[:, -1] >= 0.5
+    rejected = chain.predict(toxicity.feature_lists(texts))[:, -1] >= chain.threshold
     assert (rejected == np.array(toxic, bool)).mean() > 0.97
 
 
