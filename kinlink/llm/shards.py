@@ -1,7 +1,7 @@
 """Training order on disk: a keyed Feistel permutation gives every sequence a global slot, and shards hold slots in order.
 
-Texts become tokens of fixed width, tokens become sequences of fixed length, and sequences are numbered 0 .. n - 1 in the
-order of the stored table. The permutation works on the next even power of two; numbers that leave the range walk on along
+Texts become tokens of fixed width, tokens are packed end to end into sequences of fixed length, and sequences are numbered
+0 .. n - 1 in the order of the stored table. The permutation works on the next even power of two; numbers that leave the range walk on along
 their cycle until they return, so it is a permutation of exactly 0 .. n - 1 that needs no table. Slots are cut into ranges,
 and each range is one file of records of fixed stride, so slot s is found by arithmetic, and a reader resumes anywhere.
 
@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,54 +73,98 @@ class Shards:
     n: int
     bytes: int  # of a sequence, without the line end
     rows: int  # slots of a shard
-    index: DataFrame  # doc_id, piece, n_tokens, slot, shard, offset
+    index: DataFrame  # doc_id, piece, n_tokens, begin (bytes into the sequence), slot, shard, offset (of the record)
+
+
+def _sequences(size: int):
+    """Cuts a partition's payloads, end to end, into (part, number, record); the last record is filled up with zeros."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, rest, rows = TaskContext.get().partitionId(), 0, b"", 0
+
+        def made(data: bytes) -> pa.RecordBatch:
+            n = len(data) // size
+            ends = pa.py_buffer(np.arange(0, (n + 1) * size, size, dtype=np.int32).tobytes())
+            records = pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(data)])
+            numbers = pa.array(np.arange(number, number + n), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), numbers, records], ["part", "number", "record"])
+
+        for batch in batches:
+            rows += batch.num_rows
+            for run in range(0, batch.num_rows, 1_000):
+                data = b"".join([rest, *batch.column(0).slice(run, 1_000).to_pylist()])
+                whole = len(data) // size * size
+                rest = data[whole:]
+                if whole:
+                    yield made(data[:whole])
+                    number += whole // size
+        if rest or (rows and not number):
+            yield made(rest.ljust(size, b"\x00"))
+
+    return cut
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (doc_id, held) the partition and where each row's bytes begin in its stream."""
+    part, at = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        held = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = at + np.cumsum(held) - held
+        at += int(held.sum())
+        more = [pa.array([part] * batch.num_rows, pa.int32()), pa.array(starts, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *more], ["doc_id", "held", "part", "start"])
 
 
 def write_shards(docs: DataFrame, payload: Column, key: int, length: int = 512, width: int = 1, rows: int = 32_768, path: str | None = None, doc_id: str = "doc_id") -> Shards:
-    """Cuts each row's tokens into sequences of ``length``, permutes all sequences and writes them and their index.
+    """Packs the rows' tokens into sequences of ``length``, permutes all sequences and writes them and their index.
 
-    ``docs`` is a stored table: its partitions and their order number the sequences, so they must be the same when read
-    again. The last sequence of a row is filled up with zero bytes, and the index has its true length; a row without tokens
-    has one sequence of length 0. Nothing is dropped. An empty table gives an index without rows and no shard.
+    Rows follow each other without gaps inside a partition of ``docs``, so only a partition's last sequence is filled up
+    with zero bytes. ``docs`` is a stored table: its partitions and their order number the sequences, so they must be the
+    same when read again. The index names, for each row, the sequences that hold it; a row without tokens has one entry of
+    length 0. Nothing is dropped. An empty table gives an index without rows and no shard.
     """
     spark = docs.sparkSession
     size = length * width
     path = path or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
     rows_of = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), payload.alias("payload"))
-    count = F.greatest(F.ceil(F.octet_length("payload") / size), F.lit(1)).cast("int")
-    sums = rows_of.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(count.cast("long")).alias("sequences"))
-    sums = sums.persist()
+    held = F.octet_length("payload").cast("long")
+    sums = rows_of.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(held).alias("held"))
+    sums = sums.select("part", F.greatest(F.ceil(F.col("held") / size), F.lit(1)).alias("sequences")).persist()
     n = sums.agg(F.sum("sequences")).first()[0] or 0
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each partition of the input: as few as its splits
-    offsets = sums.select("part", F.coalesce(F.sum("sequences").over(earlier), F.lit(0)).alias("before"))
+    offsets = F.broadcast(sums.select("part", "sequences", F.coalesce(F.sum("sequences").over(earlier), F.lit(0)).alias("before")))
 
     @F.arrow_udf(T.LongType())
     def slot_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(permuted(batch.to_numpy(zero_copy_only=False), n, key))
 
-    def numbered(content: bool) -> DataFrame:
-        own = lambda i: F.struct(i.alias("piece"), F.least(F.lit(size), F.octet_length("payload") - i * size).alias("held"), *([F.rpad(F.substring("payload", i * size + 1, F.lit(size)), size, F.lit(b"\x00")).alias("record")] if content else []))
-        cut = rows_of.select("doc_id", F.inline(F.transform(F.sequence(F.lit(0), count - 1), own)))
-        placed = cut.withColumn("_at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("_at", 33).cast("int"))
-        joined = placed.join(F.broadcast(offsets), "part")
-        number = F.col("before") + F.col("_at") - F.shiftleft(F.col("part").cast("long"), 33)
-        with_slot = joined.withColumn("slot", slot_of(number))
-        return with_slot.withColumn("shard", F.expr(f"cast(slot div {rows} as int)")).drop("_at", "part", "before")
-
+    shard = F.expr(f"cast(slot div {rows} as int)")
     if n:
-        records = numbered(True).select("shard", "slot", F.col("record").cast("string").alias("record"))
+        cut = rows_of.select("payload").mapInArrow(_sequences(size), "part int, number long, record binary")
+        placed = cut.join(offsets, "part").select(slot_of(F.col("before") + F.col("number")).alias("slot"), "record")
+        records = placed.select(shard.alias("shard"), "slot", F.col("record").cast("string").alias("record"))
         parts = max(1, min(-(-n // rows), 100_000))
         dealt = records.repartition(parts, "shard").sortWithinPartitions("shard", "slot")
         dealt.select("shard", "record").write.partitionBy("shard").text(f"{path}/shards")
-    index = numbered(False).select(
-        "doc_id", "piece", F.greatest(F.expr(f"held div {width}"), F.lit(0)).cast("int").alias("n_tokens"), "slot", "shard",
-        (F.expr(f"slot % {rows}") * (size + 1)).alias("offset"),
+    kind = rows_of.schema["doc_id"].dataType.simpleString()
+    streams = rows_of.select("doc_id", held.alias("held")).mapInArrow(_places, f"doc_id {kind}, held long, part int, start long")
+    first = F.least(F.expr(f"start div {size}"), F.col("sequences") - 1)
+    last = F.greatest(first, F.expr(f"(start + held - 1) div {size}"))
+    pieces_of = streams.join(offsets, "part").select("*", F.posexplode(F.sequence(first, last)).alias("piece", "number"))
+    begin = F.greatest(F.col("start") - F.col("number") * size, F.lit(0))
+    end = F.least(F.col("start") + F.col("held") - F.col("number") * size, F.lit(size))
+    index = pieces_of.select(
+        "doc_id", "piece", ((end - begin) / width).cast("int").alias("n_tokens"),
+        F.least(begin, F.lit(size)).cast("int").alias("begin"), slot_of(F.col("before") + F.col("number")).alias("slot"),
     )
     index.write.parquet(f"{path}/index")
     sums.unpersist()
-    return Shards(path, n, size, rows, spark.read.schema(index.schema).parquet(f"{path}/index"))
+    stored = spark.read.schema(index.schema).parquet(f"{path}/index")
+    # shard and offset follow from the slot, so they take no room
+    stored = stored.withColumns({"shard": shard, "offset": F.expr(f"slot % {rows}") * (size + 1)})
+    return Shards(path, n, size, rows, stored)
 
 
 def read_slots(spark: SparkSession, shards: Shards, first: int, count: int) -> DataFrame:

@@ -84,7 +84,7 @@ def test_op5(spark, docs):
 
 def test_op6_and_op7(spark, docs):
     index = queries.op6_shards(spark, SMALL).collect()
-    assert sorted(r["slot"] for r in index) == list(range(len(index)))
+    assert {r["slot"] for r in index} == set(range(max(r["slot"] for r in index) + 1))
     held = {}
     for r in index:
         held[r["doc_id"]] = held.get(r["doc_id"], 0) + r["n_tokens"]
