@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 Encoder = Callable[[list[str]], np.ndarray]
 
 DIMENSIONS = 256
+_CHARACTERS = 1_000_000  # of texts whose windows are laid out at once; a longer text comes alone
 
 
 @lru_cache(maxsize=200_000)
@@ -19,13 +20,32 @@ def _slot(gram: str) -> int:
     return hashlib.md5(gram.encode("utf-8", "surrogatepass")).digest()[0]
 
 
+def _trigram_counts(texts: list[str]) -> np.ndarray:
+    """Counts by place. Each distinct trigram is hashed once; windows and counts are array operations."""
+    padded = [f"  {text} " for text in texts]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    lengths = np.fromiter(map(len, padded), np.int64, len(padded))
+    rows = np.repeat(np.arange(len(padded)), lengths)
+    inside = rows[:-2] == rows[2:]  # windows do not reach over the end of a text
+    grams = ((codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:])[inside]
+    distinct, which = np.unique(grams, return_inverse=True)
+    letters = lambda g: chr(g >> 42) + chr(g >> 21 & 0x1FFFFF) + chr(g & 0x1FFFFF)
+    slots = np.fromiter((_slot(letters(g)) for g in distinct.tolist()), np.int64, len(distinct))
+    places = rows[:-2][inside] * DIMENSIONS + slots[which]
+    return np.bincount(places, minlength=len(padded) * DIMENSIONS).reshape(len(padded), DIMENSIONS)
+
+
 def hashed_trigrams(texts: list[str]) -> np.ndarray:
     """Counts of character trigrams, hashed to 256 places and scaled to length one; needs no model file."""
     out = np.zeros((len(texts), DIMENSIONS), dtype=np.float64)
-    for row, text in enumerate(texts):
-        padded = f"  {text} "
-        for i in range(len(padded) - 2):
-            out[row, _slot(padded[i : i + 3])] += 1.0
+    start = 0
+    while start < len(texts):
+        end, size = start, 0
+        while end < len(texts) and (end == start or size + len(texts[end]) <= _CHARACTERS):
+            size += len(texts[end])
+            end += 1
+        out[start:end] = _trigram_counts(texts[start:end])
+        start = end
     norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return (out / np.where(norms > 0, norms, 1.0)).astype(np.float32)
 

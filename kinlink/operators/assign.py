@@ -2,6 +2,12 @@
 
 Left rows choose in ascending id; each takes the best right row still free by name score, street score, then
 smallest right id. Pairs arrive between *classes* of equal rows, so a group of copies is one pair.
+
+One path serves blocks of any size. The left rows of a block are cut, in their order, into turns whose pairs fit a
+budget; round k settles turn k of all blocks at once, a task per block, and what it took is no longer free in round
+k + 1. A row of a turn with c rows needs only its c best free places, as no more can be taken before it chooses, so a
+turn's pairs are bounded whatever the block's. Small blocks have one turn, and the rounds of a large block are its
+bounded pairs over the budget, not the length of a chain of rejections.
 """
 
 import numpy as np
@@ -9,12 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinlink.operators.ordering import rank_in_group
-from kinlink.storage import materialize
+from kinlink.operators.ordering import running_total
+from kinlink.storage import discard, materialize
 
-PAIRS_PER_TASK = 200_000
+PAIRS_PER_TURN = 200_000
 
-_TIER = ["left_class", "name_score", "street_score"]
+_TIER = ["name_score", "street_score"]
 _MATCH = ["block", "left_id", "right_id", "street_score", "name_score", "used_global"]
 _SCHEMA = (
     "block string, left_id bigint, right_id bigint, street_score double, name_score double, used_global boolean"
@@ -36,102 +42,61 @@ def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
     return pairs.iloc[chosen][_MATCH]
 
 
-def assign(
-    pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
-) -> DataFrame:
-    """Matches ``(block, left_id, right_id, street_score, name_score, used_global)``.
+def _turns(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, budget: int) -> DataFrame:
+    """``(block, left_class, left_id, turn, rows)``: when each left row chooses and how many rows choose with it.
 
-    ``pairs``: block, left_class, right_class and scores, one row per class pair; members: class and row id.
-    Blocks whose row pairs number at most ``pairs_per_task`` are settled in one task each; larger ones in rounds
-    over the whole cluster.
+    A row weighs as many pairs as it has places, but no more than the root of the budget and no less than a share
+    that bounds the rows of a turn.
     """
-    left_sizes = left_members.groupBy("left_class").agg(F.count("*").alias("left_n"))
-    right_sizes = right_members.groupBy("right_class").agg(F.count("*").alias("right_n"))
-    sized = pairs.join(left_sizes, "left_class").join(right_sizes, "right_class")
-    load = sized.groupBy("block").agg(F.sum(F.col("left_n").cast("double") * F.col("right_n")).alias("load"))
-    large = load.where(F.col("load") > pairs_per_task).select("block")
-    if large.isEmpty():
-        return _in_blocks(pairs, left_members, right_members)
-    large = materialize(large, "large-blocks")
-    settled = _in_blocks(pairs.join(large, "block", "left_anti"), left_members, right_members)
-    sized = materialize(sized.join(large, "block", "left_semi"), "large-pairs")
-    return settled.unionByName(assign_in_rounds(sized, left_members, right_members))
-
-
-def _in_blocks(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
-    rows = pairs.join(left_members, "left_class").join(right_members, "right_class").select(_MATCH)
-    return rows.groupBy("block").applyInPandas(greedy, _SCHEMA)
+    places = right_members.groupBy("right_class").agg(F.count("*").alias("n"))
+    most = max(int(budget**0.5), 1)
+    reach = pairs.join(places, "right_class").groupBy("block", "left_class").agg(F.sum("n").alias("n"))
+    weight = F.greatest(F.lit(max(most // 8, 1)), F.least(F.lit(most), F.col("n"))).cast("bigint")
+    asking = left_members.join(reach.select("block", "left_class", weight.alias("_weight")), "left_class")
+    placed = materialize(running_total(asking, ["block", "left_id"], "_weight", "_upto"), "asking")
+    first = placed.groupBy("block").agg(F.min(F.col("_upto") - F.col("_weight")).alias("_start"))
+    turn = F.expr(f"cast((_upto - _weight - _start) div {max(budget, 1)} as int)")
+    timed = placed.join(first, "block").select("block", "left_class", "left_id", turn.alias("turn"))
+    sizes = timed.groupBy("block", "turn").agg(F.count("*").alias("rows"))
+    return materialize(timed.join(sizes, ["block", "turn"]), "turns")
+
+
+def _wishes(now: DataFrame, pairs: DataFrame, free: DataFrame) -> DataFrame:
+    """Row pairs of the rows that choose now: of each row its best free places, as many as rows choose in its block."""
+    seat = F.row_number().over(Window.partitionBy("right_class").orderBy("right_id"))
+    most = now.groupBy("block").agg(F.max("rows").alias("most"))
+    asked = pairs.join(now.select("block", "left_class").distinct(), ["block", "left_class"], "left_semi").join(most, "block")
+    open_seats = free.withColumn("seat", seat)
+    needed = asked.groupBy("right_class").agg(F.max("most").alias("deepest"))
+    open_seats = open_seats.join(needed, "right_class").where("seat <= deepest").drop("deepest")
+    best = Window.partitionBy("block", "left_class").orderBy(*(F.desc(c) for c in _TIER), "right_id")
+    # copies in one left class have the same list, so it is cut once for all of them
+    listed = asked.join(open_seats, "right_class").where("seat <= most").withColumn("rank", F.row_number().over(best))
+    return now.join(listed.where("rank <= most"), ["block", "left_class"]).select(_MATCH)
 
 
-def _units(sized: DataFrame, right_members: DataFrame) -> DataFrame:
-    """Preference units per class pair: a right class with its size, or its single rows where scores tie.
+def assign(
+    pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, pairs_per_turn: int = PAIRS_PER_TURN
+) -> DataFrame:
+    """Matches ``(block, left_id, right_id, street_score, name_score, used_global)``.
 
-    Copies inside one right class are taken in id order by everyone, so the class with a capacity stands for them.
-    Two right classes with equal scores for some left class compete row by row and are split into rows.
-    """
-    ties = sized.groupBy(*_TIER).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    tied = sized.join(ties, _TIER, "left_semi").select("right_class").distinct()
-    whole = sized.join(tied, "right_class", "left_anti").withColumns(
-        {"unit": F.col("right_class"), "capacity": F.col("right_n")}
-    )
-    single = (
-        sized.join(tied, "right_class", "left_semi")
-        .join(right_members, "right_class")
-        .withColumns({"unit": F.col("right_id"), "capacity": F.lit(1).cast("bigint")})
-        .drop("right_id")
-    )
-    return whole.unionByName(single.select(whole.columns))
-
-
-def _wishes(units: DataFrame) -> DataFrame:
-    """Each left class's units in order of preference: number ``wish`` and the places ``before`` it.
-
-    A tier (one score) holds one whole class or single rows, so a place in the tier is a rank. Ranks are taken in
-    id ranges and tiers are added up, as one tier may hold a great many rows.
-    """
-    ahead = Window.partitionBy("left_class").orderBy(F.desc("name_score"), F.desc("street_score"))
-    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    tiers = units.groupBy(*_TIER).agg(F.count("*").alias("n"), F.sum("capacity").alias("places"))
-    tiers = tiers.select(
-        *_TIER,
-        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("units_ahead"),
-        F.coalesce(F.sum("places").over(ahead), F.lit(0)).alias("places_ahead"),
-    )
-    placed = rank_in_group(units, _TIER, "unit", "at").join(tiers, _TIER)
-    wish, before = F.col("units_ahead") + F.col("at"), F.col("places_ahead") + F.col("at") - 1
-    return placed.withColumns({"wish": wish, "before": before}).drop("units_ahead", "places_ahead", "at")
-
-
-def assign_in_rounds(sized: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
-    """The same matches by deferred acceptance: every right row prefers the smallest left id.
-
-    With one common order on the right the stable result is unique and equals choosing in turn. In a round each
-    left row proposes to its current unit, which keeps as many of the smallest ids as it has rows; the others move
-    one unit on. The n-th member of a left class starts behind the n - 1 places its elder copies must fill first,
-    so copies do not queue for the same row.
+    ``pairs``: block, left_class, right_class and scores, one row per class pair; members: class and row id.
     """
-    wishes = materialize(_wishes(_units(sized, right_members)), "wishes")
-    slots = wishes.where(F.col("before") < F.col("left_n")).select(
-        "left_class",
-        "wish",
-        F.explode(
-            F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("capacity"), F.col("left_n")))
-        ).alias("turn"),
-    )
-    classes = sized.select("left_class").distinct()
-    queue = rank_in_group(left_members.join(classes, "left_class", "left_semi"), ["left_class"], "left_id", "turn")
-    live = queue.join(slots, ["left_class", "turn"]).select("left_class", "left_id", "wish")
-    targets = wishes.select("left_class", "wish", "unit", "capacity")
-    while True:
-        asked = live.join(targets, ["left_class", "wish"])
-        held = materialize(rank_in_group(asked, ["unit"], "left_id", "place"), "round")
-        lost = F.col("place") > F.col("capacity")
-        if held.where(lost).isEmpty():
-            break
-        live = held.select("left_class", "left_id", (F.col("wish") + F.when(lost, 1).otherwise(0)).alias("wish"))
-    reached = right_members.join(sized.select("right_class").distinct(), "right_class", "left_semi")
-    seats = rank_in_group(reached, ["right_class"], "right_id", "place")
-    won = held.join(wishes.drop("unit", "capacity"), ["left_class", "wish"])
-    whole = won.where(F.col("unit") == F.col("right_class")).join(seats, ["right_class", "place"])
-    single = won.where(F.col("unit") != F.col("right_class")).withColumn("right_id", F.col("unit"))
-    return whole.select(_MATCH).unionByName(single.select(_MATCH))
+    timed = _turns(pairs, left_members, right_members, pairs_per_turn)
+    last = timed.agg(F.max("turn").alias("last")).first()["last"]
+    free = right_members.join(pairs.select("right_class").distinct(), "right_class", "left_semi")
+    if not last:  # one turn in every block, or no pairs at all
+        return _wishes(timed, pairs, free).groupBy("block").applyInPandas(greedy, _SCHEMA)
+    pairs, free = materialize(pairs, "turn-pairs"), materialize(free, "free")
+    found = []
+    for turn in range(last + 1):
+        now = timed.where(F.col("turn") == turn)
+        won = _wishes(now, pairs, free).groupBy("block").applyInPandas(greedy, _SCHEMA)
+        found.append(materialize(won, "turn-matches"))
+        if turn < last:
+            before, free = free, materialize(free.join(found[-1], "right_id", "left_anti").select(free.columns), "free")
+            discard(before)
+    out = found[0]
+    for won in found[1:]:
+        out = out.unionByName(won)
+    return out

@@ -12,31 +12,42 @@ _TILE_ROWS = 2048
 _STEP = 64
 
 
-def _token_sort_scores(a, b) -> np.ndarray:
-    return indel_scores([" ".join(sorted(t.split())) for t in a], [" ".join(sorted(t.split())) for t in b])
+def _as_is(texts: np.ndarray) -> np.ndarray:
+    return texts
 
 
-SCORERS = {"ratio": indel_scores, "token_sort": _token_sort_scores, "token_set": token_set_scores}
+def _sorted_tokens(texts: np.ndarray) -> np.ndarray:
+    return np.array([" ".join(sorted(t.split())) for t in texts], dtype=object)
 
 
-def best_in_block(left: DataFrame, right: DataFrame, block: str, scorer: str) -> DataFrame:
+#: What is done once to each value, and the score of two prepared values.
+SCORERS = {
+    "ratio": (_as_is, indel_scores),
+    "token_sort": (_sorted_tokens, indel_scores),
+    "token_set": (_as_is, token_set_scores),
+}
+
+
+def best_in_block(left: DataFrame, right: DataFrame, block: str, scorer: str, cutoff: float = 0.0) -> DataFrame:
     """``(left_value, right_value, score)``: highest score, then the alphabetically first right value.
 
+    A left value whose best score is below ``cutoff`` has no row.
+
     Both inputs have ``block`` and ``value``, distinct. Each tile returns one row per left value and these are
     reduced by an ordinary aggregate.
     """
-    score = SCORERS[scorer]
+    prepare, score = SCORERS[scorer]
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         texts = np.sort(y["value"].to_numpy(object))
-        found = []
+        ready, found = prepare(texts), []
         for start in range(0, len(x), _STEP):
             part = x["value"].to_numpy(object)[start : start + _STEP]
-            grid = score(np.repeat(part, len(texts)), np.tile(texts, len(part))).reshape(len(part), -1)
+            grid = score(np.repeat(prepare(part), len(texts)), np.tile(ready, len(part))).reshape(len(part), -1)
             top = grid.argmax(axis=1)
-            found.append(
-                pd.DataFrame({"left_value": part, "right_value": texts[top], "score": grid[np.arange(len(part)), top]})
-            )
+            best = grid[np.arange(len(part)), top]
+            kept = best >= cutoff
+            found.append(pd.DataFrame({"left_value": part[kept], "right_value": texts[top][kept], "score": best[kept]}))
         return pd.concat(found)
 
     tops = compare_tiles(

@@ -1,10 +1,11 @@
 """Blocks: match keys, value mappings between ZIP and city, block sizes and work batches."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinlink.functions.cast import match_key
 from kinlink.operators.ordering import running_total
+from kinlink.storage import materialize
 
 LEFT_KEYS = {
     "City_UPDATED": "standardized_city",
@@ -81,29 +82,46 @@ def by_work(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("total_comparisons") > 0).orderBy("total_comparisons", key)
 
 
-def batches(counts: DataFrame, parts: int) -> DataFrame:
-    """Batch number per key: keys by ascending work, a batch closes once its work reaches total // parts.
+_BINS = 8192
+
+
+def _batch_ends(placed: DataFrame, total: int, budget: int) -> list[int]:
+    """Running totals at which batches close: the first at or past a budget's end, and so on from there.
 
-    Boundaries are found one by one on the running total: at most ``parts`` + 1 of them, however many keys
-    there are.
+    One pass cuts the totals into bins of equal width and keeps the first and the last total of each. An end that
+    falls between a bin's first and last total is looked up; there are no more ends than parts, and one on the edge
+    of a bin, as with few keys or large ones, costs no look-up.
     """
+    width = max(total // _BINS, 1)
+    bins = placed.groupBy(F.expr(f"_done div {width}").alias("bin")).agg(F.min("_done").alias("first"), F.max("_done").alias("last"))
+    known = [(r["bin"], r["first"], r["last"]) for r in bins.orderBy("bin").collect()]
+    ends, at, start = [], 0, 0
+    while True:
+        aim = start + budget
+        while at < len(known) and known[at][2] < aim:
+            at += 1
+        if at == len(known):
+            return ends
+        number, first, last = known[at]
+        if first >= aim:
+            end = first
+        elif last == aim or width == 1:
+            end = last
+        else:
+            inside = (F.expr(f"_done div {width}") == number) & (F.col("_done") >= aim)
+            end = placed.where(inside).agg(F.min("_done")).first()[0]
+        ends.append(end)
+        start = end
+
+
+def batches(counts: DataFrame, parts: int) -> DataFrame:
+    """Batch number per key: keys by ascending work, a batch closes once its work reaches total // parts."""
     key = counts.columns[0]
-    placed = running_total(counts, ["total_comparisons", key], "total_comparisons", "_done").persist()
-    try:
-        total = placed.agg(F.max("_done")).first()[0] or 0
-        budget = total // parts
-        if budget == 0:
-            return placed.select(key, "total_comparisons", F.col("_rank").alias("batch"))
-        ends, start = [], 0
-        while True:
-            row = placed.where(F.col("_done") >= start + budget).agg(F.min("_done").alias("end")).first()
-            if row["end"] is None:
-                break
-            start = row["end"]
-            ends.append(start)
-    finally:
-        placed.unpersist()
-    closed: Column = F.lit(1)
-    for end in ends:
-        closed = closed + F.when(F.col("_done") > end, 1).otherwise(0)
-    return placed.select(key, "total_comparisons", closed.cast("bigint").alias("batch"))
+    placed = materialize(running_total(counts, ["total_comparisons", key], "total_comparisons", "_done"), "work")
+    total = placed.agg(F.max("_done")).first()[0] or 0
+    budget = total // parts
+    if budget == 0:
+        return placed.select(key, "total_comparisons", F.col("_rank").alias("batch"))
+    ends = _batch_ends(placed, total, budget)
+    closed = F.size(F.filter(F.lit(ends).cast("array<bigint>"), lambda end: F.col("_done") > end)) if ends else F.lit(0)
+    return placed.select(key, "total_comparisons", (closed + 1).cast("bigint").alias("batch"))

@@ -7,6 +7,7 @@ from kinlink.functions.cast import MISSING_TEXT, match_key
 from kinlink.functions.similarity import soundex, sorted_tokens
 from kinlink.operators.best import best_in_block
 from kinlink.operators.similar import similar_values
+from kinlink.storage import materialize, materialize_all
 
 CITY_THRESHOLD = 85.0
 
@@ -17,6 +18,7 @@ def city_corrections(cities: DataFrame, reference: DataFrame, threshold: float =
     Exact name first, then the best word-order-free ratio from ``threshold`` up, then the best one among the
     reference cities that sound alike. Ties go to the alphabetically first city.
     """
+    cities, reference = materialize_all((cities, "cities"), (reference, "reference-cities"))
     exact = cities.join(reference.withColumnRenamed("city", "corrected"), F.col("city") == F.col("corrected"))
     open_cities = cities.join(reference, "city", "left_anti").withColumn("value", sorted_tokens(F.col("city")))
     known = reference.withColumn("value", sorted_tokens(F.col("city")))
@@ -29,6 +31,7 @@ def city_corrections(cities: DataFrame, reference: DataFrame, threshold: float =
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "corrected")).alias("best"))
         .select("city", F.col("best.corrected").alias("corrected"))
     )
+    near = materialize(near, "near-cities")
     rest = open_cities.join(near, "city", "left_anti")
     alike = best_in_block(
         rest.select(soundex(F.col("city")).alias("code"), F.col("city").alias("value")),
@@ -42,7 +45,7 @@ def city_corrections(cities: DataFrame, reference: DataFrame, threshold: float =
 def standardize_city(df: DataFrame, column: str, reference: DataFrame, name: str) -> DataFrame:
     """Adds the corrected city; null where nothing fits and for the filler value.
 
-    Work is done once per distinct city and joined back. ``reference`` has one column of raw city names.
+    Distinct cities are stored once and worked on as a small table; the large one is read for them and for the join. ``reference`` has one column of raw city names.
     """
     raw = reference.columns[0]
     known = reference.select(F.col(raw).alias("city")).where(F.col("city").isNotNull()).distinct()

@@ -24,6 +24,8 @@ from kinlink.storage import materialize, materialize_all
 PAIRS_PER_VALUE_PAIR = 100_000
 _VECTOR_ROWS = 8192
 _VECTOR_STEP = 1024
+#: Cosines are rounded to so many digits before they are compared with thresholds and with each other.
+_VECTOR_DIGITS = 9
 
 _TEXTS = ["left_street", "left_name", "street", "name", "parent"]
 Candidates = Callable[[DataFrame, DataFrame, list[Rule]], DataFrame]
@@ -141,6 +143,8 @@ def fuzzy_candidates(
     lefts: DataFrame, rights: DataFrame, rules: list[Rule], limit: int = PAIRS_PER_VALUE_PAIR
 ) -> DataFrame:
     """Scored class pairs that can pass some rule, found through the text on which the rule is strictest."""
+    both = lefts.select("block").distinct().join(rights.select("block").distinct(), "block")
+    lefts, rights = (df.join(both, "block", "left_semi") for df in (lefts, rights))
     street, names = (["left_street"], ["street"]), (["left_name"], ["name", "parent"])
     strict_street = [r for r in rules if r.street >= max(r.name, r.parent)]
     strict_name = [r for r in rules if r not in strict_street]
@@ -188,6 +192,9 @@ def vector_candidates(lefts: DataFrame, rights: DataFrame, rules: list[Rule], ma
 
     Vectors are computed once per distinct text. Inside a block tiles are compared by matrix product.
     """
+    # a block on one side only has no pairs, so its texts need no vectors
+    both = lefts.select("block").distinct().join(rights.select("block").distinct(), "block")
+    lefts, rights = (df.join(both, "block", "left_semi") for df in (lefts, rights))
     texts = [(lefts, c) for c in ("left_street", "left_name")] + [(rights, c) for c in ("street", "name", "parent")]
     vectors = text_vectors(texts, make_encoder)
     a = attach_vectors(lefts, vectors, {"left_street": "vs", "left_name": "vn"})
@@ -205,7 +212,7 @@ def attach_vectors(df: DataFrame, vectors: DataFrame, columns: dict[str, str]) -
     return df
 
 
-def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> DataFrame:
+def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule], tile_rows: int = _VECTOR_ROWS) -> DataFrame:
     """Scored pairs from ready vectors: ``vs``, ``vn`` and, on the right, ``vp`` with its ``parent`` text."""
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
@@ -216,7 +223,11 @@ def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> Data
         for start in range(0, len(x), _VECTOR_STEP):
             part = x.iloc[start : start + _VECTOR_STEP]
             own = _unit_rows(part["vn"], size)
-            street, name, parent = _unit_rows(part["vs"], size) @ streets.T, own @ names.T, own @ parents.T
+            # the last bits of a product depend on its place in the matrix: equal texts must have equal scores
+            street, name, parent = (
+                np.round(a @ b.T, _VECTOR_DIGITS)
+                for a, b in ((_unit_rows(part["vs"], size), streets), (own, names), (own, parents))
+            )
             name[:, no_name], parent[:, no_parent] = -1.0, -1.0
             keep = np.zeros(name.shape, dtype=bool)
             for r in rules:
@@ -238,7 +249,7 @@ def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule]) -> Data
         "block string, left_class bigint, right_class bigint, parent string, "
         "street_score double, name_score double, parent_score double"
     )
-    return compare_tiles(lefts, rights, ["block"], "left_class", "right_class", compare, schema, _VECTOR_ROWS)
+    return compare_tiles(lefts, rights, ["block"], "left_class", "right_class", compare, schema, tile_rows)
 
 
 def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates) -> DataFrame:

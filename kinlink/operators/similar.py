@@ -1,12 +1,18 @@
 """Similarity join of text values: all pairs at or above a score, without comparing every value with every other."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.functions.similarity import indel_ratio_once, may_reach
+from kinlink.functions.similarity import indel_ratio_once, indel_scores, may_reach
+from kinlink.operators.tiles import compare_tiles
 
 _BUCKETS = 4096
 _EDGE = "\u0002"
+#: The signature is lossless from this threshold up.
+LEAST_SIGNED = 70
+_TILE_ROWS, _STEP = 2048, 64
 
 
 def gram_size(threshold: float) -> int:
@@ -74,6 +80,31 @@ def _may_share(a: str, b: str, threshold: float, q: int) -> str:
     return " AND ".join(tests)
 
 
+def _in_tiles(left: DataFrame, right: DataFrame, threshold: float, block: list[str]) -> DataFrame:
+    """All distinct values at or above a low threshold, for which no signature is lossless: compared in bounded tiles.
+
+    Only pairs that reach the threshold leave a tile.
+    """
+    keys = [*block, "_one"]
+    known = F.col("value").isNotNull()
+    a, b = (df.where(known).select(*block, "value", F.lit(1).alias("_one")).distinct() for df in (left, right))
+    kinds = {f.name: f.dataType.simpleString() for f in a.schema}
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        other = y["value"].to_numpy(object)
+        for start in range(0, len(x), _STEP):
+            own = x["value"].to_numpy(object)[start : start + _STEP]
+            scores = indel_scores(np.repeat(own, len(other)), np.tile(other, len(own))).reshape(len(own), -1)
+            i, j = np.nonzero(scores >= threshold)
+            part = pd.DataFrame({"left_value": own[i], "right_value": other[j], "score": scores[i, j]})
+            found.append(part.assign(**{k: x[k].iloc[0] for k in block}))
+        return pd.concat(found)[[*block, "left_value", "right_value", "score"]]
+
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in block), "left_value string, right_value string, score double"])
+    return compare_tiles(a, b, keys, "value", "value", compare, schema, _TILE_ROWS)
+
+
 def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: list[str] | None = None) -> DataFrame:
     """``(*block, left_value, right_value, score)`` for all distinct values at or above ``threshold``.
 
@@ -82,8 +113,8 @@ def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: l
     gram sketches, lengths and bounded Levenshtein distance before the exact score is computed.
     """
     block = block or []
-    if not 70 <= threshold <= 100:
-        raise ValueError("the signature is lossless for thresholds from 70 to 100")
+    if threshold < LEAST_SIGNED:
+        return _in_tiles(left, right, threshold, block)
     q = gram_size(threshold)
     columns = [*block, "value"]
     known = F.col("value").isNotNull()

@@ -1,8 +1,8 @@
 """Counts about a run: per block, per phase, and match rates."""
 
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinlink.operators.blocking import block_counts, with_known_block
@@ -41,19 +41,18 @@ def block_stats(
     )
 
 
-def phase_counts(left: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per phase: rows before it, matched in it, unmatched after it."""
+def phase_counts(left: DataFrame, matches: DataFrame, phases: Sequence[int] = (1, 2, 3)) -> DataFrame:
+    """One row per phase, those of ``phases`` and any other in ``matches``: rows before it, matched in it, unmatched after it."""
     total = left.agg(F.count("*").alias("total"))
     found = matches.groupBy("phase").agg(F.count("*").alias("matched"))
-    phases = [
-        found.agg(
-            F.lit(p).alias("phase"),
-            F.coalesce(F.sum(F.when(F.col("phase") < p, F.col("matched"))), F.lit(0)).alias("earlier"),
-            F.coalesce(F.sum(F.when(F.col("phase") == p, F.col("matched"))), F.lit(0)).alias("matched"),
-        )
-        for p in (1, 2, 3)
-    ]
-    rows = reduce(DataFrame.unionByName, phases).join(F.broadcast(total))
+    listed = left.sparkSession.createDataFrame([(p,) for p in phases], "phase int")
+    every = listed.unionByName(found.select(F.col("phase").cast("int"))).distinct().join(found, "phase", "left")
+    earlier = Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)  # a row for each phase
+    rows = every.select(
+        "phase",
+        F.coalesce(F.sum("matched").over(earlier), F.lit(0)).alias("earlier"),
+        F.coalesce("matched", F.lit(0)).alias("matched"),
+    ).join(F.broadcast(total))
     before = F.col("total") - F.col("earlier")
     return rows.select(
         "phase",

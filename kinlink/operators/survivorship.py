@@ -17,19 +17,19 @@ def keep_best_codes(
 ) -> DataFrame:
     """Per group all rows with code 2, or else the first row with the smallest code.
 
-    A group that has only null codes yields nothing unless ``keep_uncoded``. Rows without a tax id all share id 0
-    and are one group; ``missing_ids='pass'`` keeps all of them. ``order`` must be unique.
+    A group that has only null codes yields nothing unless ``keep_uncoded``. Rows without a tax id, or with one that
+    could not be read (null), all share id 0 and are one group; ``missing_ids='pass'`` keeps all of them. ``order``
+    must be unique.
     """
-    known = df.where(F.col(group).isNotNull())
-    passed = None
+    identity = F.coalesce(F.col(group), F.lit(0))
+    known, passed = df, None
     if missing_ids == "pass":
-        passed = known.where(F.col(group) == 0)
-        known = known.where(F.col(group) != 0)
+        known, passed = df.where(identity != 0), df.where(identity == 0)
     preferred = known.where(F.col(code) == PREFERRED_CODE)
     rank = F.coalesce(F.col(code), F.lit(_LAST)) if keep_uncoded else F.col(code)
     best = F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.col(order).alias("row"))))
     has_preferred = F.coalesce(F.max(F.col(code) == PREFERRED_CODE), F.lit(False))
-    chosen = known.groupBy(group).agg(best.alias("best"), has_preferred.alias("skip"))
+    chosen = known.groupBy(identity).agg(best.alias("best"), has_preferred.alias("skip"))
     ids = chosen.where(~F.col("skip") & F.col("best").isNotNull()).select(F.col("best.row").alias(order))
     others = known.where(F.col(code).isNull() | (F.col(code) != PREFERRED_CODE)).join(ids, order, "left_semi")
     out = preferred.unionByName(others.select(df.columns))

@@ -40,7 +40,7 @@ def compare_tiles(
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame({n: [] for n in names}, dtype=object)
         return compare(x, y)
 
     keys = [*block, "_lt", "_rt"]

@@ -98,5 +98,5 @@ def link(
         unmatched_right=unmatched(right, matches, "record_id", "right_id"),
         stats=stats,
         metrics=reduce(DataFrame.unionByName, [metrics, *rolled]),
-        phases=phase_counts(left, matches),
+        phases=phase_counts(left, matches, [p.number for p in settings.phases]),
     )

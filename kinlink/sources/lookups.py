@@ -1,14 +1,20 @@
 """Lookup sources: street abbreviation sheet and word lists."""
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinlink.functions.cast import strip
+
 SHEET_COLUMNS = [
     "Primary Name",
     "Commonly Used Suffix or Abbreviation",
     "Postal Service Standard Abbreviation",
 ]
+#: Sizes checked before a lookup is read on the driver; both are parameters.
 MAX_LOOKUP_ROWS = 100_000
+MAX_LOOKUP_BYTES = 64_000_000
 
 
 def _require_path(path) -> str:
@@ -17,16 +23,38 @@ def _require_path(path) -> str:
     return path
 
 
-def load_abbreviation_sheet(spark: SparkSession, path: str, skip_rows: int = 3) -> DataFrame:
-    """The exported sheet (CSV): ``skip_rows`` lines, a header line, then at least three columns; ``line`` keeps order."""
-    lines = spark.read.text(_require_path(path), wholetext=True)
-    rows = lines.select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
-    width = rows.where(F.col("line") == skip_rows).select(F.size(F.split("text", ",")).alias("n")).first()
-    if width is None or width["n"] < len(SHEET_COLUMNS):
+def _require_file(spark: SparkSession, path, most_bytes: int) -> str:
+    """The path, if a file is there that the driver may read whole."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(_require_path(path))
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        raise FileNotFoundError(path)
+    if files.getContentSummary(where).getLength() > most_bytes:
+        raise ValueError(f"{path} has more than {most_bytes} bytes")
+    return path
+
+
+def load_abbreviation_sheet(
+    spark: SparkSession, path: str, skip_rows: int = 3, most_bytes: int = MAX_LOOKUP_BYTES
+) -> DataFrame:
+    """The exported sheet (CSV): ``skip_rows`` lines, a header line, then at least three columns; ``line`` keeps order.
+
+    A sheet is small by nature. It is parsed on the driver, quotes and line ends inside them included, once its size
+    is known to be below ``most_bytes``; its rows go back into a table.
+    """
+    text = spark.read.text(_require_file(spark, path, most_bytes), wholetext=True).first()
+    lines = (text["value"] if text else "").splitlines(keepends=True)[skip_rows:]
+    rows = list(csv.reader(lines))
+    if not rows or len(rows[0]) < len(SHEET_COLUMNS):
         raise ValueError("the sheet does not have the three expected columns")
-    fields = F.from_csv("text", "a string, b string, c string")
-    body = rows.where((F.col("line") > skip_rows) & (F.trim("text") != "")).select("line", fields.alias("f"))
-    return body.select("line", *[F.col(f"f.{c}").alias(n) for c, n in zip("abc", SHEET_COLUMNS)])
+    width = len(SHEET_COLUMNS)
+    body = [
+        (at, *((field or None) for field in (row + [""] * width)[:width]))
+        for at, row in enumerate(rows[1:], skip_rows + 1)
+        if any(field.strip() for field in row)
+    ]
+    schema = "line int, " + ", ".join(f"`{c}` string" for c in SHEET_COLUMNS)
+    return spark.createDataFrame(body, schema)
 
 
 def abbreviation_entries(sheet: DataFrame, line: str = "line") -> DataFrame:
@@ -46,21 +74,22 @@ def abbreviation_entries(sheet: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def abbreviation_mapping(sheet: DataFrame) -> dict[str, str]:
+def abbreviation_mapping(sheet: DataFrame, most: int = MAX_LOOKUP_ROWS) -> dict[str, str]:
     """The entries as a dict in order. A lookup is small by nature; its size is checked all the same."""
-    rows = abbreviation_entries(sheet).orderBy("position").limit(MAX_LOOKUP_ROWS + 1).collect()
-    if len(rows) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"more than {MAX_LOOKUP_ROWS} abbreviations")
+    rows = abbreviation_entries(sheet).orderBy("position").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} abbreviations")
     return {r["word"]: r["abbreviation"] for r in rows}
 
 
 def word_list(lines: DataFrame) -> DataFrame:
-    """Distinct upper-case, trimmed words of a table with one column ``value``."""
-    return lines.select(F.upper(F.trim("value")).alias("word")).distinct()
+    """Distinct upper-case words of a table with one column ``value``, without white space around them."""
+    return lines.select(F.upper(strip(F.col("value"))).alias("word")).distinct()
 
 
-def load_words(spark: SparkSession, path: str) -> list[str]:
-    rows = word_list(spark.read.text(_require_path(path))).limit(MAX_LOOKUP_ROWS + 1).collect()
-    if len(rows) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"more than {MAX_LOOKUP_ROWS} words")
+def load_words(spark: SparkSession, path: str, most: int = MAX_LOOKUP_ROWS) -> list[str]:
+    """Sorted words of a file, one on each line; more than ``most`` raise."""
+    rows = word_list(spark.read.text(_require_file(spark, path, MAX_LOOKUP_BYTES))).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} words")
     return sorted(r["word"] for r in rows)

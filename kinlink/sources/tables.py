@@ -2,7 +2,8 @@
 
 import hashlib
 import json
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -76,12 +77,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def fingerprint(*inputs) -> str:
-    """Key of a stage: the schema and files of its input tables and the values of its settings."""
-    parts = [
-        [x.schema.json(), sorted(x.inputFiles())] if isinstance(x, DataFrame) else repr(x) for x in inputs
-    ]
-    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()[:32]
+def _files_below(spark: SparkSession, path) -> list[int]:
+    """Number of files below ``path`` and a digest of their names, sizes and times, folded file by file."""
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    count = digest = 0
+    while files.hasNext():
+        status = files.next()
+        line = f"{status.getPath()} {status.getLen()} {status.getModificationTime()}"
+        digest ^= int.from_bytes(hashlib.sha256(line.encode()).digest())
+        count += 1
+    return [count, digest]
+
+
+def _table_state(df: DataFrame, version: str | None) -> list:
+    """What a table's rows depend on: its plan, without the numbers that differ from run to run, and its files."""
+    plan = df._jdf.queryExecution().analyzed()
+    state, leaves = [], plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        relation = leaf.relation() if leaf.nodeName().startswith("LogicalRelation") else None
+        if relation is not None and hasattr(relation, "location") and "HadoopFsRelation" in relation.getClass().getName():
+            roots = relation.location().rootPaths()
+            for k in range(roots.size()):
+                root = roots.apply(k)
+                state.append([root.toString(), *_files_below(df.sparkSession, root)])
+        elif version is None:
+            raise ValueError("a table that does not come from files needs a version")
+    return [plan.canonicalized().toString(), df.schema.json(), state]
+
+
+def fingerprint(*inputs, version: str | None = None) -> str:
+    """Key of a stage: the plan and files of its input tables and the values of its settings.
+
+    Two selections from one table differ, and so does a file that was rewritten under its name. Tables that do not come
+    from files (JDBC, rows given by hand) cannot be seen to change; ``version`` must then name their state.
+    """
+    parts = [_table_state(x, version) if isinstance(x, DataFrame) else repr(x) for x in inputs]
+    return hashlib.sha256(json.dumps([version, parts]).encode()).hexdigest()[:32]
 
 
 def cached_stage(spark: SparkSession, path: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -92,21 +124,38 @@ def cached_stage(spark: SparkSession, path: str, key: str, build: Callable[[], D
     return spark.read.parquet(place)
 
 
-def write_matches(df: DataFrame, path: str, form: str = "parquet") -> None:
-    """Matches in one folder per phase; a repeated phase replaces its own folder only."""
+def write_matches(df: DataFrame, path: str, form: str = "parquet", phases: Sequence[int] = ()) -> None:
+    """Matches in one folder per phase; a repeated phase replaces its own folder only.
+
+    ``phases`` are the phases that were run: the folder of one without rows is removed, so that no older run's rows stay.
+    """
+    spark = df.sparkSession
     writer = df.write.format(form).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if form == "csv":
         writer = writer.option("header", True)
+    held = {r["phase"] for r in df.select("phase").distinct().collect()} if phases else set()  # a row for each phase
     writer.partitionBy("phase").save(path)
+    for phase in sorted({*phases} - held):
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/phase={phase}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def write_stats(df: DataFrame, path: str, phases: Sequence[int] = ()) -> None:
+    write_matches(df, path, phases=phases)
 
 
-def write_stats(df: DataFrame, path: str) -> None:
-    write_matches(df, path)
+_SQL_TYPES = {
+    **dict.fromkeys((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "INTEGER"),
+    **dict.fromkeys((T.FloatType, T.DoubleType), "FLOAT"),
+    **dict.fromkeys((T.TimestampType, T.TimestampNTZType), "TIMESTAMP"),
+    T.StringType: "STRING",
+}
 
 
-_SQL_TYPES = {T.LongType: "INTEGER", T.DoubleType: "FLOAT", T.StringType: "STRING", T.TimestampType: "TIMESTAMP"}
+def _quoted(name: str) -> str:
+    return name if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name) else '"' + name.replace('"', '""') + '"'
 
 
 def create_table_sql(table: str, schema: T.StructType) -> str:
-    columns = ", ".join(f"{f.name} {_SQL_TYPES.get(type(f.dataType), 'STRING')}" for f in schema.fields)
+    columns = ", ".join(f"{_quoted(f.name)} {_SQL_TYPES.get(type(f.dataType), 'STRING')}" for f in schema.fields)
     return f"CREATE TABLE IF NOT EXISTS {table} ({columns});"

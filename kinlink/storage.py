@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,9 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a scratch folder only for a local session without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_dirs:
@@ -31,6 +32,8 @@ def discard_intermediates(spark: SparkSession) -> None:
     """Delete what this application materialized, once its results are stored elsewhere."""
     where = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if local := _local_dirs.pop(spark.sparkContext.applicationId, None):
+        Path(local).rmdir()
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +44,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote and that nothing reads any more."""
+    spark = table.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if "/kinlink-" in name:
+            where = spark._jvm.org.apache.hadoop.fs.Path(name)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize_all(*tables: tuple[DataFrame, str]) -> list[DataFrame]:
     """Independent tables written at the same time, so that one job's last tasks leave no executor idle."""
     spark = tables[0][0].sparkSession

@@ -5,7 +5,7 @@ import pytest
 
 from kinlink.functions.similarity import indel_scores
 from kinlink.operators import matching, names
-from kinlink.operators.assign import assign
+from kinlink.operators.assign import _turns, assign
 from kinlink.operators.rules import M1, M2, Rule, passing
 from kinlink.operators.similar import similar_values
 from kinlink.operators.tiles import compare_tiles
@@ -51,7 +51,17 @@ def in_turn(pairs):
     return sorted(out)
 
 
-def test_both_ways_of_assignment_equal_choosing_in_turn(spark):
+def test_equal_scores_need_one_turn(spark):
+    pairs = [("1", i, 100 + j, 90.0, 90.0, False) for i in range(24) for j in range(24)]
+    p = spark.createDataFrame(pairs, "block string, left_class long, right_class long, street_score double, name_score double, used_global boolean")
+    lm = spark.range(24).selectExpr("id AS left_class", "id AS left_id")
+    rm = spark.range(100, 124).selectExpr("id AS right_class", "id AS right_id")
+    got = sorted((r["left_id"], r["right_id"]) for r in assign(p, lm, rm).collect())
+    assert got == [(i, 100 + i) for i in range(24)]
+    assert _turns(p, lm, rm, 200_000).agg({"turn": "max"}).first()[0] == 0
+
+
+def test_any_budget_of_assignment_equals_choosing_in_turn(spark):
     rng = random.Random(5)
     pairs, lefts, rights, rows = [], [], [], []
     for block in range(40):
@@ -72,7 +82,7 @@ def test_both_ways_of_assignment_equal_choosing_in_turn(spark):
     p = spark.createDataFrame(pairs, "block string, left_class long, right_class long, street_score double, name_score double, used_global boolean")
     lm, rm = spark.createDataFrame(lefts, "left_class long, left_id long"), spark.createDataFrame(rights, "right_class long, right_id long")
     want = in_turn(rows)
-    for limit in (10**6, 0, 25):
+    for limit in (10**6, 60, 25):
         got = assign(p, lm, rm, limit).collect()
         assert sorted((r["left_id"], r["right_id"]) for r in got) == want
         assert {(r["left_id"], r["right_id"], r["street_score"], r["name_score"]) for r in got} <= set(rows)
@@ -132,7 +142,7 @@ def test_heavy_value_pairs_give_the_same_candidates(spark):
     right = [(i, "1", rng.choice(["MISSING", "12 MAIN ST"]), name(), rng.choice([None, name()])) for i in range(120)]
     a = matching.left_classes(spark.createDataFrame(left, LEFT))
     b = matching.right_classes(spark.createDataFrame(right, RIGHT))
-    for rule in (M1, M2):
+    for rule in (M1, M2, Rule("", 95, 60, 60), Rule("", 60, 95, 95)):
         found = []
         for limit in (10**9, 0):
             pairs = passing(matching.fuzzy_candidates(a, b, [rule], limit), rule).collect()
@@ -158,6 +168,28 @@ def test_vector_match_with_an_encoder(spark):
     assert sorted((r["left_id"], r["right_id"], r["used_global"]) for r in got) == [(1, 2, True), (2, 1, False)]
 
 
+@pytest.mark.parametrize("rows", [3, 64, 8192])
+def test_vector_ties_do_not_depend_on_tiles(spark, rows):
+    from kinlink.functions.encode import hashed_trigrams
+
+    rng = random.Random(1)
+    names = ["ACME BAKERY", "BLUE DOOR INN", "RIVER GRILL"]
+    streets = ["12 MAIN ST", "12 MAIN STREET", "9 OAK AVE", "40 LONG RIVER RD"]
+    a = [(str(i % 2), i, rng.choice(names), rng.choice(streets)) for i in range(41)]
+    b = [(str(i % 2), i, rng.choice(names), rng.choice(streets)) for i in range(37)]
+    vector = lambda t: hashed_trigrams([t])[0].tolist()
+    left = spark.createDataFrame([(k, i, vector(s), vector(n)) for k, i, n, s in a], "block string, left_class long, vs array<float>, vn array<float>")
+    right = spark.createDataFrame([(k, i, "", vector(s), vector(n), vector("")) for k, i, n, s in b], "block string, right_class long, parent string, vs array<float>, vn array<float>, vp array<float>")
+    found = matching.vector_pairs(left, right, [Rule("", 0.5, 0.5, 0.5)], rows).collect()
+    by_text = {}
+    text = {("l", i): (n, s) for _, i, n, s in a} | {("r", i): (n, s) for _, i, n, s in b}
+    for r in found:
+        key = text["l", r["left_class"]], text["r", r["right_class"]]
+        by_text.setdefault(key, set()).add((r["street_score"], r["name_score"]))
+    assert found and all(len(scores) == 1 for scores in by_text.values())
+    assert all((1.0 in {s for s, _ in v}) for (x, y), v in by_text.items() if x[1] == y[1])
+
+
 def test_output_and_leftovers(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "record_id long, x string")
     right = spark.createDataFrame([(7, "c"), (8, "d")], "record_id long, x string")

@@ -33,9 +33,9 @@ def test_survivors(spark):
     def ids(**options):
         return sorted(r["record_id"] for r in survivorship.keep_best_codes(df, **options).collect())
 
-    assert ids() == [1, 2, 5, 9]
-    assert ids(keep_uncoded=True) == [1, 2, 5, 7, 9]
-    assert ids(missing_ids="pass") == [1, 2, 5, 8, 9]
+    assert ids() == [1, 2, 5, 10]  # ids 0 and null are one group
+    assert ids(keep_uncoded=True) == [1, 2, 5, 7, 10]
+    assert ids(missing_ids="pass") == [1, 2, 5, 8, 9, 10]
     dup = spark.createDataFrame([(2, "a"), (1, "a"), (3, None), (4, None)], "record_id long, k string")
     assert sorted(r["record_id"] for r in survivorship.keep_first(dup, ["k"]).collect()) == [1, 3]
 
@@ -66,15 +66,27 @@ def test_lookups(spark, tmp_path):
     with pytest.raises(ValueError, match="columns"):
         lookups.load_abbreviation_sheet(spark, str(narrow))
     words = tmp_path / "words.txt"
-    words.write_text("the\n of \nThe\n")
+    words.write_text("the\t\n of \nThe\n")
     assert lookups.load_words(spark, str(words)) == ["OF", "THE"]
     with pytest.raises(ValueError):
         lookups.load_words(spark, "")
+    with pytest.raises(ValueError, match="more than 1"):
+        lookups.load_words(spark, str(words), most=1)
+    with pytest.raises(FileNotFoundError):
+        lookups.load_words(spark, str(tmp_path / "none.txt"))
+    quoted = tmp_path / "quoted.csv"
+    quoted.write_text('1\n2\n3\n"A, or so",B\nx,y\n')
+    with pytest.raises(ValueError, match="columns"):
+        lookups.load_abbreviation_sheet(spark, str(quoted))
+    quoted.write_text('1\n2\n3\n"A, or so",B,C\n"LONG, ROAD","L\nR",LR\n')
+    assert lookups.abbreviation_mapping(lookups.load_abbreviation_sheet(spark, str(quoted))) == {"LONG, ROAD": "LR", "L\nR": "LR"}
 
 
 def test_create_table_sql():
     schema = T.StructType().add("a", "long").add("b", "double").add("c", "string").add("d", "timestamp").add("e", "boolean")
-    assert tables.create_table_sql("t", schema) == "CREATE TABLE IF NOT EXISTS t (a INTEGER, b FLOAT, c STRING, d TIMESTAMP, e STRING);"
+    schema = schema.add("f", T.IntegerType()).add("g", "float").add("h", T.TimestampNTZType()).add("two words", "short")
+    columns = 'a INTEGER, b FLOAT, c STRING, d TIMESTAMP, e STRING, f INTEGER, g FLOAT, h TIMESTAMP, "two words" INTEGER'
+    assert tables.create_table_sql("t", schema) == f"CREATE TABLE IF NOT EXISTS t ({columns});"
 
 
 def test_sources_refuse_bad_input(spark, tmp_path):
@@ -105,6 +117,37 @@ def test_stage_cache_follows_its_inputs(spark, tmp_path):
     assert calls == [2, 3] and stage.count() == 3 and dict(stage.dtypes) == {"zip": "string"}
 
 
+def test_fingerprint_sees_plans_and_files(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(100).write.parquet(path)
+    table = spark.read.parquet(path)
+    low, high = tables.fingerprint(table.where("id < 10")), tables.fingerprint(table.where("id >= 10"))
+    assert low != high and low == tables.fingerprint(spark.read.parquet(path).where("id < 10"))
+    spark.range(50).write.mode("overwrite").parquet(path)
+    assert tables.fingerprint(spark.read.parquet(path).where("id < 10")) != low
+    with pytest.raises(ValueError, match="version"):
+        tables.fingerprint(spark.range(5))
+    assert tables.fingerprint(spark.range(5), version="1") != tables.fingerprint(spark.range(5), version="2")
+    assert tables.fingerprint(spark.range(5), version="1") != tables.fingerprint(spark.range(1), version="1")
+
+
+def test_a_rerun_without_rows_leaves_none_behind(spark, tmp_path):
+    path = str(tmp_path / "matches")
+    df = spark.createDataFrame([(1, 1), (2, 2)], "left_id long, phase int")
+    tables.write_matches(df, path)
+    tables.write_matches(df.where("phase = 1"), path, phases=[1, 2])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, 1)]
+
+
+def test_phases_of_any_number_are_counted(spark):
+    from kinlink.operators.stats import phase_counts
+
+    matches = spark.createDataFrame([(1, 1), (2, 4), (3, 4)], "left_id long, phase int")
+    rows = [tuple(r) for r in phase_counts(spark.range(10), matches, [1, 2, 4]).orderBy("phase").collect()]
+    assert rows == [(1, 10, 1, 9), (2, 9, 0, 9), (4, 9, 2, 7)]
+    assert phase_counts(spark.range(10), matches).count() == 4
+
+
 def test_metrics(spark, tmp_path):
     path = str(tmp_path / "metrics")
     assert read_metrics(spark, path, "r").count() == 0
