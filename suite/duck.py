@@ -183,8 +183,8 @@ vec AS MATERIALIZED (SELECT t, list_transform(v, lambda x: (x / sqrt(list_sum(li
 def vector_scored(tag: str, left: str, right: str, key: str, other: str) -> str:
     return f"""
 {tag} AS MATERIALIZED (SELECT l.{key} AS block, l.record_id AS left_id, r.record_id AS right_id, r.parent AS parent,
-    list_cosine_similarity(ls.v, rs.v) AS ss, coalesce(list_cosine_similarity(ln.v, rn.v), -1) AS ns,
-    coalesce(list_cosine_similarity(ln.v, rp.v), -1) AS ps
+    round(list_cosine_similarity(ls.v, rs.v), 9) AS ss, coalesce(round(list_cosine_similarity(ln.v, rn.v), 9), -1) AS ns,
+    coalesce(round(list_cosine_similarity(ln.v, rp.v), 9), -1) AS ps
   FROM {left} l JOIN {right} r ON l.{key} = r.{key}
   JOIN vec ls ON ls.t = l.street JOIN vec ln ON ln.t = l.name JOIN vec rs ON rs.t = r.street
   LEFT JOIN vec rn ON rn.t = r.name LEFT JOIN vec rp ON rp.t = r.parent

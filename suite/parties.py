@@ -23,24 +23,28 @@ ABBREVIATIONS = {
     "ROAD": "RD",
 }
 
+# Names and streets come from the whole of part; customers and suppliers of one part key share zip and city. One zip in
+# five rows is hot, one street in nine is a filler.
 LEFT_PARTY = """
 SELECT c.c_custkey + 1 AS record_id,
- CASE WHEN c.c_custkey % 37 = 0 THEN NULL ELSE lpad(CAST(15000 + c.c_nationkey AS STRING), 5, '0') END AS zip,
+ CASE WHEN c.c_custkey % 37 = 0 THEN NULL WHEN c.k % 5 = 3 THEN '15099' ELSE lpad(CAST(15000 + c.k % 25 AS STRING), 5, '0') END AS zip,
  CASE WHEN c.c_custkey % 41 = 0 THEN NULL ELSE upper(n.n_name) END AS city,
- c.c_custkey % 400 AS fein,
+ CAST(floor(c.c_custkey / 4) AS BIGINT) AS fein,
  CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE c.c_custkey % 5 + 1 END AS address_type,
- concat(CAST(c.c_custkey % 12 + 1 AS STRING), ' ', lower(p.p_type), CASE c.c_custkey % 3 WHEN 0 THEN ' street' WHEN 1 THEN ' st.' ELSE ' st' END) AS street,
+ CASE WHEN c.k % 9 = 4 THEN 'no such street' ELSE concat(CAST(c.k % 97 + 1 AS STRING), ' ', lower(p.p_type), CASE c.c_custkey % 3 WHEN 0 THEN ' street' WHEN 1 THEN ' st.' ELSE ' st' END) END AS street,
  concat(CASE WHEN c.c_custkey % 5 = 0 THEN replace(p.p_name, 'e', 'a') ELSE p.p_name END, CASE c.c_custkey % 4 WHEN 0 THEN ' Inc' WHEN 1 THEN 'LLC' WHEN 2 THEN ' of the East' ELSE '' END) AS name
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part p ON p.p_partkey = c.c_custkey % 12
+FROM (SELECT c_custkey, c_custkey % n AS k FROM customer CROSS JOIN (SELECT count(*) AS n FROM part) total) c
+JOIN nation n ON n.n_nationkey = c.k % 25 JOIN part p ON p.p_partkey = c.k
 """
 
 RIGHT_PARTY = """
 SELECT s.s_suppkey + 1 AS record_id,
- lpad(CAST(15000 + s.s_nationkey AS STRING), 5, '0') AS zip, upper(n.n_name) AS city,
- concat(CAST(s.s_suppkey % 12 + 1 AS STRING), ' ', p.p_type, CASE WHEN s.s_suppkey % 6 = 5 THEN ' St. West' WHEN s.s_suppkey % 2 = 0 THEN ' Street' ELSE ' St' END) AS street,
+ CASE WHEN s.k % 5 = 3 THEN '15099' ELSE lpad(CAST(15000 + s.k % 25 AS STRING), 5, '0') END AS zip, upper(n.n_name) AS city,
+ CASE WHEN s.k % 9 = 4 THEN 'no such street' ELSE concat(CAST(s.k % 97 + 1 AS STRING), ' ', p.p_type, CASE WHEN s.s_suppkey % 6 = 5 THEN ' St. West' WHEN s.s_suppkey % 2 = 0 THEN ' Street' ELSE ' St' END) END AS street,
  concat(p.p_name, CASE s.s_suppkey % 3 WHEN 0 THEN ' Corp' WHEN 1 THEN ' East' ELSE ' and sons' END) AS name,
  CASE WHEN s.s_suppkey % 4 = 0 THEN NULL ELSE p.p_name END AS parent
-FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN part p ON p.p_partkey = s.s_suppkey % 12
+FROM (SELECT s_suppkey, s_suppkey % n AS k FROM supplier CROSS JOIN (SELECT count(*) AS n FROM part) total) s
+JOIN nation n ON n.n_nationkey = s.k % 25 JOIN part p ON p.p_partkey = s.k
 """
 
 ADDRESSES = f"""
