@@ -49,6 +49,11 @@ def once(make: Callable) -> Callable:
     return get
 
 
+def forget() -> None:
+    """Forget what earlier queries stored, so that the next one does all its work."""
+    _done.clear()
+
+
 @once
 def parties(spark, sf):
     return keyed_parties(spark, sf)
@@ -563,6 +568,11 @@ def _inputs(spark, sf, phase):
     return phase_inputs(left, right, phase, Settings(), "record_id", "record_id")
 
 
+def phase_sides(spark, sf):
+    """The narrow tables of phase 1."""
+    return _inputs(spark, sf, PHASES[0])
+
+
 def _candidate_check(name: str, phase, key: str, other: str) -> None:
     classes = _CLASSES.format(key=key, other=other)
 
