@@ -92,8 +92,9 @@ def token_set_scores(a, b) -> np.ndarray:
     """Best of three insert/delete ratios over shared and unshared words; 100 if one side's words are all shared."""
     out = np.zeros(len(a))
     rest_a, rest_b, shared, where = [], [], [], []
+    words = {t: frozenset(t.split()) for t in {*a, *b}}  # once for each value, not for each pair
     for k, (x, y) in enumerate(zip(a, b)):
-        words_x, words_y = set(x.split()), set(y.split())
+        words_x, words_y = words[x], words[y]
         if not words_x or not words_y:
             continue
         both = words_x & words_y
