@@ -14,9 +14,9 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a scratch folder only for a local session without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
     if configured:
         return configured
+    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_dirs:
@@ -32,8 +32,10 @@ def discard_intermediates(spark: SparkSession) -> None:
     """Delete what this application materialized, once its results are stored elsewhere."""
     where = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    if local := _local_dirs.pop(spark.sparkContext.applicationId, None):
+    local = _local_dirs.get(spark.sparkContext.applicationId)
+    if local and not any(Path(local).iterdir()):  # the scratch folder goes too, unless something else lies in it
         Path(local).rmdir()
+        del _local_dirs[spark.sparkContext.applicationId]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

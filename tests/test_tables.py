@@ -148,6 +148,18 @@ def test_phases_of_any_number_are_counted(spark):
     assert phase_counts(spark.range(10), matches).count() == 4
 
 
+def test_intermediates_are_discarded(spark):
+    from pathlib import Path
+
+    from kinlink import storage
+
+    one, other = storage.materialize(spark.range(3).toDF("id"), "one"), storage.materialize(spark.range(4).toDF("id"), "other")
+    folder = Path(one.inputFiles()[0].removeprefix("file://")).parent
+    storage.discard(one)
+    assert not folder.exists() and other.count() == 4
+    storage.discard(spark.range(1))  # no stored table: nothing to delete
+
+
 def test_metrics(spark, tmp_path):
     path = str(tmp_path / "metrics")
     assert read_metrics(spark, path, "r").count() == 0
