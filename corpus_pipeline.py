@@ -38,7 +38,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token ids."""
-    ids = bpe.encode_table(docs, bpe.load(spark, TOKENIZER), into="token_ids")
+    ids = bpe.encode_table(docs, bpe.load(spark, TOKENIZER), keep=["doc_id", "lang", "source"])
     return ids.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 

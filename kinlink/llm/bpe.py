@@ -27,6 +27,7 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHORT = 128
 #: Words whose ids a task remembers; a full memory starts anew, which changes no result.
 REMEMBERED = 150_000
+ROWS_TOGETHER = 500  # rows whose ids leave a worker together
 _NONE = np.int32(2**31 - 1)
 DIGESTS = T.StructType([
     T.StructField("n_tokens", T.LongType()),
@@ -201,20 +202,6 @@ def load(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary(path))
 
 
-def encoded(text: str | Column, vocabulary) -> Column:
-    """Token ids of whole texts. Null and empty texts have none; strings of added tokens are those tokens."""
-
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
-        for batch in batches:
-            packed = [x for run in slices((t or "" for t in pieces(batch)), 1_000_000) for x in encoder.encode(run)]
-            ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-
-    return ids(text)
-
-
 def decoded(ids: str | Column, vocabulary) -> Column:
     """Texts of token ids, added tokens kept; null is empty; bytes that are no UTF-8 become U+FFFD. Unknown ids raise."""
 
@@ -258,6 +245,27 @@ def digests(text: str | Column, vocabulary) -> Column:
     return digest(text)
 
 
-def encode_table(df: DataFrame, vocabulary, text: str = "text", into: str = "token_ids") -> DataFrame:
-    """``df`` with a column of token ids (a column of that name is replaced); all other columns stay as they are."""
-    return df.withColumn(into, encoded(F.col(f"`{text}`"), vocabulary))
+def encode_table(
+    df: DataFrame, vocabulary, text: str = "text", into: str = "token_ids", keep: list[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all by default) and the token ids of each whole text (replacing a column ``into``).
+
+    Ids leave the worker a few hundred rows at a time, so that neither it nor the JVM holds those of a whole batch.
+    """
+    columns = [c for c in (df.columns if keep is None else keep) if c != into]
+    source = df.select(F.col(f"`{text}`").alias("_text"), *(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)))
+    fields = [T.StructField(f"_{i}", source.schema[f"_{i}"].dataType) for i in range(len(columns))]
+    names = [f.name for f in fields]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_TOGETHER):
+                part = batch.slice(start, ROWS_TOGETHER)
+                packed = [x for run in slices((t or "" for t in pieces(part.column(0))), 1_000_000) for x in encoder.encode(run)]
+                ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32))
+                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], [*names, "ids"])
+
+    out = source.mapInArrow(encode, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), F.col("ids").alias(into))
