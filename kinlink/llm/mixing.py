@@ -6,7 +6,7 @@ document is repeated more often than a limit. The budget of a source is its weig
 through in blocks, each a keyed permutation of all its documents, as long as the budget lasts; of the last block only the
 beginning is taken. Without a given budget it is the least under which every document is taken once.
 
-Only per-source numbers reach the driver. Documents are never moved: where a source's last block ends is found from token
+Only per-source numbers reach the driver. Texts are never moved: where a source's last block ends is found from token
 counts by ranges of a keyed hash, and one exact look into the range in which it falls.
 """
 
@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinlink.storage import materialize
+
 #: Ranges of the keyed hash whose tokens are summed for each source.
 RANGES = 4096
 
@@ -91,9 +93,9 @@ def mixed_sources(docs: DataFrame, key: int = 1, target: float | None = 0.95, mo
     place = F.shiftrightunsigned(F.xxhash64(F.lit(key), F.col(f"`{doc_id}`"), F.col(f"`{text}`")), 1)
     rows = rows.withColumns({"_tokens": word_count(text), "_place": place, "_range": F.shiftright(place, 51).cast("int")})
     narrow = rows.select(F.col(f"`{source}`").cast("string").alias("s"), "_tokens", "_place", "_range").where("_tokens > 0")
+    narrow = materialize(narrow, "mix-places")  # a few bytes a row; texts are read once more, for the rows themselves
     sums = narrow.groupBy("s", "_range").agg(F.sum("_tokens").alias("tokens"))
     by_source = sums.groupBy("s").agg(F.sum("tokens").alias("tokens"))
-    ranged = sums.join(by_source.select(F.col("s").alias("of"), F.lit(1).alias("_")), F.col("s").eqNullSafe(F.col("of")), "left_semi")
     stored = sorted(by_source.collect(), key=lambda r: (r["s"] is not None, r["s"]))  # one row for each source
     plan = temper(np.array([r["tokens"] for r in stored], float), target, most_repeats, budget)
     whole = np.floor(plan.repeats + 1e-9).astype(int) if stored else []
@@ -103,7 +105,7 @@ def mixed_sources(docs: DataFrame, key: int = 1, target: float | None = 0.95, mo
     )
     # in which range of the hash the last block's budget ends, and what is left of it there
     before = Window.partitionBy("s").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    running = sums.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     same = F.col("s").eqNullSafe(F.col("of"))
     last = running.join(F.broadcast(first), same).where("rest > 0 and before < rest").groupBy("of").agg(
         F.max("_range").alias("edge"), F.max("before").alias("edge_before"), F.first("rest").alias("rest")
