@@ -29,8 +29,8 @@ CATEGORIES = {
     "contempt": ("worthless", "pathetic", "disgusting"),
     "dehumanising": ("scum", "trash", "vermin"),
 }
-#: Labelled texts that a feature must occur in to count, and the share of them above which it says nothing.
-LEAST_TEXTS, MOST_SHARE = 4, 0.25
+#: Labelled texts that a feature must occur in to count.
+LEAST_TEXTS = 4
 #: Labelled rows of each class that a fit reads at most, taken in the order of a hash of doc_id.
 MOST_TOXIC, MOST_CLEAN = 2_000, 4_000
 
@@ -127,13 +127,16 @@ class Chain:
         return out
 
 
-def fit_chain(lists: list[np.ndarray], targets: dict[str, np.ndarray], folds: int = 3) -> Chain:
-    """Fits the categories in the order of ``targets``. A category without examples of both kinds is constant."""
+def fit_chain(lists: list[np.ndarray], targets: dict[str, np.ndarray], folds: int = 3, weights: np.ndarray | None = None) -> Chain:
+    """Fits the categories in the order of ``targets``. A category without examples of both kinds is constant.
+
+    ``weights`` says for how many labelled rows each text stands when the threshold is chosen.
+    """
     n = len(lists)
     rows = np.repeat(np.arange(n, dtype=np.int32), np.fromiter(map(len, lists), np.int64, n))
     features = np.concatenate([*lists, np.zeros(0, np.int32)])
     texts_with = np.bincount(features, minlength=1 << BITS)
-    useful = ((texts_with >= LEAST_TEXTS) & (texts_with <= max(MOST_SHARE * n, LEAST_TEXTS)))[features]
+    useful = (texts_with >= LEAST_TEXTS)[features]
     rows, features = rows[useful], features[useful]
     fold = np.random.default_rng(n).permutation(n) % folds
     before, models, held_out = np.zeros((n, 0)), [], {}
@@ -151,16 +154,17 @@ def fit_chain(lists: list[np.ndarray], targets: dict[str, np.ndarray], folds: in
         models.append(fit_linear(rows, features, n, before, target))
         held_out[name] = float(((out_of_fold >= 0.5) == (target > 0)).mean()) if n else 1.0
         before = np.column_stack([before, out_of_fold])
-    return Chain(list(targets), models, held_out, best_threshold(out_of_fold, target) if targets else 0.5)
+    return Chain(list(targets), models, held_out, best_threshold(out_of_fold, target, weights) if targets else 0.5)
 
 
-def best_threshold(probability: np.ndarray, target: np.ndarray) -> float:
-    """The threshold with the fewest errors out of fold; of several the middle of the widest gap."""
+def best_threshold(probability: np.ndarray, target: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """The threshold with the least weight of errors out of fold; of several the middle of the widest gap."""
     order = np.argsort(probability, kind="stable")
     p, t = probability[order], target[order] > 0
-    errors = np.concatenate([[(~t).sum()], (~t).sum() + np.cumsum(np.where(t, 1, -1))])  # the first i are let through
+    w = np.ones(len(p)) if weights is None else weights[order]
+    errors = w[~t].sum() + np.concatenate([[0.0], np.cumsum(np.where(t, w, -w))])  # the first i are let through
     edges = np.concatenate([[0.0], p, [1.0]])
-    gaps = np.where(errors == errors.min(), np.diff(edges), -1)
+    gaps = np.where(errors <= errors.min() + 1e-9 * w.sum(), np.diff(edges), -1)
     at = int(gaps.argmax())
     return float((edges[at] + edges[at + 1]) / 2)
 
@@ -173,8 +177,11 @@ def text_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*lists, np.zeros(0, np.int32)])))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and labels of at most so many labelled rows of each class; equal texts count once."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Features and labels of at most so many labelled rows of each class, and for how many rows of its class each stands.
+
+    Equal texts count once.
+    """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     ids = None
@@ -182,7 +189,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_cl
         part = known.where(F.col("toxic") == value).orderBy(*order).limit(most)
         ids = part if ids is None else ids.unionByName(part)
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids.collect()], "doc_id long, toxic int")
+    taken = [(r["doc_id"], r["toxic"]) for r in ids.collect()]
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    stands_for = [counts.get(value, 0) / max(sum(t == value for _, t in taken), 1) for value in (0, 1)]
+    ids = spark.createDataFrame(taken, "doc_id long, toxic int")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     found = texts.select("doc_id", "toxic", text_features("text").alias("features")).toArrow().combine_chunks()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
@@ -194,7 +204,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_cl
         if key not in seen:
             seen.add(key)
             kept.append((own, int(toxic[i])))
-    return [own for own, _ in kept], np.array([label for _, label in kept], float)
+    labels = np.array([label for _, label in kept], int)
+    return [own for own, _ in kept], labels.astype(float), np.array(stands_for)[labels]
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...]] | None = None, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Chain:
@@ -203,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...
     A toxic text is of a category if it has one of the category's words; the last category, ``toxic``, is the label. Rows
     without text or label are left out; without any labelled row the chain rejects nothing.
     """
-    lists, toxic = labelled_sample(docs, labels, most_toxic, most_clean)
+    lists, toxic, weights = labelled_sample(docs, labels, most_toxic, most_clean)
     targets = {}
     for name, words in (CATEGORIES if categories is None else categories).items():
         seeds = np.array([word_feature(w) for w in words])
@@ -212,13 +223,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...
     if not toxic.any() or toxic.all():
         never = Linear(np.zeros(0, np.int32), np.zeros(0), np.zeros(0), -40.0)
         return Chain(list(targets), [Linear(never.chosen, never.weights, np.zeros(i), -40.0) for i in range(len(targets))])
-    return fit_chain(lists, targets)
+    return fit_chain(lists, targets, weights=weights)
 
 
 def scored(docs: DataFrame, chain: Chain, text: str = "text", into: str = "toxicity", threshold: float | None = None) -> DataFrame:
     """``docs`` with a struct column of each category's probability and the verdict ``rejected``.
 
-    A text is rejected from ``threshold`` up, or else from the chain's own, which had the fewest errors out of fold.
+    A text is rejected from ``threshold`` up, or else from the chain's own, which had the fewest errors out of fold at the
+    labels' own class shares.
     Null and empty texts are scored like a text without words; all columns of ``docs`` stay (one named ``into`` is
     replaced).
     """

@@ -66,3 +66,22 @@ def test_repeated_and_null_rows_in_training(spark, tables):
     docs, labels = tables
     more = docs.unionByName(docs).unionByName(spark.createDataFrame([(None, "x"), (5, None)], docs.schema))
     toxicity.fit(more, labels.unionByName(labels).unionByName(spark.createDataFrame([(1, None), (None, 1)], labels.schema)))
+
+
+def test_word_of_most_toxic_texts(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6)))
+    make = lambda toxic: " ".join([word() for _ in range(30)] + ["the"] + ["slurro"] * toxic)
+    toxic = [int(i % 2 == 0) for i in range(600)]
+    docs = spark.createDataFrame([(i, make(t)) for i, t in enumerate(toxic)], "doc_id long, text string")
+    chain = toxicity.fit(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+    verdict = chain.predict(toxicity.feature_lists([make(i % 2) for i in range(200)]))[:, -1] >= chain.threshold
+    assert verdict.tolist() == [bool(i % 2) for i in range(200)]
+
+
+def test_threshold_at_the_class_shares_of_the_labels(spark, tables):
+    p, target = np.array([0.2, 0.4, 0.6, 0.8]), np.array([0, 1, 0, 1])
+    assert toxicity.best_threshold(p, target, np.where(target, 1.0, 9.0)) == pytest.approx(0.7)
+    assert toxicity.best_threshold(p, target, np.where(target, 9.0, 1.0)) == pytest.approx(0.3)
+    weights, toxic = (toxicity.labelled_sample(*tables, 200, 100)[i] for i in (2, 1))
+    assert weights[toxic == 1].sum() == pytest.approx(250) and weights[toxic == 0].sum() == pytest.approx(1250)
