@@ -2,7 +2,8 @@
 
 The field runs over stretches of words around those that hold a digit, an at sign, a plus or an equals sign; by its
 definition all other words are outside. It is fitted from a small labelled table (``training_table`` makes one by rule; any
-other may be given) and decoded by Viterbi, many stretches in step. Its spans never replace those of the patterns.
+other may be given) and decoded by Viterbi, many stretches in step. Its spans never replace those of the patterns;
+one that lies wholly within them is left out, any other is added beside them.
 """
 
 from __future__ import annotations
@@ -258,6 +259,14 @@ def _stretches(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def _within(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether ``spans``, by start, together cover the place."""
+    for s, e in spans:
+        if s <= start:
+            start = max(start, e)
+    return start >= end
+
+
 def find_all(texts: list[str], field: Field) -> list[list[tuple[str, int, int, bool]]]:
     """All spans (kind, start, end, whether of a pattern) of each text, by start and then by kind."""
     results, owners, places, rows, flat, lengths = [], [], [], [], [], []
@@ -291,7 +300,7 @@ def find_all(texts: list[str], field: Field) -> list[list[tuple[str, int, int, b
                     start += 1
                 while start < end and text[end - 1] in _EDGES:
                     end -= 1
-                if start < end and not any(s < end and start < e for s, e in base):
+                if start < end and not _within(start, end, base):
                     results[owner].append((field.labels[labels[i]], start, end, False))
             i = j
     return [sorted(r, key=lambda s: (s[1], KINDS.index(s[0]), s[2])) for r in results]

@@ -75,3 +75,18 @@ def test_table(spark, documents):
     assert [[(s["kind"], s["start"], s["end"]) for s in r["pii"]] for r in rows] == [plain(r["text"] or "") for r in rows]
     assert [r["masked"] for r in rows] == ["call <PHONE> é <EMAIL>", None, "", "x " * 40_000 + "<IP>"]
     assert pii.find_in_table(df.limit(0), shared).count() == 0
+
+
+def test_secrets_around_base_spans(field):
+    for secret in ("password=ab4111111111111111cdef0123", "password=ab1.2.3.4cd", "token=9f8e7d4111111111111111c3b4a3f2e1d"):
+        text = f"use {secret} now"
+        found = pii.find_all([text], field)[0]
+        assert [s[:3] for s in found if s[3]] == plain(text) != []
+        assert ("secret", 4, 4 + len(secret), False) in found, (text, found)
+    found = pii.find_all(["call +1 (484) 555-1610 or 4111 1111 1111 1111"], field)[0]
+    assert all(s[3] for s in found)
+
+
+def test_masked_secret_leaves_nothing(spark, documents, field):
+    df = documents([(1, "use password=ab4111111111111111cdef0123 now")])
+    assert [r[0] for r in df.select(pii.masked("text", spark.sparkContext.broadcast(field))).collect()] == ["use <SECRET> now"]
