@@ -81,7 +81,7 @@ def exact_cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """One block of vectors with its tree. Equal vectors are one point with as many least ids as a query can want."""
+    """One block of vectors with its tree. Equal vectors are one point with the ids of all its rows, ascending."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         order = np.argsort(ids, kind="stable")
@@ -89,12 +89,7 @@ class Block:
         as_bytes = vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
         _, first, of_row = np.unique(as_bytes, return_index=True, return_inverse=True)
         by_point = np.argsort(of_row, kind="stable")
-        begins = np.searchsorted(of_row[by_point], np.arange(len(first)))
-        place = np.arange(len(ids)) - begins[of_row[by_point]]
-        few = place <= k  # k others and the query itself
-        self.owned = [[] for _ in first]
-        for row, point in zip(by_point[few], of_row[by_point][few]):
-            self.owned[point].append(int(ids[row]))
+        self.owned = np.split(ids[by_point], np.searchsorted(of_row[by_point], np.arange(1, len(first))))
         raw = vectors[first]
         unit = raw / np.sqrt((raw * raw).sum(1, keepdims=True))
         self.matrix = projection(raw.shape[1])
@@ -104,9 +99,20 @@ class Block:
         self.low_points = projected[self.points]
         self.copies = np.array([len(x) for x in self.owned])[self.points]
         self.raw, self.unit = raw[self.points], unit[self.points]
+        place = np.argsort(self.points)[of_row]
+        found, begins = np.unique(ids, return_index=True)
+        self.places = dict(zip(found.tolist(), np.split(place, begins[1:])))
 
     def nearest(self, own_id: int, query: np.ndarray, k: int, limit: float) -> tuple[list[tuple[int, float]], int]:
-        """The k best (id, cosine) found, ties to the smaller id, and how many points were verified."""
+        """The k best (id, cosine) found, ties to the smaller id, and how many points were verified.
+
+        Rows of the query's own id are no candidates; any other row counts, whether its id is repeated or not.
+        """
+        copies = self.copies.copy()
+        own_places = self.places.get(own_id, np.zeros(0, np.int64))
+        np.subtract.at(copies, own_places, 1)
+        copies = np.minimum(copies, k + 1)
+        most = k if len(own_places) else k + 1
         unit = query / np.sqrt((query * query).sum())
         aim = unit @ self.matrix
         leaves, far = self.tree.leaves_from(aim)
@@ -127,9 +133,9 @@ class Block:
             cosines = self.unit[places] @ unit
             seen_places.append(places)
             seen_cosines.append(cosines)
-            near = cosines > best[-1] if len(best) > k else np.ones(len(cosines), bool)
-            best = np.sort(np.concatenate([best, np.repeat(cosines[near], self.copies[places[near]])]))[::-1][: k + 1]
-            if len(best) > k:  # one more than k, as the query itself may be among them
+            near = cosines > best[-1] if len(best) >= most else np.ones(len(cosines), bool)
+            best = np.sort(np.concatenate([best, np.repeat(cosines[near], copies[places[near]])]))[::-1][:most]
+            if len(best) >= most:
                 reach = limit * max(2 - 2 * best[-1], 0.0)
         if at < len(leaves) or len(waiting):  # what lies between the last box and the reach
             ready = distance <= reach
@@ -140,7 +146,8 @@ class Block:
         if len(best):
             places = places[cosines >= best[-1] - 1e-9]
         scores = exact_cosines(self.raw[places], query)
-        found = [(-s, i) for p, s in zip(places, scores) for i in self.owned[self.points[p]] if i != own_id]
+        others = lambda p: (ids := self.owned[self.points[p]])[ids != own_id][:k].tolist()
+        found = [(-s, i) for p, s in zip(places, scores) for i in others(p)]
         return [(i, -s) for s, i in sorted(found)[:k]], verified
 
 
@@ -156,7 +163,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
 
     A query is held against all rows but its own; vectors of another length than its own are none of its candidates. Nulls,
     zero vectors and those with null or non-finite components take no part, nor do rows without an id. Fewer than k
-    candidates are all returned; an empty table gives no rows. Rows that repeat an id count as rows.
+    candidates are all returned; an empty table gives no rows. Candidate rows that repeat an id count as rows, each with a
+    rank of its own. Rows that repeat id and vector ask once; different vectors under one id each ask for their own k.
     """
     source = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"), queries.alias("asks"))
     rows = source.where(usable("v") & F.col("id").isNotNull()).withColumn("dim", F.size("v"))
@@ -165,19 +173,20 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_
     hashed = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = rows.select("dim", "id", "v", hashed(blocks).alias("block")).withColumn("run", every(runs))
-    asking = rows.where("asks").select("dim", "id", "v", hashed(runs).alias("run")).withColumn("block", every(blocks))
+    once = rows.where("asks").select("dim", "id", "v").distinct()
+    asking = once.select("*", F.xxhash64("v").alias("of"), hashed(runs).alias("run")).withColumn("block", every(blocks))
     limit = chi_square_quantile(sure)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             block = Block(left["id"].to_numpy(), np.stack(left["v"].to_numpy()), k)
-            for own, query in zip(right["id"].tolist(), right["v"]):
-                out += [(own, i, s) for i, s in block.nearest(own, np.asarray(query), k, limit)[0]]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            for own, of, query in zip(right["id"].tolist(), right["of"].tolist(), right["v"]):
+                out += [(own, of, i, s) for i, s in block.nearest(own, np.asarray(query), k, limit)[0]]
+        return pd.DataFrame(out, columns=["query_id", "of", "vec_id", "score"]).astype({"query_id": "int64", "of": "int64", "vec_id": "int64", "score": "float64"})
 
     keys = ["dim", "block", "run"]
-    found = data.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    found = data.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "query_id long, of long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "of").orderBy(F.col("score").desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -72,3 +72,18 @@ def test_chi_square_and_tree():
     for leaf, gap in zip(leaves, far):
         own = points[tree.order[tree.begin[leaf] : tree.end[leaf]]]
         assert ((own - points[3]) ** 2).sum(1).min() >= gap - 1e-9
+
+
+def test_repeated_ids_count_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(1, 120) if i % 50]
+    rows += [(7, [1.0, 0.1, 0.0, 0.0])] * 4 + [(7, [2.0, 0.2, 0.0, 0.0])] * 4  # one direction, near the query
+    rows += [(9, [1.0, 0.0, 0.2, 0.0])] * 3
+    query = [(50, [1.0, 0.0, 0.0, 0.0])]
+    rows = [(i, np.float32(v).tolist()) for i, v in rows]
+    want = brute(rows + query)
+    assert [c for _, _, c, _ in want] == [7] * 5
+    assert search(frame(spark, rows + query * 9)) == want
+    few = [r for r in rows if r[0] == 9] + [(3, [0.0, 1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0, 0.0])]
+    assert search(frame(spark, few + query * 9)) == brute(few + query)
