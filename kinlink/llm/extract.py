@@ -29,10 +29,16 @@ FEATURES = 1 << 14
 # Elements of HTML by how they take part in the text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
-    "strike strong sub sup time tt u var wbr br img input".split()
+    "strike strong sub sup time tt u var wbr br img input "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mmultiscripts "
+    "mprescripts none mtable mtr mtd mpadded mphantom menclose merror semantics annotation annotation-xml".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe object svg math head title textarea select canvas audio video".split())
+HIDDEN = frozenset("script style noscript template iframe head title textarea".split())
+#: Hidden elements whose content is no markup: without an end tag they take the rest of the page.
+RAW = frozenset("script style iframe title textarea".split())
+#: Elements that are no part of a line of text and yet stand inside a paragraph.
+IN_PARAGRAPH = frozenset("object svg canvas audio video select".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
@@ -119,7 +125,7 @@ def leaf_blocks(page: str) -> list[Block]:
                 elif end:
                     close_at = page.find(">", end.start())
                     at = n if close_at < 0 else close_at + 1
-                else:
+                elif tag in RAW:
                     at = n
             continue
         if tag in INLINE:
@@ -135,7 +141,7 @@ def leaf_blocks(page: str) -> list[Block]:
                     close()
                 close()
             continue
-        if stack and stack[-1][0] == "p":
+        if stack and stack[-1][0] == "p" and tag not in IN_PARAGRAPH:
             close()
         own = CLOSES_ITSELF.get(tag)
         if own and stack and stack[-1][0] in own:

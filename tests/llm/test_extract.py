@@ -46,3 +46,16 @@ def test_table(spark, field):
     assert [r["text"] for r in rows[:4]] == ["", "", "One two three four five.", "One two three four five."]
     assert len(rows[4]["text"]) == len("long text, " * 30_000) - 1
     assert extract.extract_table(df.limit(0), shared).count() == 0
+
+
+def test_formulas_and_media_are_read(field):
+    page = """<body><nav><ul><li><a href="/a">Home</a></li></ul></nav><article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn></math>
+    holds for all.</p><video src="v"><p>The film shows a cat.</p></video><p>It ends here.</p></article><footer>&copy; site</footer></body>"""
+    assert extract.extract_all([page], field)[0] == ["Here x=1 holds for all.", "The film shows a cat.", "It ends here."]
+
+
+def test_missing_end_tag_keeps_the_rest(field):
+    for tag in ("video", "audio", "object", "math", "select", "svg", "canvas", "noscript", "template"):
+        page = f"<body><article><p>One two three four five.</p><{tag}><p>Six seven eight nine ten.</p><p>The end.</p></article></body>"
+        assert extract.extract_all([page], field)[0] == ["One two three four five.", "Six seven eight nine ten.", "The end."], tag
+    assert [b.text for b in extract.leaf_blocks("<p>a<script>b</p><p>c")] == ["a"]
