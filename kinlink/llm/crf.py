@@ -62,6 +62,7 @@ class Field:
 
 def fit(labels: list[str], n_features: int, sequences: list[tuple[list[list[int]], list[int]]], steps: int = 90, penalty: float = 1e-4, rate: float = 0.3) -> Field:
     """Fits on ``sequences`` of (features of each item, label of each item) by Adam over the whole small table."""
+    sequences = sorted(sequences, key=lambda s: -len(s[1]))  # the first live[t] of them have an item at place t
     k, n = len(labels), len(sequences)
     longest = max((len(y) for _, y in sequences), default=1)
     truth = np.zeros((n, longest), np.int64)
@@ -79,22 +80,23 @@ def fit(labels: list[str], n_features: int, sequences: list[tuple[list[list[int]
     onehot = np.eye(k)[truth] * there[..., None]
     seen_moves = np.einsum("sti,stj->ij", onehot[:, :-1], onehot[:, 1:])
     items = max(there.sum(), 1)
+    live = there.sum(0)
     for step in range(1, steps + 1):
         e = np.stack([np.bincount(rows, w[features, j], n * longest) for j in range(k)], 1).reshape(n, longest, k)
         ahead = np.zeros((n, longest, k))
         ahead[:, 0] = b + e[:, 0]
         for t in range(1, longest):
-            ahead[:, t] = _lsum(ahead[:, t - 1, :, None] + m, 1) + e[:, t]
+            ahead[: live[t], t] = _lsum(ahead[: live[t], t - 1, :, None] + m, 1) + e[: live[t], t]
         last = there.sum(1) - 1
         norm = _lsum(ahead[np.arange(n), np.maximum(last, 0)], 1)
         behind = np.full((n, longest, k), -1e30)
         behind[np.arange(n), np.maximum(last, 0)] = 0
         moves = np.zeros((k, k))
         for t in range(longest - 2, -1, -1):
-            inside = there[:, t + 1]
-            onward = m[None] + (e[:, t + 1] + behind[:, t + 1])[:, None, :]
-            behind[inside, t] = _lsum(onward[inside], 2)
-            both = ahead[inside, t][:, :, None] + onward[inside] - norm[inside, None, None]
+            inside = live[t + 1]
+            onward = m[None] + (e[:inside, t + 1] + behind[:inside, t + 1])[:, None, :]
+            behind[:inside, t] = _lsum(onward, 2)
+            both = ahead[:inside, t][:, :, None] + onward - norm[:inside, None, None]
             moves += np.exp(both).sum(0)
         marginal = np.where(there[..., None], np.exp(np.minimum(ahead + behind - norm[:, None, None], 0)), 0)
         gap = (marginal - onehot).reshape(-1, k)

@@ -1,13 +1,15 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the DOM.
 
 A page is read into leaf blocks: the texts between the edges of block elements, each with its open ancestors. A block's
-features are the tags and the words of classes and ids of its ancestors, its own element and the form of its text. The field
+features are the tags and the words of classes and ids of its ancestors, those words of the nearest ancestor that has any, its
+own element and the form of its text. The field
 is fitted on labelled pages (``labelled_pages`` makes them by rule in many layouts; any others may be given), and Viterbi
 gives every block of a page its label in view of its neighbours. Blocks of the article are the page's text.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ INLINE = frozenset(
     "mprescripts none mtable mtr mtd mpadded mphantom menclose merror semantics annotation annotation-xml".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe head title textarea".split())
+HIDDEN = frozenset("script style template iframe head title textarea".split())
 #: Hidden elements whose content is no markup: without an end tag they take the rest of the page.
 RAW = frozenset("script style iframe title textarea".split())
 #: Elements that are no part of a line of text and yet stand inside a paragraph.
@@ -42,22 +44,24 @@ IN_PARAGRAPH = frozenset("object svg canvas audio video select".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
+_OPEN_QUOTE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _LABEL = re.compile("\ue000(\\w+)\ue001")
 
 
 class Block:
-    __slots__ = ("text", "linked", "own", "around")
+    __slots__ = ("text", "linked", "own", "around", "near")
 
-    def __init__(self, text: str, linked: int, own: str, around: list[str]):
-        self.text, self.linked, self.own, self.around = text, linked, own, around
+    def __init__(self, text: str, linked: int, own: str, around: list[str], near: list[str]):
+        self.text, self.linked, self.own, self.around, self.near = text, linked, own, around, near
 
 
 def leaf_blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in its order. Broken markup is read as far as it goes; a tag cut off at the end is no text."""
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
+    named: list[list[str]] = []
     opened: Counter = Counter()
     around: Counter = Counter()
     parts: list[str] = []
@@ -68,13 +72,15 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, min(linked, len(text)), stack[-1][0] if stack else "body", list(around)))
+                out.append(Block(text, min(linked, len(text)), stack[-1][0] if stack else "body", list(around), named[-1] if named else []))
             parts.clear()
         linked, in_link = 0, False
 
     def close() -> None:
         tag, names = stack.pop()
         opened[tag] -= 1
+        if len(names) > 1:
+            named.pop()
         around.subtract(names)
         for name in names:
             if not around[name]:
@@ -108,10 +114,11 @@ def leaf_blocks(page: str) -> list[Block]:
             at = less + 1
             continue
         found = _TAG.match(page, less)
-        if not found:
+        if not found:  # a quote that never ends: the tag is taken to end with the next >
             end = page.find(">", less)
-            at = n if end < 0 else end + 1
-            continue
+            found = _OPEN_QUOTE.match(page, less, end + 1) if end >= 0 else None
+            if not found:
+                break
         at = found.end()
         closing, tag, rest = found[1], found[2].lower(), found[3]
         if tag in HIDDEN:
@@ -152,6 +159,8 @@ def leaf_blocks(page: str) -> list[Block]:
         for m in _NAMES.finditer(rest):
             names += [f"c:{w}" for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w]
         stack.append((tag, names))
+        if len(names) > 1:
+            named.append(names[1:])
         opened[tag] += 1
         around.update(names)
     end_block()
@@ -177,6 +186,7 @@ def block_features(block: Block) -> list[int]:
     inside = "article" if "t:article" in block.around or "t:main" in block.around else "else"
     names = [
         *block.around,
+        *(f"n:{name}" for name in block.near),
         f"o:{block.own}",
         f"o:{block.own}:{inside}",
         f"l:{min(words.bit_length(), 8)}",
@@ -190,20 +200,20 @@ def block_features(block: Block) -> list[int]:
     return [_number(x) for x in names]
 
 
-def labelled_pages(pages: int = 400, seed: int = 11) -> list[str]:
+def labelled_pages(pages: int = 1200, seed: int = 11) -> list[str]:
     """Pages made by rule in many layouts; each block begins with its label between U+E000 and U+E001."""
-    rng = np.random.default_rng(seed)
-    pick = lambda *of: of[rng.integers(len(of))]
-    word = lambda: "".join(pick(*"aeiou") + pick(*"bcdfghlmnprst") for _ in range(rng.integers(1, 4)))
-    words = lambda a, b: " ".join(word() for _ in range(rng.integers(a, b)))
+    rng = random.Random(seed)
+    pick = lambda *of: of[int(rng.random() * len(of))]
+    word = lambda: "".join(pick(*"aeiou") + pick(*"bcdfghlmnprst") for _ in range(rng.randrange(1, 4)))
+    words = lambda a, b: " ".join(word() for _ in range(rng.randrange(a, b)))
     sentence = lambda: words(1, 14).capitalize() + pick(".", ".", ".", "!", "?", "!!", ",", "")
     mark = lambda label, text: f"\ue000{label}\ue001{text}"
-    prose = lambda: " ".join(sentence() for _ in range(rng.integers(1, 7)))
+    prose = lambda: " ".join(sentence() for _ in range(rng.randrange(1, 7)))
     named = lambda *of: pick(f' class="{pick(*of)}"', f' id="{pick(*of)}"', f' class="{word()} {pick(*of)}"')
 
     def links(label: str, low: int = 2, high: int = 8) -> str:
         item = lambda: f'<li><a href="/{word()}">{mark(label, words(1, 3))}</a></li>'
-        return f"<ul>{''.join(item() for _ in range(rng.integers(low, high)))}</ul>"
+        return f"<ul>{''.join(item() for _ in range(rng.randrange(low, high)))}</ul>"
 
     def loose(label: str) -> str:
         text = pick(prose(), sentence(), words(1, 4))
@@ -221,15 +231,19 @@ def labelled_pages(pages: int = 400, seed: int = 11) -> list[str]:
         )
 
     def advert() -> str:
-        return f"<{(tag := pick('div', 'div', 'aside', 'section', 'p', 'ins'))}{named('ad', 'ads', 'advert', 'advertisement', 'sponsored', 'promo', 'adsense', 'sponsor')}>{pick(mark('advert', prose()), mark('advert', words(1, 12)), loose('advert') if tag != 'p' else mark('advert', sentence()))}</{tag}>"
+        return f"<{(tag := pick('div', 'div', 'aside', 'section', 'p'))}{named('ad', 'ads', 'advert', 'advertisement', 'sponsored', 'promo', 'adsense', 'sponsor')}>{pick(mark('advert', prose()), mark('advert', words(1, 12)), loose('advert') if tag != 'p' else mark('advert', sentence()))}</{tag}>"
 
     def form() -> str:
         return f"<form{pick('', named('search', 'login', 'subscribe', 'signup', 'contact'))}>{pick('', '<p>%s</p>' % mark('form', sentence()))}<label>{mark('form', words(1, 3))}</label><input name=q><button>{mark('form', words(1, 2))}</button></form>"
 
     def comments() -> str:
         one = lambda: f"<{(t := pick('div', 'li', 'article'))}{named('comment', 'reply', 'comment-body')}>{pick('', '<h4>%s</h4>' % mark('comment', words(1, 3)))}<p>{mark('comment', prose())}</p></{t}>"
-        body = "".join(one() for _ in range(rng.integers(1, 5)))
-        return f"<{(t := pick('section', 'div', 'ol'))}{named('comments', 'comment-list', 'responses', 'discussion', 'disqus', 'replies')}>{pick('', '<h3>%s</h3>' % mark('comment', words(1, 3)))}{body}</{t}>"
+        plain = lambda t: f"<{t}>{mark('comment', prose())}</{t}>"
+        kind = pick("", "", "p", "p", "li", "li", "div")
+        body = "".join(plain(kind) if kind else one() for _ in range(rng.randrange(1, 5)))
+        if kind == "li":
+            body = pick("<ul>%s</ul>", "<ol>%s</ol>", "%s") % body
+        return f"<{(t := pick('section', 'div', 'ol'))}{named('comments', 'comment-list', 'commentlist', 'comments-area', 'usercomments', 'responses', 'discussion', 'disqus', 'replies', 'reactions')}>{pick('', '<h3>%s</h3>' % mark('comment', words(1, 3)))}{body}</{t}>"
 
     def footer() -> str:
         legal = mark("chrome", pick("&copy; ", "© ", "Copyright ", "") + words(1, 6) + pick("", " &middot; " + prose()))
@@ -237,8 +251,8 @@ def labelled_pages(pages: int = 400, seed: int = 11) -> list[str]:
 
     def article(container: bool) -> str:
         out = [pick("", f"<h1>{mark('main', words(1, 9).capitalize())}</h1>")]
-        for _ in range(rng.integers(1, 12)):
-            kind = rng.integers(12)
+        for _ in range(rng.randrange(1, 12)):
+            kind = rng.randrange(14)
             bold = pick("", "", "<b>", "<i>")
             text = mark("main", pick(prose(), prose(), sentence(), words(1, 3).capitalize() + "."))
             if kind < 7:
@@ -246,28 +260,36 @@ def labelled_pages(pages: int = 400, seed: int = 11) -> list[str]:
             elif kind == 7:
                 out.append(f"<h2>{mark('main', words(1, 5))}</h2><p>{text}</p>")
             elif kind == 8:
-                items = "".join(f"<li>{mark('main', sentence())}</li>" for _ in range(rng.integers(1, 5)))
+                items = "".join(f"<li>{mark('main', sentence())}</li>" for _ in range(rng.randrange(1, 5)))
                 out.append(f"<{(t := pick('ul', 'ol'))}>{items}</{t}>")
             elif kind == 9:
                 out.append(pick(f"<blockquote><p>{text}</p></blockquote>", f"<pre>{text}</pre>", f"<table><tr><td>{mark('main', words(1, 4))}</td><td>{mark('main', words(1, 4))}</td></tr></table>", f"<figure><figcaption>{text}</figcaption></figure>", f"<div>{text}</div>", f"<section><p>{text}</p></section>"))
+            elif kind == 10:
+                items = "".join(f"<li><a href='/{word()}'>{mark('main', pick(sentence(), words(1, 5)))}</a></li>" for _ in range(rng.randrange(1, 5)))
+                out.append(pick(f"<{(t := pick('ul', 'ol'))}>{items}</{t}>", f"<p><a href='/{word()}'>{text}</a></p>", f"<noscript><p>{text}</p></noscript>"))
+            elif kind == 11:
+                out.append(pick(text, f"{text}<br><br>{prose()}", f"{text}<br>{sentence()}<br>", f"<b>{text}</b>"))
             elif container:
                 out.append(pick(advert(), advert(), form(), f"<div{named('share', 'related', 'notice', 'newsletter', 'tags')}>{pick(links('chrome'), loose('chrome'))}</div>"))
         return "".join(out)
 
     made = []
     for _ in range(pages):
-        body = [pick(chrome, chrome, advert, form)() for _ in range(rng.integers(0, 5))]
-        shape = rng.integers(8)
+        body = [pick(chrome, chrome, advert, form)() for _ in range(rng.randrange(0, 5))]
+        shape = rng.randrange(10)
         container = named("content", "post", "entry", "article", "story", "body", "text", "main")
-        inner = article(shape != 7)
+        inner = article(shape != 9) if rng.randrange(3) else mark("main", pick("", "<br>", "<br><br>").join([*(prose() for _ in range(rng.randrange(1, 5)))]))
         body.append(
             f"<article{pick('', '', container)}>{inner}</article>" if shape < 4
             else f"<main>{pick('<article>%s</article>', '%s', '<div>%s</div>') % inner}</main>" if shape == 4
-            else f"<div{container}>{inner}</div>" if shape < 7
+            else f"<div{container}>{inner}</div>" if shape < 9
             else inner
         )
-        body += [pick(chrome, advert, form, comments, comments)() for _ in range(rng.integers(0, 4))]
+        body += [pick(chrome, advert, form, comments, comments, comments)() for _ in range(rng.randrange(0, 5))]
         body.append(pick(footer, footer, lambda: "")())
+        if not rng.randrange(12):  # a piece of a page
+            made.append(article(False))
+            continue
         tail = pick("</body></html>", "</body></html>", "")
         made.append(f"<!DOCTYPE html><html><head><title>{words(1, 5)}</title><style>p{{}}</style></head><body>{''.join(body)}{tail}")
     return made
@@ -285,11 +307,12 @@ def fit_field(pages: list[str] | None = None) -> Field:
             labels.append(LABELS.index(found[1]) if found else 1)
         if items:
             sequences.append((items, labels))
-    return fit(LABELS, FEATURES, sequences, steps=60)
+    return fit(LABELS, FEATURES, sequences, steps=90)
 
 
 def extract_all(pages: list[str], field: Field) -> list[list[str]]:
-    """The blocks of the main text of each page, in page order."""
+    """The blocks of the main text of each page, in page order. A page with a single block that nothing encloses, not even
+    ``body``, is text without markup, and that is its main text by definition."""
     read = [leaf_blocks(p) for p in pages]
     lengths = np.array([len(b) for b in read], np.int64)
     own = [block_features(b) for blocks in read for b in blocks]
@@ -299,7 +322,8 @@ def extract_all(pages: list[str], field: Field) -> list[list[str]]:
     labels = field.decode(field.emissions(rows, np.concatenate([np.array(f) for f in own]), len(own)), lengths)
     out, at = [], 0
     for blocks in read:
-        out.append([b.text for b, label in zip(blocks, labels[at : at + len(blocks)]) if label == 0])
+        bare = len(blocks) == 1 and not blocks[0].around
+        out.append([b.text for b, label in zip(blocks, labels[at : at + len(blocks)]) if bare or label == 0])
         at += len(blocks)
     return out
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from kinlink.llm.common import NOT_WORD, pieces
 from kinlink.storage import materialize
 
-BLOCK_POSTINGS = 2_000_000
+BLOCK_POSTINGS = 500_000
 #: Terms of the queries that are searched at once, so that many queries take several searches instead of more memory.
 QUERY_TERMS = 200_000
 _NONE = np.iinfo(np.int64).min  # stands for a null doc_id, which ranks before all others

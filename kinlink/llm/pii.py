@@ -71,7 +71,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         return []
     found = [("email", *span) for span in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -239,7 +239,7 @@ def _stretches(text: str) -> list[list[tuple[int, int]]]:
                 break
             before.append((start, end))
             at = start
-        gap = text[known:at].strip() if out and at - known < 200 else "x" if out else "x"
+        gap = text[known:at].strip() if out else "x"
         here = [*before[::-1], m.span()]
         if out and out[-1][-1][1] >= m.end():
             continue  # already within reach of the one before

@@ -180,7 +180,7 @@ def text_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Features and labels of at most so many labelled rows of each class, and for how many rows of its class each stands.
 
-    Equal texts count once.
+    A repeated id counts with one of its texts, that of the least digest, and equal texts count once.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
@@ -191,10 +191,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_cl
     spark = docs.sparkSession
     taken = [(r["doc_id"], r["toxic"]) for r in ids.collect()]
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    stands_for = [counts.get(value, 0) / max(sum(t == value for _, t in taken), 1) for value in (0, 1)]
     ids = spark.createDataFrame(taken, "doc_id long, toxic int")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    found = texts.select("doc_id", "toxic", text_features("text").alias("features")).toArrow().combine_chunks()
+    one = texts.groupBy("doc_id", "toxic").agg(F.min_by(text_features("text"), F.xxhash64("text")).alias("features"))
+    found = one.toArrow().combine_chunks()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
     toxic, lists = found["toxic"].to_numpy(), found["features"]
     kept, seen = [], set()
@@ -205,7 +205,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_cl
             seen.add(key)
             kept.append((own, int(toxic[i])))
     labels = np.array([label for _, label in kept], int)
-    return [own for own, _ in kept], labels.astype(float), np.array(stands_for)[labels]
+    stands_for = np.array([counts.get(value, 0) / max((labels == value).sum(), 1) for value in (0, 1)])
+    return [own for own, _ in kept], labels.astype(float), stands_for[labels]
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, ...]] | None = None, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Chain:

@@ -1,3 +1,4 @@
+import re
 from html import unescape
 
 import pytest
@@ -6,6 +7,44 @@ from pyspark.sql import functions as F
 from kinlink.llm import extract
 
 
+#: Hand-written pages and the blocks of their main text.
+NAV = '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>'
+FOOT = '<footer>&copy; 2020 Example</footer>'
+A = "The river rose again last night."
+B = "Two bridges were closed to traffic until noon."
+C = "Nobody was hurt."
+PAGES = [
+    (f"<body>{NAV}<article>{A}<br><br>{B}</article>{FOOT}</body>", [f"{A} {B}"]),
+    (f'<body>{NAV}<div class="post">{A}<br>{B}</div>{FOOT}</body>', [f"{A} {B}"]),
+    (f'<body>{NAV}<div id="content">{A} {B}</div>{FOOT}</body>', [f"{A} {B}"]),
+    (f"{A}\n\n{B}", [f"{A} {B}"]),
+    (A, [A]),
+    (f"<html><body>{NAV}<article><p>{A}</p>{B}<p>{C}</p></article>{FOOT}</body></html>", [A, B, C]),
+    (f'<body>{NAV}<article><p class="lead>{A}</p><p>{B}</p></article></body>', [A, B]),
+    (f'<body>{NAV}<article><h1>Flood</h1><p>{A}</p><ul><li><a href="/1">Full report of the flood.</a></li><li><a href="/2">Map of the closed roads.</a></li></ul><p>{B}</p></article>{FOOT}</body>', ["Flood", A, "Full report of the flood.", "Map of the closed roads.", B]),
+    (f"<body>{NAV}<article><p>{A}</p><noscript><p>{B}</p></noscript><p>{C}</p></article>{FOOT}</body>", [A, B, C]),
+    (f'<body>{NAV}<article><p>{A}</p><p>{B}</p></article><div class="comments"><p>I saw it too.</p><p>Great report, thanks.</p></div></body>', [A, B]),
+    (f'<body>{NAV}<article><p>{A}</p><p>{B}</p></article><ol class="commentlist"><li>I saw it too.</li><li>Great report, thanks.</li></ol></body>', [A, B]),
+    (f'<body>{NAV}<article><p>{A}</p><p>{B}</p></article><section id="comments"><h3>2 comments</h3><div class="comment"><p>I saw it too.</p></div></section>{FOOT}</body>', [A, B]),
+    (f'<body><header><h1>The Daily</h1>{NAV}</header><main><article><h1>Flood</h1><p>{A}</p><p>{B}</p></article></main><aside><h3>Related</h3><ul><li><a href="/x">Storm</a></li></ul></aside>{FOOT}</body>', ["Flood", A, B]),
+    (f'<body>{NAV}<main><h2>Flood</h2><p>{A}</p><blockquote><p>{B}</p></blockquote><p>{C}</p></main>{FOOT}</body>', ["Flood", A, B, C]),
+    (f'<body>{NAV}<div class="cookie-banner">We use cookies. <button>Accept</button></div><article><p>{A}</p><div class="ad">Buy cheap boats now!</div><p>{B}</p></article>{FOOT}</body>', [A, B]),
+    (f'<body>{NAV}<article><p>{A}</p><form class="newsletter"><label>Your address</label><input><button>Subscribe</button></form><p>{B}</p></article>{FOOT}</body>', [A, B]),
+    (f'<body>{NAV}<article><p>{A}</p><table><tr><td>Monday</td><td>4 m</td></tr></table><p>{B}</p></article>{FOOT}</body>', [A, "Monday", "4 m", B]),
+    (f'<body>{NAV}<article><p>{A}</p><pre>water  level\n  4 m</pre></article>{FOOT}</body>', [A, "water level 4 m"]),
+    (f'<body>{NAV}<article><h1>Flood &amp; storm</h1><p>5 &lt; 6 &eacute;t&eacute; &#8211; {C}</p></article>{FOOT}</body>', ["Flood & storm", f"5 < 6 été – {C}"]),
+    (f'<body><script>var a="<p>no</p>";</script><style>p{{color:red}}</style>{NAV}<article><!-- no --><p>{A}</p><script>track()</script><p>{B}</p></article>{FOOT}</body>', [A, B]),
+    (f'<body>{NAV}<article><p>{A}<p>{B}<p>{C}</article>{FOOT}</body>', [A, B, C]),
+    (f'<body>{NAV}<article><section><h2>First</h2><p>{A}</p></section><section><h2>Then</h2><p>{B}</p></section></article>{FOOT}</body>', ["First", A, "Then", B]),
+    (f'<body>{NAV}<article><p>{A}</p><figure><img src="a"><figcaption>{C}</figcaption></figure><p>{B}</p></article>{FOOT}</body>', [A, C, B]),
+    (f'<body>{NAV}<div class="story"><h1>Flood</h1><p>{A}</p><p>{B}</p></div><div class="sidebar"><p>Most read</p></div><div class="footer">Copyright 2020 Example</div></body>', ["Flood", A, B]),
+    (f'<body>{NAV}<article><p>{A}</p><ol><li>{B}</li><li>{C}</li></ol></article><div class="share"><ul><li><a href="#">Share</a></li></ul></div>{FOOT}</body>', [A, B, C]),
+    (f'<body>{NAV}<article><p>See <a href="/m">the map</a> here. {A}</p><p><em>{B}</em></p></article>{FOOT}</body>', [f"See the map here. {A}", B]),
+    (f'<body>{NAV}<article><div>{A}</div><div>{B}</div></article><div id="disqus"><p>I saw it too.</p></div></body>', [A, B]),
+    (f'<body>{NAV}{FOOT}</body>', []),
+]
+
+
 @pytest.fixture(scope="module")
 def field():
     return extract.fit_field()
@@ -23,6 +62,26 @@ def test_held_out_layouts(field):
     assert wrong / total < 0.03
 
 
+@pytest.mark.parametrize("page,want", PAGES)
+def test_hand_written_pages(field, page, want):
+    assert extract.extract_all([page], field)[0] == want
+
+
+def test_query_returns_whole_articles(spark):
+    """The given pages have one layout: an article in which div.ad is an advert."""
+    from kinlink.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.01"
+    html = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = QUERIES["op1_extract"](spark, sf_dir).collect()
+    assert len(rows) == len(html)
+    for row in rows:
+        inside = re.search(r"<article[^>]*>(.*?)(?:</article>|<footer|$)", html[row["page_id"]], re.S)[1]
+        inside = re.sub(r'<div class="ad">.*?</div>|<(script|style)[^>]*>.*?</\1>', "", inside, flags=re.S)
+        assert "".join(row["text"].split()) == "".join(unescape(re.sub(r"<[^>]+>", "", inside)).split())
+        assert row["n_chars"] == len(row["text"])
+
+
 def test_article_only(field):
     page = """<html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Home</a></li>
     <li><a href="/b">More</a></li></ul></nav><div class="cookie-notice">We use cookies.</div><div class="ad">Buy now</div>

@@ -85,3 +85,13 @@ def test_threshold_at_the_class_shares_of_the_labels(spark, tables):
     assert toxicity.best_threshold(p, target, np.where(target, 9.0, 1.0)) == pytest.approx(0.3)
     weights, toxic = (toxicity.labelled_sample(*tables, 200, 100)[i] for i in (2, 1))
     assert weights[toxic == 1].sum() == pytest.approx(250) and weights[toxic == 0].sum() == pytest.approx(1250)
+
+
+def test_an_id_of_many_rows_is_one_row_of_the_sample(spark, tables):
+    docs, labels = tables
+    hot = docs.where("doc_id = 6").crossJoin(spark.range(3000).select()).unionByName(docs)
+    lists, toxic, weights = toxicity.labelled_sample(hot, labels, 10, 10)
+    plain = toxicity.labelled_sample(docs, labels, 10, 10)
+    assert [x.tolist() for x in lists] == [x.tolist() for x in plain[0]] and toxic.tolist() == plain[1].tolist()
+    found = docs.sparkSession.range(1).crossJoin(hot.where("doc_id = 6")).count()
+    assert found == 3001 and weights[toxic == 1].sum() == pytest.approx(250)
