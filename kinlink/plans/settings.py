@@ -42,3 +42,15 @@ class Settings:
     @property
     def name_lists(self) -> tuple:
         return self.directions, self.numbers, self.common_words, self.legal_suffixes
+
+    def cleaning(self) -> list:
+        """What the cleaned tables depend on."""
+        return [self.abbreviations, *self.name_lists, self.strict]
+
+    def survivorship(self) -> list:
+        """What the survivors depend on besides."""
+        return [self.missing_ids, self.keep_uncoded]
+
+    def matching(self) -> list:
+        """What the matches of a phase depend on besides its rules."""
+        return [self.fill_missing, self.make_encoder]

@@ -1,13 +1,13 @@
 """Table sources and sinks: JDBC, stage cache, snapshots, match and statistics tables, DDL."""
 
-import hashlib
-import json
 import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from kinlink.sources.digest import fingerprint as fingerprint
+
 
 def jdbc_options(config: dict[str, dict[str, str]], section: str) -> dict[str, str]:
     """Connection options of one configuration section: ``url`` and whatever else Spark's JDBC source takes."""
@@ -77,45 +77,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def _files_below(spark: SparkSession, path) -> list[int]:
-    """Number of files below ``path`` and a digest of their names, sizes and times, folded file by file."""
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    count = digest = 0
-    while files.hasNext():
-        status = files.next()
-        line = f"{status.getPath()} {status.getLen()} {status.getModificationTime()}"
-        digest ^= int.from_bytes(hashlib.sha256(line.encode()).digest())
-        count += 1
-    return [count, digest]
-
-
-def _table_state(df: DataFrame, version: str | None) -> list:
-    """What a table's rows depend on: its plan, without the numbers that differ from run to run, and its files."""
-    plan = df._jdf.queryExecution().analyzed()
-    state, leaves = [], plan.collectLeaves()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        relation = leaf.relation() if leaf.nodeName().startswith("LogicalRelation") else None
-        if relation is not None and hasattr(relation, "location") and "HadoopFsRelation" in relation.getClass().getName():
-            roots = relation.location().rootPaths()
-            for k in range(roots.size()):
-                root = roots.apply(k)
-                state.append([root.toString(), *_files_below(df.sparkSession, root)])
-        elif version is None:
-            raise ValueError("a table that does not come from files needs a version")
-    return [plan.canonicalized().toString(), df.schema.json(), state]
-
-
-def fingerprint(*inputs, version: str | None = None) -> str:
-    """Key of a stage: the plan and files of its input tables and the values of its settings.
-
-    Two selections from one table differ, and so does a file that was rewritten under its name. Tables that do not come
-    from files (JDBC, rows given by hand) cannot be seen to change; ``version`` must then name their state.
-    """
-    parts = [_table_state(x, version) if isinstance(x, DataFrame) else repr(x) for x in inputs]
-    return hashlib.sha256(json.dumps([version, parts]).encode()).hexdigest()[:32]
-
-
 def cached_stage(spark: SparkSession, path: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The stage's table if it was completed for the same key, else built and written. Parquet keeps the types."""
     place = f"{path}/{key}"

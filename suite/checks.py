@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -986,6 +987,18 @@ def linked(spark, sf):
     return _rounded(linkage(spark, sf).matches)
 
 
+@check("link_resumed", SQL["link"])
+def link_resumed(spark, sf):
+    """A job that stopped behind phase 2, and the run that goes on from its stored stages."""
+    left, right = sql(spark, sf, LEFT_RAW, RIGHT_RAW)
+    store, settings = _fresh(spark, "ledger"), Settings(abbreviations=ABBREVIATIONS)
+    for now in (replace(settings, phases=settings.phases[:2]), settings):
+        done = link(left, right, ["FileNumber"], ["source_key"], now, store)
+    if [s.name for s in done.stages if not s.reused] != ["phase-3", "matches"]:
+        raise AssertionError(f"stages built again: {done.stages}")
+    return _rounded(done.matches)
+
+
 @check(
     "link_metrics",
     f"""WITH RECURSIVE {_LINKED}, n AS (SELECT (SELECT count(*) FROM std) AS std, (SELECT count(*) FROM kept) AS kept,
@@ -1040,14 +1053,17 @@ def _fresh(spark, name: str) -> str:
 
 @check("stage_cache", "SELECT o_orderkey, o_custkey, o_orderkey % 2 = 0 AS even FROM orders")
 def stage_cache(spark, sf):
-    """Two selections from one table are two stages; asked again, each is answered from its own stored rows."""
+    """Selections of 160 columns that differ in the last one are stages of their own; asked again, each is answered from
+    its own stored rows."""
     path, orders = _fresh(spark, "stage"), sql(spark, sf, "SELECT o_orderkey, o_custkey FROM orders")
     out = []
     for even in (True, False):
-        part = orders.where((F.col("o_orderkey") % 2 == 0) == even).withColumn("even", F.lit(even))
+        wide = [F.lit(i).alias(f"c{i}") for i in range(157)]
+        part = orders.select("o_orderkey", "o_custkey", *wide, ((F.col("o_orderkey") % 2 == 0) == even).alias("wanted"))
         key = tables.fingerprint(part)
         tables.cached_stage(spark, path, key, lambda part=part: part)
-        out.append(tables.cached_stage(spark, path, key, lambda part=part: part.limit(0)))
+        stored = tables.cached_stage(spark, path, key, lambda part=part: part.limit(0))
+        out.append(stored.where("wanted").select("o_orderkey", "o_custkey", F.lit(even).alias("even")))
     return out[0].unionByName(out[1])
 
 

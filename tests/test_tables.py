@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from kinlink.operators import blocking, ordering, standardize, survivorship
 from kinlink.plans.linkage import link
-from kinlink.plans.settings import Settings
+from kinlink.plans.settings import PHASES, Settings
 from kinlink.schema import LEFT_SCHEMA, RIGHT_SCHEMA, require_columns
 from kinlink.sources import lookups, tables
 from kinlink.sources.metrics import log_metrics, read_metrics
@@ -131,6 +131,90 @@ def test_fingerprint_sees_plans_and_files(spark, tmp_path):
     assert tables.fingerprint(spark.range(5), version="1") != tables.fingerprint(spark.range(1), version="1")
 
 
+def test_fingerprint_reads_the_whole_plan(spark, tmp_path):
+    path, other = str(tmp_path / "table"), str(tmp_path / "other")
+    spark.range(100).write.parquet(path)
+    spark.range(50).write.parquet(other)
+
+    def wide(last):
+        table = spark.read.parquet(path)
+        return table.select(*[(F.col("id") + i).alias(f"c{i}") for i in range(158)], (F.col("id") * last).alias("last"))
+
+    def mapped(n):
+        return spark.read.parquet(path).select(F.udf(lambda x: x + n, "long")("id"))
+
+    def lambdas(n):
+        return spark.read.parquet(path).select(F.transform(F.array("id"), lambda x: x + n).alias("x"))
+
+    def listed(n):
+        return spark.read.parquet(path).where(F.col("id").isin([*range(40), n]))
+
+    def nested(n):
+        few = spark.read.parquet(other).where(F.col("id") > n)
+        return spark.sql("SELECT * FROM {a} WHERE id IN (SELECT id FROM {b})", a=spark.read.parquet(path), b=few)
+
+    for make in (wide, mapped, lambdas, listed, nested):
+        assert tables.fingerprint(make(77)) == tables.fingerprint(make(77)) != tables.fingerprint(make(78)), make.__name__
+    before = tables.fingerprint(nested(1))
+    spark.range(51).write.mode("overwrite").parquet(other)  # a table that only a subquery reads
+    assert tables.fingerprint(nested(1)) != before
+    first = tables.fingerprint(spark.read.parquet(path))
+    file = next((tmp_path / "table").glob("part-*"))
+    file.rename(file.with_name("part-renamed.parquet"))
+    assert tables.fingerprint(spark.read.parquet(path)) != first
+    shared = spark.sparkContext.broadcast(3)
+    with pytest.raises(ValueError, match="broadcast"):
+        tables.fingerprint(spark.read.parquet(other).select(F.udf(lambda x: x + shared.value, "long")("id")))
+
+
+def test_settings_are_told_apart():
+    settings = Settings(abbreviations={"STREET": "ST"})
+    assert tables.fingerprint(settings) == tables.fingerprint(Settings(abbreviations={"STREET": "ST"}))
+    assert tables.fingerprint(settings) != tables.fingerprint(Settings(abbreviations={"STREET": "STR"}))
+    makers = [tables.fingerprint(Settings(make_encoder=lambda n=n: n)) for n in (1, 2)]
+    assert makers[0] != makers[1] and tables.fingerprint("1") != tables.fingerprint(1)
+
+
+def test_a_job_goes_on_behind_its_last_complete_stage(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+
+    from kinlink.operators.rules import Rule
+    from kinlink.plans import linkage
+
+    paths = {n: str(tmp_path / n) for n in ("left", "right")}
+    names = ["Acme Boats", "Blue Door Bakery", "Corner Shoes", "Delta Farm"]
+    for n, schema, column, order in (("left", LEFT_SCHEMA, "PrimaryInsuredName", "FileNumber"), ("right", RIGHT_SCHEMA, "business_name", "tradestyle")):
+        given = [
+            {column: name, order: str(i), "PrimaryFEIN": str(i), "StreetAddress": f"{i} Oak Ave", "physical_street_address": f"{i} Oak Ave", "City": "ERIE", "physical_city": "ERIE", "Zipcode": "16501", "physical_zip": "16501", "AddressTypeCode": 2}
+            for i, name in enumerate(names)
+        ]
+        spark.createDataFrame(rows(schema, *given), schema).write.parquet(paths[n])
+    store = str(tmp_path / "ledger")
+
+    def run(settings=Settings(), stop_at=None):
+        real = linkage.run_phase
+
+        def stopping(left, right, phase, *more):
+            if phase.number == stop_at:
+                raise RuntimeError("the driver is lost")
+            return real(left, right, phase, *more)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(linkage, "run_phase", stopping)
+            done = link(*(spark.read.parquet(paths[n]) for n in ("left", "right")), ["FileNumber"], ["tradestyle"], settings, store)
+        return [s.name for s in done.stages if not s.reused], sorted((r["left_id"], r["right_id"]) for r in done.matches.collect())
+
+    two = PHASES[:2]
+    with pytest.raises(RuntimeError):
+        run(Settings(phases=two), stop_at=2)
+    everything = [(i, i) for i in range(1, 5)]
+    assert run(Settings(phases=two)) == (["phase-2", "matches"], everything)
+    next((tmp_path / "ledger" / "phase-2").glob("*/_SUCCESS")).unlink()  # as if the write had been cut off
+    stricter = replace(PHASES[1], rules=(Rule("Method 9", 99, 99, 99),))
+    assert run(Settings(phases=two)) == (["phase-2"], everything)
+    assert run(Settings(phases=(two[0], stricter))) == (["phase-2", "matches"], everything)
+
+
 def test_a_rerun_without_rows_leaves_none_behind(spark, tmp_path):
     path = str(tmp_path / "matches")
     df = spark.createDataFrame([(1, 1), (2, 2)], "left_id long, phase int")
