@@ -3,11 +3,18 @@
 Left rows choose in ascending id; each takes the best right row still free by name score, street score, then
 smallest right id. Pairs arrive between *classes* of equal rows, so a group of copies is one pair.
 
-One path serves blocks of any size. The left rows of a block are cut, in their order, into turns whose pairs fit a
-budget; round k settles turn k of all blocks at once, a task per block, and what it took is no longer free in round
-k + 1. A row of a turn with c rows needs only its c best free places, as no more can be taken before it chooses, so a
-turn's pairs are bounded whatever the block's. Small blocks have one turn, and the rounds of a large block are its
-bounded pairs over the budget, not the length of a chain of rejections.
+What one row takes matters only to rows that are linked to it by pairs. A block whose row pairs fit a budget is settled by
+one task. A larger one falls apart into the connected components of its pairs:
+
+* In a *star*, whose pairs share their left or their right class (a chain of shops, a filler name), nobody's wish differs
+  from his neighbour's: the first left row takes the first place, the second the next. Ranks on both sides and a join on
+  them settle a star of any size.
+* Any other component takes turns. Its left rows are cut, in their order, into turns whose pairs fit the budget; round k
+  settles turn k of all components that have one, a task each. A row of a turn with c rows needs only its c best free
+  places, as no more can be taken before it chooses, so a turn's pairs are bounded whatever the component's.
+
+The rows of a right class are taken in the order of their ids, so what is free is known by a count for each class: a round
+reads the counts and the pairs of components with turns left, and writes nothing but its matches, all rounds in one folder.
 """
 
 import numpy as np
@@ -15,20 +22,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinlink.operators.ordering import running_total
-from kinlink.storage import discard, materialize
+from kinlink.operators.components import components
+from kinlink.operators.ordering import rank_in_group, running_total
+from kinlink.storage import materialize, new_folder
 
 PAIRS_PER_TURN = 200_000
 
 _TIER = ["name_score", "street_score"]
 _MATCH = ["block", "left_id", "right_id", "street_score", "name_score", "used_global"]
+_CHOSEN = [*_MATCH, "unit", "right_class"]
 _SCHEMA = (
-    "block string, left_id bigint, right_id bigint, street_score double, name_score double, used_global boolean"
+    "block string, left_id bigint, right_id bigint, street_score double, name_score double, used_global boolean, "
+    "unit {unit}, right_class bigint"
 )
 
 
 def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
-    """The choice in order, for the row pairs of one block."""
+    """The choice in order, for the row pairs of one unit."""
     order = np.lexsort((pairs["right_id"], -pairs["street_score"], -pairs["name_score"], pairs["left_id"]))
     lefts, rights = pairs["left_id"].to_numpy()[order], pairs["right_id"].to_numpy()[order]
     taken: set[int] = set()
@@ -39,40 +49,110 @@ def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
             taken.add(right)
             chosen.append(place)
             served = left
-    return pairs.iloc[chosen][_MATCH]
+    return pairs.iloc[chosen][_CHOSEN]
 
 
-def _turns(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, budget: int) -> DataFrame:
-    """``(block, left_class, left_id, turn, rows)``: when each left row chooses and how many rows choose with it.
-
-    A row weighs as many pairs as it has places, but no more than the root of the budget and no less than a share
-    that bounds the rows of a turn.
-    """
+def _weights(pairs: DataFrame, right_members: DataFrame, budget: int) -> DataFrame:
+    """``(block, left_class, weight)``: a left row weighs as many pairs as it has places, but no more than the root of the
+    budget and no less than a share that bounds the rows of a turn."""
     places = right_members.groupBy("right_class").agg(F.count("*").alias("n"))
     most = max(int(budget**0.5), 1)
     reach = pairs.join(places, "right_class").groupBy("block", "left_class").agg(F.sum("n").alias("n"))
     weight = F.greatest(F.lit(max(most // 8, 1)), F.least(F.lit(most), F.col("n"))).cast("bigint")
-    asking = left_members.join(reach.select("block", "left_class", weight.alias("_weight")), "left_class")
-    placed = materialize(running_total(asking, ["block", "left_id"], "_weight", "_upto"), "asking")
-    first = placed.groupBy("block").agg(F.min(F.col("_upto") - F.col("_weight")).alias("_start"))
-    turn = F.expr(f"cast((_upto - _weight - _start) div {max(budget, 1)} as int)")
-    timed = placed.join(first, "block").select("block", "left_class", "left_id", turn.alias("turn"))
-    sizes = timed.groupBy("block", "turn").agg(F.count("*").alias("rows"))
-    return materialize(timed.join(sizes, ["block", "turn"]), "turns")
-
-
-def _wishes(now: DataFrame, pairs: DataFrame, free: DataFrame) -> DataFrame:
-    """Row pairs of the rows that choose now: of each row its best free places, as many as rows choose in its block."""
-    seat = F.row_number().over(Window.partitionBy("right_class").orderBy("right_id"))
-    most = now.groupBy("block").agg(F.max("rows").alias("most"))
-    asked = pairs.join(now.select("block", "left_class").distinct(), ["block", "left_class"], "left_semi").join(most, "block")
-    open_seats = free.withColumn("seat", seat)
-    needed = asked.groupBy("right_class").agg(F.max("most").alias("deepest"))
-    open_seats = open_seats.join(needed, "right_class").where("seat <= deepest").drop("deepest")
-    best = Window.partitionBy("block", "left_class").orderBy(*(F.desc(c) for c in _TIER), "right_id")
+    return reach.select("block", "left_class", weight.alias("weight"))
+
+
+def _wishes(now: DataFrame, pairs: DataFrame, seats: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+    """Row pairs of the rows that choose now: of each row its best free places, as many as rows choose in its unit.
+
+    ``seats`` numbers the rows of each right class by their ids, and ``taken`` has how many of a class are gone.
+    """
+    most = now.groupBy("unit").agg(F.count("*").alias("most"))
+    asked = pairs.join(now.select("unit", "left_class").distinct(), ["unit", "left_class"], "left_semi").join(most, "unit")
+    if taken is None:
+        asked = asked.withColumn("gone", F.lit(0))
+    else:
+        asked = asked.join(taken, "right_class", "left").fillna(0, ["gone"])
+    listed = asked.join(seats, "right_class").where("seat > gone AND seat <= gone + most")
+    best = Window.partitionBy("unit", "left_class").orderBy(*(F.desc(c) for c in _TIER), "right_id")
     # copies in one left class have the same list, so it is cut once for all of them
-    listed = asked.join(open_seats, "right_class").where("seat <= most").withColumn("rank", F.row_number().over(best))
-    return now.join(listed.where("rank <= most"), ["block", "left_class"]).select(_MATCH)
+    listed = listed.withColumn("rank", F.row_number().over(best)).where("rank <= most")
+    return now.join(listed, ["unit", "left_class"]).select(_CHOSEN)
+
+
+def _settled(wishes: DataFrame) -> DataFrame:
+    kind = wishes.schema["unit"].dataType.simpleString()
+    return wishes.groupBy("unit").applyInPandas(greedy, _SCHEMA.format(unit=kind))
+
+
+def _seats(right_members: DataFrame, classes: DataFrame) -> DataFrame:
+    wanted = right_members.join(classes.select("right_class").distinct(), "right_class", "left_semi")
+    return rank_in_group(wanted, ["right_class"], "right_id", "seat")
+
+
+def _with_units(pairs: DataFrame) -> DataFrame:
+    """Pairs with their component and whether it is a star: ``left`` or ``right`` by the side that has one class only."""
+    ends = pairs.selectExpr("left_class * 2 AS node", "right_class * 2 + 1 AS other")
+    unit = components(ends).where("node % 2 = 0").select(F.expr("node div 2").alias("left_class"), F.col("component").alias("unit"))
+    placed = pairs.join(unit, "left_class")
+    spans = placed.groupBy("unit").agg(
+        F.min("left_class").alias("a"), F.max("left_class").alias("b"), F.min("right_class").alias("c"), F.max("right_class").alias("d")
+    )
+    star = F.when(F.col("a") == F.col("b"), "left").when(F.col("c") == F.col("d"), "right")
+    return materialize(placed.join(spans.select("unit", star.alias("star")), "unit"), "units")
+
+
+def _left_stars(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
+    """Components with one left class: its rows by id take the places by score, then id."""
+    tiers = pairs.join(right_members.groupBy("right_class").agg(F.count("*").alias("n")), "right_class")
+    tiers = tiers.groupBy("unit", *_TIER).agg(F.sum("n").alias("n"))
+    better = Window.partitionBy("unit").orderBy(*(F.desc(c) for c in _TIER)).rowsBetween(Window.unboundedPreceding, -1)
+    tiers = tiers.withColumn("before", F.coalesce(F.sum("n").over(better), F.lit(0))).drop("n")
+    places = rank_in_group(pairs.join(right_members, "right_class"), ["unit", *_TIER], "right_id", "within")
+    places = places.join(tiers, ["unit", *_TIER]).withColumn("place", F.col("before") + F.col("within"))
+    asking = rank_in_group(left_members.join(pairs.select("left_class").distinct(), "left_class", "left_semi"), ["left_class"], "left_id", "place")
+    return places.join(asking, ["left_class", "place"]).select(_MATCH)
+
+
+def _right_stars(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
+    """Components with one right class: their left rows by id take its rows by id."""
+    asking = left_members.join(pairs.select("unit", "left_class", "right_class"), "left_class")
+    asking = rank_in_group(asking, ["unit"], "left_id", "seat")
+    chosen = asking.join(_seats(right_members, pairs), ["right_class", "seat"])
+    return chosen.join(pairs, ["unit", "left_class", "right_class"]).select(_MATCH)
+
+
+def _turns(pairs: DataFrame, left_members: DataFrame, weights: DataFrame, budget: int) -> DataFrame:
+    """``(unit, left_class, left_id, turn)``: when each left row of the units chooses."""
+    units = pairs.select("unit", "left_class").distinct().join(weights.select("left_class", "weight"), "left_class")
+    placed = materialize(running_total(left_members.join(units, "left_class"), ["unit", "left_id"], "weight", "_upto"), "asking")
+    first = placed.groupBy("unit").agg(F.min(F.col("_upto") - F.col("weight")).alias("_start"))
+    turn = F.expr(f"cast((_upto - weight - _start) div {max(budget, 1)} as int)")
+    return materialize(placed.join(first, "unit").select("unit", "left_class", "left_id", turn.alias("turn")), "turns")
+
+
+def _in_turns(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, weights: DataFrame, budget: int) -> DataFrame:
+    """Matches of the units, turn by turn; only units with turns left are read, and only matches are written."""
+    spark = pairs.sparkSession
+    timed = _turns(pairs, left_members, weights, budget)
+    last = timed.groupBy("unit").agg(F.max("turn").alias("last"))
+    rounds = (last.agg(F.max("last")).first()[0] or 0) + 1
+    seats = _seats(right_members, pairs)
+    later = last.where("last > 0").select("unit")
+    now_timed, now_pairs, now_seats, taken = timed, pairs, seats, None
+    folder = new_folder(spark, "turns")
+    for turn in range(rounds):
+        wishes = _wishes(now_timed.where(F.col("turn") == turn), now_pairs, now_seats, taken)
+        _settled(wishes).write.parquet(f"{folder}/turn={turn}")
+        if turn == 0 and rounds > 1:  # what the later turns need, once
+            now_timed = materialize(timed.where("turn > 0"), "turns")
+            now_pairs = materialize(pairs.join(later, "unit", "left_semi"), "turn-pairs")
+            now_seats = materialize(seats.join(now_pairs.select("right_class").distinct(), "right_class", "left_semi"), "seats")
+        if turn + 1 < rounds:
+            going_on = last.where(F.col("last") > turn).select("unit")
+            so_far = spark.read.schema(_SCHEMA.format(unit="bigint") + ", turn int").parquet(folder)
+            taken = so_far.join(going_on, "unit", "left_semi").groupBy("right_class").agg(F.count("*").alias("gone"))
+    return spark.read.schema(_SCHEMA.format(unit="bigint") + ", turn int").parquet(folder)
 
 
 def assign(
@@ -82,21 +162,26 @@ def assign(
 
     ``pairs``: block, left_class, right_class and scores, one row per class pair; members: class and row id.
     """
-    timed = _turns(pairs, left_members, right_members, pairs_per_turn)
-    last = timed.agg(F.max("turn").alias("last")).first()["last"]
-    free = right_members.join(pairs.select("right_class").distinct(), "right_class", "left_semi")
-    if not last:  # one turn in every block, or no pairs at all
-        return _wishes(timed, pairs, free).groupBy("block").applyInPandas(greedy, _SCHEMA)
-    pairs, free = materialize(pairs, "turn-pairs"), materialize(free, "free")
-    found = []
-    for turn in range(last + 1):
-        now = timed.where(F.col("turn") == turn)
-        won = _wishes(now, pairs, free).groupBy("block").applyInPandas(greedy, _SCHEMA)
-        found.append(materialize(won, "turn-matches"))
-        if turn < last:
-            before, free = free, materialize(free.join(found[-1], "right_id", "left_anti").select(free.columns), "free")
-            discard(before)
+    weights = _weights(pairs, right_members, pairs_per_turn)
+    sizes = weights.join(left_members, "left_class").groupBy("block").agg(F.sum("weight").alias("weight"))
+    large = materialize(sizes.where(F.col("weight") > pairs_per_turn).select("block"), "large-blocks")
+    if large.isEmpty():
+        return _of_blocks(pairs, left_members, right_members)
+    found = [_of_blocks(pairs.join(large, "block", "left_anti"), left_members, right_members)]
+    units = _with_units(pairs.join(large, "block", "left_semi"))
+    found.append(_left_stars(units.where("star = 'left'"), left_members, right_members))
+    found.append(_right_stars(units.where("star = 'right'"), left_members, right_members))
+    rest = units.where("star IS NULL")
+    if not rest.isEmpty():
+        found.append(_in_turns(rest, left_members, right_members, weights, pairs_per_turn).select(_MATCH))
     out = found[0]
     for won in found[1:]:
         out = out.unionByName(won)
     return out
+
+
+def _of_blocks(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame) -> DataFrame:
+    """Matches of whole blocks, a task each."""
+    pairs = pairs.withColumn("unit", F.col("block"))
+    now = left_members.join(pairs.select("unit", "left_class").distinct(), "left_class")
+    return _settled(_wishes(now, pairs, _seats(right_members, pairs))).select(_MATCH)

@@ -38,10 +38,15 @@ def discard_intermediates(spark: SparkSession) -> None:
         del _local_dirs[spark.sparkContext.applicationId]
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A name in the shared folder for tables that are written one after the other."""
+    return f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: short lineage, no recomputation."""
     spark = df.sparkSession
-    path = f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -801,26 +801,34 @@ def heavy_pairs(spark, sf):
     )
 
 
+#: Two fifths of the brands are one hot block, the others small blocks; Brand#1x rows are copies of one class on one side.
+_BRAND_BLOCK = "CASE WHEN p_brand < 'Brand#33' THEN 'hot' ELSE p_brand END"
+_LEFT_CLASS = "CASE WHEN p_brand = 'Brand#11' THEN min(p_partkey) OVER (PARTITION BY p_brand) ELSE p_partkey END"
+_RIGHT_CLASS = "CASE WHEN p_brand IN ('Brand#12', 'Brand#13') THEN min(p_partkey) OVER (PARTITION BY p_brand, CASE WHEN p_brand = 'Brand#13' THEN p_size END) ELSE p_partkey END"
+_BRANDS = f"""SELECT p_partkey, p_brand, p_size, p_type, {_BRAND_BLOCK} AS block, {_LEFT_CLASS} AS lc, {_RIGHT_CLASS} AS rc FROM part"""
+_BRAND_PAIRS = f"""SELECT a.block, a.lc AS left_class, b.rc AS right_class, max(CASE WHEN a.p_size = b.p_size THEN 2 ELSE 1 END) AS street_score,
+ max(CASE WHEN a.p_type = b.p_type THEN 2 ELSE 1 END) AS name_score FROM ({_BRANDS}) a JOIN ({_BRANDS}) b ON a.p_brand = b.p_brand
+ WHERE abs(a.lc - b.rc) % 7 <> 3 GROUP BY a.block, a.lc, b.rc"""
+
+
 @check(
     "assign_large",
-    f"""WITH RECURSIVE z AS MATERIALIZED (SELECT 'all' AS block, l.p_partkey AS left_id, r.p_partkey AS right_id, NULL AS parent,
-     CASE WHEN l.p_size = r.p_size THEN 2.0 ELSE 1.0 END AS ss, CASE WHEN l.p_type = r.p_type THEN 2.0 ELSE 1.0 END AS ns, -1 AS ps
-     FROM part l JOIN part r ON l.p_brand = r.p_brand AND abs(l.p_partkey - r.p_partkey) % 7 <> 3),
+    f"""WITH RECURSIVE p AS MATERIALIZED ({_BRAND_PAIRS}), c AS MATERIALIZED ({_BRANDS}), z AS MATERIALIZED (SELECT p.block, l.p_partkey AS left_id,
+     r.p_partkey AS right_id, NULL AS parent, street_score::DOUBLE AS ss, name_score::DOUBLE AS ns, -1 AS ps
+     FROM p JOIN c l ON l.lc = p.left_class JOIN c r ON r.rc = p.right_class),
      {_rule("m", rules.Rule("", 1.0, 1.0, 9.0), "z", [])} SELECT {_MATCH_COLUMNS} FROM m""",
 )
 def assign_large(spark, sf):
-    """One hot block over all parts, several turns' worth of pairs, many equal scores."""
+    """One hot block of many components, among them copies on either side, and small blocks; many equal scores, and
+    several turns in most components."""
     from kinlink.operators.assign import assign
 
-    pairs = sql(
-        spark, sf, """SELECT 'all' AS block, l.p_partkey AS left_class, r.p_partkey AS right_class,
-         CAST(CASE WHEN l.p_size = r.p_size THEN 2 ELSE 1 END AS DOUBLE) AS street_score,
-         CAST(CASE WHEN l.p_type = r.p_type THEN 2 ELSE 1 END AS DOUBLE) AS name_score, false AS used_global
-         FROM part l JOIN part r ON l.p_brand = r.p_brand AND abs(l.p_partkey - r.p_partkey) % 7 <> 3"""
+    pairs = sql(spark, sf, _BRAND_PAIRS).withColumns(
+        {"street_score": F.col("street_score").cast("double"), "name_score": F.col("name_score").cast("double"), "used_global": F.lit(False)}
     )
-    own = sql(spark, sf, "SELECT p_partkey AS left_class, p_partkey AS left_id FROM part")
-    other = sql(spark, sf, "SELECT p_partkey AS right_class, p_partkey AS right_id FROM part")
-    return _rounded(assign(pairs, own, other, 40_000))
+    own = sql(spark, sf, f"SELECT lc AS left_class, p_partkey AS left_id FROM ({_BRANDS}) t")
+    other = sql(spark, sf, f"SELECT rc AS right_class, p_partkey AS right_id FROM ({_BRANDS}) t")
+    return _rounded(assign(pairs, own, other, 2_500))
 
 
 def _embed_tie_check() -> None:

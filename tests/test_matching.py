@@ -5,7 +5,9 @@ import pytest
 
 from kinlink.functions.similarity import indel_scores
 from kinlink.operators import matching, names
-from kinlink.operators.assign import _turns, assign
+from kinlink.operators import assign as assigning
+from kinlink.operators.assign import assign
+from kinlink.operators.components import components
 from kinlink.operators.rules import M1, M2, Rule, passing
 from kinlink.operators.similar import similar_values
 from kinlink.operators.tiles import compare_tiles
@@ -58,7 +60,63 @@ def test_equal_scores_need_one_turn(spark):
     rm = spark.range(100, 124).selectExpr("id AS right_class", "id AS right_id")
     got = sorted((r["left_id"], r["right_id"]) for r in assign(p, lm, rm).collect())
     assert got == [(i, 100 + i) for i in range(24)]
-    assert _turns(p, lm, rm, 200_000).agg({"turn": "max"}).first()[0] == 0
+    weights = assigning._weights(p, rm, 200_000)
+    turns = assigning._turns(p.withColumn("unit", p["block"]), lm, weights, 200_000)
+    assert turns.agg({"turn": "max"}).first()[0] == 0
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    chain = [(i, i + 1) for i in range(300, 420)]
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + chain + [(900, 500 + i) for i in range(200)] + [(7, 7)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    table = spark.createDataFrame(edges, "node long, other long")
+    got = {r["node"]: r["component"] for r in components(table).collect()}
+    assert got == {x: root(x) for x in parent} and components(table.limit(0)).count() == 0
+
+
+def test_turns_read_and_write_only_what_is_left(spark, monkeypatch):
+    """One large component, many of one turn, and two stars, in one large block."""
+    rng = random.Random(3)
+    rows = [(i, 1000 + j) for i in range(60) for j in range(60) if rng.random() < 0.8]
+    rows += [(100 + 3 * k + i, 2000 + 3 * k + j) for k in range(50) for i in range(2) for j in range(2)]
+    pairs = [("b", a, b, float(rng.randint(1, 3)), float(rng.randint(1, 3)), False) for a, b in rows]
+    members = [(a, a) for a in {a for a, _ in rows}], [(b, b) for b in {b for _, b in rows}]
+    pairs += [("b", 400, 5000 + j, 1.0, float(j % 3), False) for j in range(5)] + [("b", 410 + j, 6000, 1.0, 1.0, False) for j in range(5)]
+    members[0].extend([(400, 400 + i) for i in range(9)] + [(410 + j, 500 + 10 * i + j) for j in range(5) for i in range(3)])
+    members[1].extend([(5000 + j, 5000 + j + 10 * i) for j in range(5) for i in range(2)] + [(6000, 6000 + i) for i in range(8)])
+    p = spark.createDataFrame(pairs, "block string, left_class long, right_class long, street_score double, name_score double, used_global boolean")
+    lm, rm = spark.createDataFrame(members[0], "left_class long, left_id long"), spark.createDataFrame(members[1], "right_class long, right_id long")
+    written = []
+    real = assigning.materialize
+
+    def counting(df, label):
+        done = real(df, label)
+        written.append((label, done.count()))
+        return done
+
+    monkeypatch.setattr(assigning, "materialize", counting)
+    got = sorted((r["left_id"], r["right_id"]) for r in assign(p, lm, rm, 400).collect())
+    left_of, right_of = {}, {}
+    for c, i in members[0]:
+        left_of.setdefault(c, []).append(i)
+    for c, i in members[1]:
+        right_of.setdefault(c, []).append(i)
+    assert got == in_turn([(i, j, s, n) for _, a, b, s, n, _ in pairs for i in left_of[a] for j in right_of[b]])
+    sizes = dict(written)
+    large = sum(1 for a, _ in rows if a < 100)
+    assert sizes["turn-pairs"] == large and sizes["seats"] == 60  # pairs and places of the one component with more turns
+    assert [label for label, _ in written].count("turn-pairs") == 1 and "free" not in sizes
 
 
 def test_any_budget_of_assignment_equals_choosing_in_turn(spark):
