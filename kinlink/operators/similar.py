@@ -1,5 +1,7 @@
 """Similarity join of text values: all pairs at or above a score, without comparing every value with every other."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,13 +35,14 @@ def lost_gram_share(threshold: float, q: int) -> float:
 
 
 def _grams(q: int) -> str:
+    """Hashes of the distinct grams of a text. Two grams of one hash count as one, which can only bring texts together."""
     edge = f"repeat('{_EDGE}', {q - 1})"
     padded = f"concat({edge}, value, {edge})"
-    return f"array_distinct(transform(sequence(1, length(value) + {q - 1}), i -> substring({padded}, i, {q})))"
+    return f"array_distinct(transform(sequence(1, length(value) + {q - 1}), i -> xxhash64(substring({padded}, i, {q}))))"
 
 
 def _bucket(gram: str) -> str:
-    return f"CAST(pmod(xxhash64({gram}), {_BUCKETS}L) AS INT)"
+    return f"CAST(pmod({gram}, {_BUCKETS}L) AS INT)"
 
 
 def _bucket_sizes(values: DataFrame, q: int) -> str:
@@ -55,24 +58,60 @@ def _bucket_sizes(values: DataFrame, q: int) -> str:
     return f"CAST(split('{','.join(map(str, sizes))}', ',') AS ARRAY<BIGINT>)"
 
 
-def _with_signature(values: DataFrame, threshold: float, q: int, sizes: str) -> DataFrame:
+def _bands(threshold: float) -> tuple[str, str]:
+    """The band of lengths that a left value lies in, and those that hold the partners of a right value.
+
+    Texts at or above a threshold t differ in length by (2 - t) / t at most. A band is three such steps wide, so most right
+    values have one or two.
+    """
+    t = threshold / 100.0
+    step = math.log((2 - t) / t) * (1 + 1e-9) + 1e-9
+    own = "ln(greatest(length(value), 1))"
+    ends = (f"CAST(floor(({own} {sign} {step!r}D) / {3 * step!r}D) AS INT)" for sign in "-+")
+    return f"CAST(floor({own} / {3 * step!r}D) AS INT)", f"explode(sequence({', '.join(ends)}))"
+
+
+def _with_signature(values: DataFrame, threshold: float, q: int, sizes: str, band: str, side: str) -> DataFrame:
     """One row per signature gram: the rarest grams, one more than a partner can lack; ``bits`` sketches all grams.
 
-    Two texts at or above the threshold share a gram, and the first one they share in the common order is among
-    these on both sides.
+    A row knows its gram's place in the signature and the grams before it. The order is the same for all texts.
     """
     keep = f"CAST(floor(length(value) * {lost_gram_share(threshold, q)!r}D + 1e-9D) AS INT) + 1"
     ranked = f"transform(grams, g -> struct(get({sizes}, {_bucket('g')}) AS n, g AS gram))"
     signature = f"transform(slice(array_sort({ranked}), 1, {keep}), s -> s.gram)"
-    bits = "aggregate(grams, 0L, (b, g) -> b | shiftleft(1L, CAST(pmod(xxhash64(g), 64L) AS INT)))"
-    with_grams = values.withColumn("grams", F.expr(_grams(q))).withColumn("bits", F.expr(bits))
-    return with_grams.withColumn("gram", F.expr(f"explode({signature})")).drop("grams")
+    bits = "aggregate(grams, 0L, (b, g) -> b | shiftleft(1L, CAST(pmod(g, 64L) AS INT)))"
+    block = [c for c in values.columns if c != "value"]
+    signed = values.withColumn("grams", F.expr(_grams(q))).selectExpr(
+        *(f"`{c}`" for c in block), f"value AS {side}_value", f"{bits} AS {side}_bits", f"{signature} AS signature", f"{band} AS band"
+    )
+    placed = signed.select("*", F.posexplode("signature").alias(f"{side}_at", "gram"))
+    return placed.withColumn(f"{side}_before", F.expr(f"slice(signature, 1, {side}_at)")).drop("signature")
+
+
+def _common(n: str, m: str, threshold: float) -> str:
+    """The least number of characters that texts of these lengths have in common at the threshold."""
+    return f"CAST(ceil(({n} + {m}) * {threshold / 200.0!r}D - 1e-9D) AS INT)"
+
+
+def _first_meeting(threshold: float, q: int) -> str:
+    """Whether a pair that meets at a gram meets there first, and not too late to reach the threshold.
+
+    The first gram that two texts share in the common order is in both signatures. What stands before it in one text's
+    order the other text lacks, and a text of n characters can lack only so many grams of a partner of m.
+    """
+    n, m = "length(left_value)", "length(right_value)"
+    common = _common(n, m, threshold)
+    places = [
+        f"{side}_at <= {q} * ({own} - {common}) + {q - 1} * ({other} - {common})"
+        for side, own, other in (("left", n, m), ("right", m, n))
+    ]
+    return " AND ".join([*places, "NOT arrays_overlap(left_before, right_before)"])
 
 
 def _may_share(a: str, b: str, threshold: float, q: int) -> str:
     """Lossless SQL test on the sketches: neither text may lack more of the other's grams than its edits destroy."""
     n, m = f"length({a}_value)", f"length({b}_value)"
-    common = f"CAST(ceil(({n} + {m}) * {threshold / 200.0!r}D - 1e-9D) AS INT)"
+    common = _common(n, m, threshold)
     tests = []
     for x, y, len_x, len_y in ((a, b, n, m), (b, a, m, n)):
         lost = f"{q} * ({len_x} - {common}) + {q - 1} * ({len_y} - {common})"
@@ -105,27 +144,32 @@ def _in_tiles(left: DataFrame, right: DataFrame, threshold: float, block: list[s
     return compare_tiles(a, b, keys, "value", "value", compare, schema, _TILE_ROWS)
 
 
+def meetings(left: DataFrame, right: DataFrame, threshold: float, block: list[str]) -> DataFrame:
+    """Pairs of distinct values that may reach ``threshold``, each once: where their signatures first meet."""
+    q = gram_size(threshold)
+    columns = [*block, "value"]
+    known = F.col("value").isNotNull()
+    a, b = left.select(columns).where(known), right.select(columns).where(known)
+    sizes = _bucket_sizes(a.select("value").union(b.select("value")), q)
+    own, partners = _bands(threshold)
+    a = _with_signature(a.distinct(), threshold, q, sizes, own, "left")
+    b = _with_signature(b.distinct(), threshold, q, sizes, partners, "right")
+    return a.join(b, [*block, "gram", "band"]).where(_first_meeting(threshold, q))
+
+
 def similar_values(left: DataFrame, right: DataFrame, threshold: float, block: list[str] | None = None) -> DataFrame:
     """``(*block, left_value, right_value, score)`` for all distinct values at or above ``threshold``.
 
-    Both inputs have the block columns and ``value``. Values meet on (block, signature gram), so the shuffle key
-    is far finer than the block, and pairs that cannot reach the score are dropped inside the join by
-    gram sketches, lengths and bounded Levenshtein distance before the exact score is computed.
+    Both inputs have the block columns and ``value``. Values meet on (block, signature gram, band of lengths), so the
+    shuffle key is far finer than the block. A pair is looked at once, at the first gram that both signatures share, and
+    dropped there if that place is too late, if gram sketches, lengths or a bounded Levenshtein distance rule it out; what
+    is left reaches the exact score.
     """
     block = block or []
     if threshold < LEAST_SIGNED:
         return _in_tiles(left, right, threshold, block)
-    q = gram_size(threshold)
-    columns = [*block, "value"]
-    known = F.col("value").isNotNull()
-    a, b = left.select(columns).where(known), right.select(columns).where(known)
-    sizes = _bucket_sizes(a.select("value").union(b.select("value")), q)
-    a = _with_signature(a.distinct(), threshold, q, sizes)
-    b = _with_signature(b.distinct(), threshold, q, sizes)
-    a = a.withColumnsRenamed({"value": "left_value", "bits": "left_bits"})
-    b = b.withColumnsRenamed({"value": "right_value", "bits": "right_bits"})
-    near = f"{_may_share('left', 'right', threshold, q)} AND {may_reach('left_value', 'right_value', threshold)}"
-    pairs = a.join(b, [*block, "gram"]).where(near).select(*block, "left_value", "right_value").distinct()
+    near = f"{_may_share('left', 'right', threshold, gram_size(threshold))} AND {may_reach('left_value', 'right_value', threshold)}"
+    pairs = meetings(left, right, threshold, block).where(near).select(*block, "left_value", "right_value")
     return pairs.withColumn("score", indel_ratio_once(F.col("left_value"), F.col("right_value"))).where(
         F.col("score") >= threshold
     )

@@ -9,7 +9,7 @@ from kinlink.operators import assign as assigning
 from kinlink.operators.assign import assign
 from kinlink.operators.components import components
 from kinlink.operators.rules import M1, M2, Rule, passing
-from kinlink.operators.similar import similar_values
+from kinlink.operators.similar import meetings, similar_values
 from kinlink.operators.tiles import compare_tiles
 
 
@@ -24,7 +24,7 @@ def mutate(text, rng):
     return "".join(chars)
 
 
-@pytest.mark.parametrize("threshold", [80, 85, 90, 95])
+@pytest.mark.parametrize("threshold", [70, 75, 80, 85, 90, 95])
 def test_similarity_join_finds_every_pair(spark, threshold):
     rng = random.Random(threshold)
     bases = ["".join(rng.choices("ABCDE 12", k=rng.randint(0, 25))) for _ in range(25)] + ["AAAAAAAAAA", "", "A"]
@@ -37,6 +37,19 @@ def test_similarity_join_finds_every_pair(spark, threshold):
     assert got == {p for p, s in zip(pairs, scores) if s >= threshold}
 
 
+def test_a_pair_meets_once_and_most_pairs_never(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("ABCDEFGHIJKLMNOPRST", k=rng.randint(3, 8))) for _ in range(80)]
+    names = [" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(240)]
+    left, right = ({mutate(rng.choice(names), rng) for _ in range(300)} for _ in range(2))
+    a, b = (spark.createDataFrame([(v,) for v in side], "value string") for side in (left, right))
+    met = meetings(a, b, 80, []).select("left_value", "right_value").collect()
+    assert len(met) == len(set(met)) < len(left) * len(right) / 2
+    scores = indel_scores([x for x in left for _ in right], [y for _ in left for y in right])
+    want = {p for p, s in zip(((x, y) for x in left for y in right), scores) if s >= 80}
+    assert want and want <= {tuple(m) for m in met}
+
+
 def test_a_pair_is_scored_once(spark):
     a = spark.createDataFrame([("ACME BAKERY",)], "value string")
     plan = similar_values(a, a, 90)._jdf.queryExecution().optimizedPlan().toString()
