@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from kinlink.operators import matching
 from kinlink.operators.rules import passing
+from kinlink.operators.similar import meetings
 from kinlink.plans.settings import PHASES
 from kinlink.storage import materialize
 from suite import checks
@@ -44,12 +45,28 @@ def phase_counters(spark, sf_dir: str) -> dict[str, int]:
     passing_any = reduce(DataFrame.union, [passing(scored, r).select("left_class", "right_class") for r in rules])
     return {
         "candidate_pairs": in_blocks,
+        "streets_met": meetings(
+            lefts.selectExpr("block", "left_street AS value"), rights.selectExpr("block", "street AS value"), 80, ["block"]
+        ).count(),
         "scored": scored.count(),
         "passing": passing_any.distinct().count(),
         "matches": matching.fuzzy_match(left, right, rules).count(),
     }
 
 
+def phase3_counters(spark, sf_dir: str) -> dict[str, float]:
+    """Work of phase 3: pairs of distinct streets that meet in a tile, products of them computed, the share skipped, and
+    pairs of rows whose names are compared. A task that is run again counts twice."""
+    left, right = checks._inputs(spark, sf_dir, PHASES[2])
+    counters = {name: spark.sparkContext.accumulator(0) for name in ("pairs", "streets", "names")}
+    found = matching.vector_candidates(
+        matching.left_classes(left), matching.right_classes(right), list(PHASES[2].rules), counters=counters
+    )
+    passed = found.count()
+    counts = {name: counter.value for name, counter in counters.items()}
+    return counts | {"skipped": round(1 - counts["streets"] / max(counts["pairs"], 1), 3), "passing": passed}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(int(os.environ.get("BENCH_CPUS", "8")))
@@ -70,6 +87,7 @@ def main() -> None:
         "queries": times,
         "rows": {n: r for n, r in rows.items() if r is not None},
         "phase1_counts": phase_counters(spark, sf_dir),
+        "phase3_counts": phase3_counters(spark, sf_dir),
         "sf": sf_dir.rstrip("/").rsplit("/sf", 1)[-1],
     }
     print(json.dumps(report))

@@ -7,7 +7,6 @@ Input tables have ``left_id``/``right_id`` (unique BIGINT), ``block``, ``street`
 from collections.abc import Callable
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +17,10 @@ from kinlink.functions.similarity import indel_scores, may_reach
 from kinlink.operators.assign import assign
 from kinlink.operators.rules import Rule, passing
 from kinlink.operators.similar import similar_values
-from kinlink.operators.tiles import compare_tiles
+from kinlink.operators.vectors import vector_pairs
 from kinlink.storage import materialize, materialize_all
 
 PAIRS_PER_VALUE_PAIR = 100_000
-_VECTOR_ROWS = 8192
-_VECTOR_STEP = 1024
-#: Cosines are rounded to so many digits before they are compared with thresholds and with each other.
-_VECTOR_DIGITS = 9
 
 _TEXTS = ["left_street", "left_name", "street", "name", "parent"]
 Candidates = Callable[[DataFrame, DataFrame, list[Rule]], DataFrame]
@@ -175,22 +170,18 @@ def fuzzy_candidates(
     return scored.select("block", "left_class", "right_class", "parent", "scores.*")
 
 
-def _unit_rows(column: pd.Series, size: int) -> np.ndarray:
-    grid = np.stack([np.zeros(size) if v is None else np.asarray(v, dtype=np.float64) for v in column])
-    norm = np.sqrt((grid * grid).sum(axis=1, keepdims=True))
-    return grid / np.where(norm > 0, norm, 1.0)
-
-
 def text_vectors(texts: list[tuple[DataFrame, str]], make_encoder=None) -> DataFrame:
     """``(text, vector)`` of all distinct texts in the given columns, stored."""
     every = reduce(DataFrame.union, [df.select(F.col(c).alias("text")) for df, c in texts])
     return materialize(encode_distinct(every, "text", make_encoder), "vectors")
 
 
-def vector_candidates(lefts: DataFrame, rights: DataFrame, rules: list[Rule], make_encoder=None) -> DataFrame:
+def vector_candidates(
+    lefts: DataFrame, rights: DataFrame, rules: list[Rule], make_encoder=None, counters: dict | None = None
+) -> DataFrame:
     """Scored class pairs that pass some rule on cosine similarity of their text vectors.
 
-    Vectors are computed once per distinct text. Inside a block tiles are compared by matrix product.
+    Vectors are computed once per distinct text; ``vector_pairs`` compares them, streets first.
     """
     # a block on one side only has no pairs, so its texts need no vectors
     both = lefts.select("block").distinct().join(rights.select("block").distinct(), "block")
@@ -200,7 +191,8 @@ def vector_candidates(lefts: DataFrame, rights: DataFrame, rules: list[Rule], ma
     a = attach_vectors(lefts, vectors, {"left_street": "vs", "left_name": "vn"})
     b = attach_vectors(rights, vectors, {"street": "vs", "name": "vn", "parent": "vp"})
     return vector_pairs(
-        a.select("block", "left_class", "vs", "vn"), b.select("block", "right_class", "parent", "vs", "vn", "vp"), rules
+        a.select("block", "left_class", "vs", "vn"), b.select("block", "right_class", "parent", "vs", "vn", "vp"), rules,
+        counters=counters,
     )
 
 
@@ -212,46 +204,6 @@ def attach_vectors(df: DataFrame, vectors: DataFrame, columns: dict[str, str]) -
     return df
 
 
-def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule], tile_rows: int = _VECTOR_ROWS) -> DataFrame:
-    """Scored pairs from ready vectors: ``vs``, ``vn`` and, on the right, ``vp`` with its ``parent`` text."""
-
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        size = len(y["vs"].iloc[0])
-        streets, names, parents = (_unit_rows(y[c], size) for c in ("vs", "vn", "vp"))
-        no_name, no_parent = y["vn"].isna().to_numpy(), y["vp"].isna().to_numpy()
-        found = []
-        for start in range(0, len(x), _VECTOR_STEP):
-            part = x.iloc[start : start + _VECTOR_STEP]
-            own = _unit_rows(part["vn"], size)
-            # the last bits of a product depend on its place in the matrix: equal texts must have equal scores
-            street, name, parent = (
-                np.round(a @ b.T, _VECTOR_DIGITS)
-                for a, b in ((_unit_rows(part["vs"], size), streets), (own, names), (own, parents))
-            )
-            name[:, no_name], parent[:, no_parent] = -1.0, -1.0
-            keep = np.zeros(name.shape, dtype=bool)
-            for r in rules:
-                keep |= (street >= r.street) & ((name >= r.name) | (parent >= r.parent))
-            i, j = np.nonzero(keep)
-            columns = {
-                "block": part["block"].to_numpy()[i],
-                "left_class": part["left_class"].to_numpy()[i],
-                "right_class": y["right_class"].to_numpy()[j],
-                "parent": y["parent"].to_numpy()[j],
-                "street_score": street[i, j],
-                "name_score": name[i, j],
-                "parent_score": parent[i, j],
-            }
-            found.append(pd.DataFrame(columns))
-        return pd.concat(found)
-
-    schema = (
-        "block string, left_class bigint, right_class bigint, parent string, "
-        "street_score double, name_score double, parent_score double"
-    )
-    return compare_tiles(lefts, rights, ["block"], "left_class", "right_class", compare, schema, tile_rows)
-
-
 def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates) -> DataFrame:
     """Matches of all rules in turn, each on the rows its predecessors left over; ``method`` names the rule."""
     lefts, rights = materialize_all((left_classes(left), "left-classes"), (right_classes(right), "right-classes"))

@@ -4,22 +4,26 @@ A block larger than a tile is cut on both sides and each piece meets each piece
 comparison keeps leaves a tile: never its pairs.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame, sizes: DataFrame, block: list[str], key: str, own: str, other: str) -> DataFrame:
-    spread = df.join(sizes, block)
-    mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
-    spread = spread.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    return spread.select([F.col(c).alias(c) for c in [*df.columns, "_lt", "_rt"]])
+def _tile_counts(df: DataFrame, block: list[str], cell: list[str], side: str, rows: int) -> DataFrame:
+    sizes = df.groupBy(*block, *cell).agg(F.ceil(F.count("*") / rows).cast("int").alias(f"_{side}t"))
+    return sizes.withColumnsRenamed({c: f"{side}_{c}" for c in cell})
 
 
-def _tile_counts(df: DataFrame, block: list[str], name: str, rows: int) -> DataFrame:
-    return df.groupBy(*block).agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+def _cut(df: DataFrame, sizes: DataFrame, block: list[str], cell: list[str], key: str, side: str, other: str) -> DataFrame:
+    """Each row once for every tile of the other side that its own tile meets."""
+    own, theirs = f"_{side}t", f"_{other}t"
+    spread = df.withColumnsRenamed({c: f"{side}_{c}" for c in cell}).join(sizes, [*block, *(f"{side}_{c}" for c in cell)])
+    mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
+    spread = spread.withColumn(own, mine).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)))
+    cells = [f"{s}_{c}" for s in "lr" for c in cell]
+    return spread.select([F.col(c).alias(c) for c in [*(c for c in df.columns if c not in cell), *cells, "_lt", "_rt"]])
 
 
 def compare_tiles(
@@ -31,11 +35,19 @@ def compare_tiles(
     compare: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     rows: int = 2048,
+    cell: Sequence[str] = (),
+    meet: str | None = None,
 ) -> DataFrame:
-    """Apply ``compare`` to every pair of tiles; keys must be unique within a block so that tiles stay even."""
-    sizes = _tile_counts(left, block, "_lt", rows).join(_tile_counts(right, block, "_rt", rows), block)
-    a = _cut(left, sizes, block, left_key, "_lt", "_rt")
-    b = _cut(right, sizes, block, right_key, "_rt", "_lt")
+    """Apply ``compare`` to every pair of tiles; keys must be unique within a block so that tiles stay even.
+
+    ``cell`` are columns of both sides that part a block further; only cells for which the SQL condition ``meet`` holds, on
+    the columns ``l_<cell>`` and ``r_<cell>``, are compared.
+    """
+    cell = list(cell)
+    sizes = _tile_counts(left, block, cell, "l", rows).join(_tile_counts(right, block, cell, "r", rows), block)
+    sizes = sizes.where(meet) if meet else sizes
+    a = _cut(left, sizes, block, cell, left_key, "l", "r")
+    b = _cut(right, sizes, block, cell, right_key, "r", "l")
     names = [f.split()[0].strip("`") for f in schema.split(",")]
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
@@ -43,5 +55,5 @@ def compare_tiles(
             return pd.DataFrame({n: [] for n in names}, dtype=object)
         return compare(x, y)
 
-    keys = [*block, "_lt", "_rt"]
+    keys = [*block, *(f"{s}_{c}" for s in "lr" for c in cell), "_lt", "_rt"]
     return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(run, schema)

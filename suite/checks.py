@@ -712,6 +712,31 @@ def phase3(spark, sf):
     return _rounded(run_phase(*parties(spark, sf), PHASES[2])).drop("phase")
 
 
+def _filled(side: str, *more: str) -> str:
+    """A party with texts left out, and the filler in their place."""
+    texts = (f"coalesce(CASE WHEN record_id % {n} > 0 THEN {c} END, 'Missing') AS {c}" for c, n in (("street", 13), ("name", 17)))
+    return f"{side}f AS MATERIALIZED (SELECT record_id, zip, city, {', '.join([*texts, *more])} FROM {side})"
+
+
+@check(
+    "phase3_filled",
+    f"""WITH RECURSIVE {duck.parties()}, {_filled("l")}, {_filled("r", "parent")},
+     {duck.vectors(" UNION ".join(f"SELECT {c} AS t FROM {t}" for c, t in (("street", "lf"), ("name", "lf"), ("street", "rf"), ("name", "rf"), ("parent", "rf"))))},
+     {duck.vector_scored("z3", "lf", "rf", "zip", "city")},
+     {_rule("m3", rules.M3, "z3", [])}, {_rule("m4", rules.M4, "z3", ["m3"])}, {_rule("m5", rules.M5, "z3", ["m3", "m4"])}
+     SELECT {_MATCH_COLUMNS}, method FROM ({_matched(*_M345)})""",
+)
+def phase3_filled(spark, sf):
+    """The vector phase with a filler for missing texts, so that rows without a street or name take part."""
+
+    def without(df):
+        some = (("Street_UPDATED", 13), ("BusinessName_UPDATED", 17))
+        return df.withColumns({c: F.when(F.col("record_id") % n > 0, F.col(c)) for c, n in some})
+
+    left, right = map(without, parties(spark, sf))
+    return _rounded(run_phase(left, right, PHASES[2], Settings(fill_missing=True))).drop("phase")
+
+
 @check("phases", f"WITH RECURSIVE {_PHASE3} SELECT {_MATCH_COLUMNS}, method, phase FROM ({_matched(_M1, _M2, _N1, _N2, *_M345)})")
 def phases(spark, sf):
     return _rounded(all_matches(spark, sf))

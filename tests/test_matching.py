@@ -11,6 +11,7 @@ from kinlink.operators.components import components
 from kinlink.operators.rules import M1, M2, Rule, passing
 from kinlink.operators.similar import meetings, similar_values
 from kinlink.operators.tiles import compare_tiles
+from kinlink.operators.vectors import near_rows, vector_pairs
 
 
 def mutate(text, rng):
@@ -261,6 +262,46 @@ def test_vector_ties_do_not_depend_on_tiles(spark, rows):
     assert all((1.0 in {s for s, _ in v}) for (x, y), v in by_text.items() if x[1] == y[1])
 
 
+@pytest.mark.parametrize("least", [0.3, 0.6, 0.9, -0.2])
+def test_near_rows_are_all_found(least):
+    rng = np.random.default_rng(4)
+    centres = rng.random((6, 32)) ** 4
+    a, b = (centres[rng.integers(6, size=n)] + 0.15 * rng.random((n, 32)) ** 3 for n in (700, 500))
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+    a[3], b[5], b[0] = 0, 0, 0 if least == 0.3 else b[0]
+    i, j, score, computed = near_rows(a, b, least)
+    want = np.round(a @ b.T, 9)
+    assert {*zip(i.tolist(), j.tolist())} == {*zip(*(x.tolist() for x in np.nonzero(want >= least)))} and len(i) == len({*zip(i, j)})
+    assert np.allclose(score, want[i, j]) and (computed < a.shape[0] * b.shape[0]) == (least in (0.6, 0.9))
+
+
+def test_vector_pairs_of_a_large_block_in_cells(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.random((5, 16)) ** 4
+    make = lambda n: (centres[rng.integers(5, size=n)] + 0.1 * rng.random((n, 16))).astype(np.float32)
+    streets, others, names, theirs = make(30)[rng.integers(30, size=120)], make(25)[rng.integers(25, size=90)], make(120), make(90)
+    rows = [("b" if i % 4 else "c", i, s.tolist(), n.tolist()) for i, (s, n) in enumerate(zip(streets, names))]
+    left = spark.createDataFrame(rows, "block string, left_class long, vs array<float>, vn array<float>")
+    rows = [("b" if i % 4 else "c", i, "p", s.tolist(), n.tolist() if i % 5 else None, n[::-1].tolist()) for i, (s, n) in enumerate(zip(others, theirs))]
+    right = spark.createDataFrame(rows, "block string, right_class long, parent string, vs array<float>, vn array<float>, vp array<float>")
+    rule_list = [Rule("", 0.9, 0.9, 0.95), Rule("", 0.97, 0.6, 0.9)]
+    unit = lambda x: x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    street, name, parent = (np.round(unit(x) @ unit(y).T, 9) for x, y in ((streets, others), (names, theirs), (names, theirs[:, ::-1])))
+    name[:, ::5] = -1
+    keep = np.zeros(street.shape, bool)
+    for r in rule_list:
+        keep |= (street >= r.street) & ((name >= r.name) | (parent >= r.parent))
+    same = (np.arange(120) % 4 > 0)[:, None] == (np.arange(90) % 4 > 0)[None, :]
+    want = {(i, j, street[i, j], name[i, j], parent[i, j]) for i, j in zip(*(x.tolist() for x in np.nonzero(keep & same)))}
+    for tile_rows in (1000, 20):
+        counters = {k: spark.sparkContext.accumulator(0) for k in ("pairs", "streets", "names")}
+        found = vector_pairs(left, right, rule_list, tile_rows, counters).collect()
+        got = {(r["left_class"], r["right_class"], r["street_score"], r["name_score"], r["parent_score"]) for r in found}
+        assert len(got) == len(found) and got == want
+        assert 0 < counters["names"].value < same.sum() / 2
+    assert counters["pairs"].value < 4 * (30 * 25)  # some cells never meet; those that do hold distinct streets only
+
+
 def test_output_and_leftovers(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "record_id long, x string")
     right = spark.createDataFrame([(7, "c"), (8, "d")], "record_id long, x string")
