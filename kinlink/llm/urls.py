@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinlink.storage import materialize
+
 LONGEST = 20  # letters of a word that a name may hold
+PIECE = 1_000  # letters of a name that are cut into substrings at once
 #: Action, host and path of each rule (fixed values; a parameter of ``judged``).
 RULES = [
     ("allow", "org", "/"),
@@ -127,12 +130,16 @@ def best_split(name: str, known: dict[str, int], total: int) -> list[str]:
 def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     """(name, words) for every distinct ``name`` of a-z. ``counts`` has (word, n); its size does not matter."""
     distinct = names.where("name is not null and name <> ''").select("name").distinct()
+    distinct = distinct.withColumn("id", F.sha2("name", 256))
     total = max(counts.agg(F.sum("n")).first()[0] or 0, 1)
-    spans = distinct.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("name"))))
-    reach = F.least(F.lit(LONGEST), F.length("name") - F.col("start") + 1)
+    # a long name goes in pieces that overlap by a word, and only its digest goes with its substrings
+    pieces = f"transform(sequence(0, (length(name) - 1) div {PIECE}), i -> substring(name, i * {PIECE} + 1, {PIECE + LONGEST - 1}))"
+    spans = distinct.select("id", F.explode(F.expr(pieces)).alias("piece"))
+    spans = spans.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("piece"))))
+    reach = F.least(F.lit(LONGEST), F.length("piece") - F.col("start") + 1)
     spans = spans.withColumn("size", F.explode(F.sequence(F.lit(1), reach)))
-    inside = spans.select("name", F.expr("substring(name, start, size)").alias("word")).distinct()
-    hits = inside.join(counts, "word").groupBy("name").agg(
+    inside = spans.select("id", F.expr("substring(piece, start, size)").alias("word")).distinct()
+    hits = inside.join(counts, "word").groupBy("id").agg(
         F.collect_list("word").alias("known"), F.collect_list("n").alias("counts")
     )
 
@@ -142,7 +149,7 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
             rows = zip(name.to_pylist(), known.to_pylist(), n.to_pylist())
             yield pa.array([best_split(x, dict(zip(w or (), c or ())), total) for x, w, c in rows], pa.list_(pa.string()))
 
-    return distinct.join(hits, "name", "left").select("name", split("name", "known", "counts").alias("words"))
+    return distinct.join(hits, "id", "left").select("name", split("name", "known", "counts").alias("words"))
 
 
 def _names(text: Column) -> Column:
@@ -157,6 +164,7 @@ def judged(pages: DataFrame, counts: DataFrame, rules: list[tuple[str, str, str]
     """
     spark = pages.sparkSession
     odds, prior = fit_bayes(labelled)
+    counts = materialize(counts, "word-counts")  # of all documents, and asked three times
     total = counts.agg(F.sum("n")).first()[0] or 0
     extra = [(w, max(1, int(total * _SHARE))) for w in dict.fromkeys([*odds, *_SITE])]
     known = counts.unionByName(spark.createDataFrame(extra, "word string, n long"))

@@ -46,7 +46,7 @@ def linked(rows, width):
 def test_registered():
     names = contract.queries()
     assert {"pipeline", *queries.QUERIES} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_op2(spark, docs):
@@ -144,6 +144,16 @@ def test_stages_on_odd_tables(spark, tmp_path):
         assert corpus_pipeline.STAGES[-1][1](spark, kept, SMALL).count() >= n
 
 
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    near, other, third = text + " end", " ".join(f"v{i}" for i in range(90)), " ".join(f"u{i}" for i in range(90))
+    rows = [(1, text), (1, text), (1, other), (2, near), (2, other), (None, text), (None, third), (None, third), (3, None), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("mine"))
+    got = corpus_pipeline.one_of_each(spark, df, SMALL).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted([(1, text), (1, other), (None, third), (3, None), (3, None), (4, "")], key=repr)
+    assert {r["_row"] for r in got} == {"mine"}
+
+
 def test_whole_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
     rows = out.collect()

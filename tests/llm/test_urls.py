@@ -80,3 +80,12 @@ def test_empty_tables(spark):
     counts = spark.createDataFrame([], "word string, n long")
     assert urls.judged(df, counts).count() == 0
     assert urls.judged(spark.createDataFrame([(1, "http://a.b/" + "x" * 3000)], df.schema), counts).count() == 1
+
+
+def test_a_very_long_name(spark):
+    counts = spark.createDataFrame([("river", 50), ("bank", 40), ("q", 1)], "word string, n long")
+    name = "riverbank" * 11_000 + "q"
+    names = spark.createDataFrame([(name,), ("bankriver",), (None,), ("",)], "name string")
+    got = {r["name"]: r["words"] for r in urls.segmented(names, counts).collect()}
+    assert got["bankriver"] == ["bank", "river"] and len(got) == 2
+    assert got[name] == ["river", "bank"] * 11_000 + ["q"]
