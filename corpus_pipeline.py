@@ -20,9 +20,18 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near duplicates (5-word shingles, resemblance 0.8 or more)."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each group of near duplicates (5-word shingles, resemblance 0.8 or more): that of the least doc_id, null
+    ids last, then of the least hash of the text. Rows are told apart by a number of their own, so neither repeated rows nor
+    different texts under one id, or without any, are kept or lost together.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    placed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "placed-documents")
+    groups = minhash.near_duplicates(placed, doc_id=row).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col(row).alias("row"))
+    least = placed.select(row, order.alias("order")).join(groups, row).groupBy("component_id").agg(F.min("order").alias("first"))
+    return placed.join(least.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
