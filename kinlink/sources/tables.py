@@ -1,6 +1,8 @@
 """Table sources and sinks: JDBC, stage cache, snapshots, match and statistics tables, DDL."""
 
+import json
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,20 +87,70 @@ def cached_stage(spark: SparkSession, path: str, key: str, build: Callable[[], D
     return spark.read.parquet(place)
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _names_in(spark: SparkSession, path: str) -> list[str]:
+    files, where = _folder(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """The newest manifest of a published table: its number and schema, and the run folder of each phase."""
+    numbers = [int(m[1]) for n in _names_in(spark, path) if (m := re.fullmatch(r"manifest-(\d+)", n))]
+    if not numbers:
+        return {"number": 0, "runs": {}}
+    text = spark.read.text(f"{path}/manifest-{max(numbers)}", wholetext=True).first()[0]
+    return json.loads(text)
+
+
+def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Writes a manifest under a name of its own, then gives it its number: readers see all of it or none."""
+    files, hidden = _folder(spark, f"{path}/_writing-{uuid.uuid4().hex}")
+    out = files.create(hidden, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not files.rename(hidden, _folder(spark, f"{path}/manifest-{manifest['number']}")[1]):
+        raise FileExistsError(f"another run published to {path}")
+
+
 def write_matches(df: DataFrame, path: str, form: str = "parquet", phases: Sequence[int] = ()) -> None:
-    """Matches in one folder per phase; a repeated phase replaces its own folder only.
+    """Publish matches phase by phase; a repeated phase replaces its own rows only. ``read_matches`` reads them.
 
-    ``phases`` are the phases that were run: the folder of one without rows is removed, so that no older run's rows stay.
+    ``phases`` are the phases that were run: one without rows is published without rows, so that no older run's stay. Rows
+    go to a folder of the run, then a manifest names the folder of each phase. A run that stops before that changes nothing
+    that readers see. Folders that neither this manifest nor the one before it names are removed. One writer at a time.
     """
-    spark = df.sparkSession
-    writer = df.write.format(form).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark, run = df.sparkSession, f"run-{form}-{uuid.uuid4().hex}"
+    writer = df.write.format(form)
     if form == "csv":
         writer = writer.option("header", True)
-    held = {r["phase"] for r in df.select("phase").distinct().collect()} if phases else set()  # a row for each phase
-    writer.partitionBy("phase").save(path)
-    for phase in sorted({*phases} - held):
-        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/phase={phase}")
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    writer.partitionBy("phase").save(f"{path}/{run}")
+    held = [n.removeprefix("phase=") for n in _names_in(spark, f"{path}/{run}") if n.startswith("phase=")]
+    before = _manifest(spark, path)
+    runs = {p: r for p, r in before["runs"].items() if p not in map(str, phases)} | dict.fromkeys(held, run)
+    _publish(spark, path, {"number": before["number"] + 1, "schema": df.schema.json(), "runs": runs})
+    for name in _names_in(spark, path):
+        if name.startswith("run-") and name not in {*runs.values(), *before["runs"].values()}:
+            files, where = _folder(spark, f"{path}/{name}")
+            files.delete(where, True)
+
+
+def read_matches(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_matches`` published last."""
+    manifest = _manifest(spark, path)
+    if not manifest["number"]:
+        raise FileNotFoundError(f"nothing is published in {path}")
+    schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+    found = spark.createDataFrame([], schema)
+    for run in dict.fromkeys(manifest["runs"].values()):
+        base = f"{path}/{run}"
+        phases = [f"{base}/phase={p}" for p, r in manifest["runs"].items() if r == run]
+        reader = spark.read.schema(schema).option("basePath", base).option("header", True).format(run.split("-")[1])
+        found = found.unionByName(reader.load(phases).select(schema.names))
+    return found
 
 
 def write_stats(df: DataFrame, path: str, phases: Sequence[int] = ()) -> None:

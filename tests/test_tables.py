@@ -220,7 +220,29 @@ def test_a_rerun_without_rows_leaves_none_behind(spark, tmp_path):
     df = spark.createDataFrame([(1, 1), (2, 2)], "left_id long, phase int")
     tables.write_matches(df, path)
     tables.write_matches(df.where("phase = 1"), path, phases=[1, 2])
-    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, 1)]
+    assert [tuple(r) for r in tables.read_matches(spark, path).collect()] == [(1, 1)]
+    tables.write_matches(df.limit(0), path, phases=[1])
+    assert tables.read_matches(spark, path).count() == 0 and tables.read_matches(spark, path).columns == ["left_id", "phase"]
+
+
+def test_an_interrupted_run_publishes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "matches")
+    first, second = (spark.createDataFrame([(n, p) for p in (1, 2)], "left_id long, phase int") for n in (10, 20))
+    with pytest.raises(FileNotFoundError):
+        tables.read_matches(spark, path)
+    tables.write_matches(first, path)
+
+    def lost(*_):
+        raise RuntimeError("the driver is lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            tables.write_matches(second, path, phases=[1, 2])
+    assert sorted(map(tuple, tables.read_matches(spark, path).collect())) == [(10, 1), (10, 2)]
+    tables.write_matches(second.where("phase = 2"), path, "csv")  # another form for another phase
+    assert sorted(map(tuple, tables.read_matches(spark, path).collect())) == [(10, 1), (20, 2)]
+    assert len(list((tmp_path / "matches").glob("run-*"))) == 2  # what the cut-off run left is gone
 
 
 def test_phases_of_any_number_are_counted(spark):
