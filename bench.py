@@ -67,6 +67,17 @@ def phase3_counters(spark, sf_dir: str) -> dict[str, float]:
     return counts | {"skipped": round(1 - counts["streets"] / max(counts["pairs"], 1), 3), "passing": passed}
 
 
+def top_one_counters(spark, sf_dir: str) -> dict[str, dict[str, float]]:
+    """Of the pairs that meet in the tiles of a top-one search, how many are scored. A task that is run again counts twice."""
+    report = {}
+    for name in ("best_choice", "name_maps"):
+        counters = {k: spark.sparkContext.accumulator(0) for k in ("pairs", "scored")}
+        getattr(checks, name)(spark, sf_dir, counters).write.format("noop").mode("overwrite").save()
+        counts = {k: c.value for k, c in counters.items()}
+        report[name] = counts | {"share": round(counts["scored"] / max(counts["pairs"], 1), 4)}
+    return report
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(int(os.environ.get("BENCH_CPUS", "8")))
@@ -88,6 +99,7 @@ def main() -> None:
         "rows": {n: r for n, r in rows.items() if r is not None},
         "phase1_counts": phase_counters(spark, sf_dir),
         "phase3_counts": phase3_counters(spark, sf_dir),
+        "top_one_counts": top_one_counters(spark, sf_dir),
         "sf": sf_dir.rstrip("/").rsplit("/sf", 1)[-1],
     }
     print(json.dumps(report))

@@ -1,123 +1,12 @@
 """String and vector similarity. Scores of strings run from 0 to 100."""
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CHUNK = 8192
-_BITS = 63
-
-
-def _matrix(texts: np.ndarray, lengths: np.ndarray, pad: int) -> np.ndarray:
-    out = np.full((len(texts), max(int(lengths.max()), 1)), pad, dtype=np.uint32)
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    out[np.arange(out.shape[1]) < lengths[:, None]] = flat
-    return out
-
-
-def _lcs_chunk(a: np.ndarray, b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray) -> np.ndarray:
-    """Bit-parallel longest common subsequence, one machine word per pair; ``a`` has at most 63 characters."""
-    left, right = _matrix(a, len_a, 0xFFFFFFFF), _matrix(b, len_b, 0xFFFFFFFE)
-    one = np.uint64(1)
-    full = (one << len_a.astype(np.uint64)) - one
-    state = full.copy()
-    for j in range(right.shape[1]):
-        column = right[:, j]
-        hits = np.zeros(len(a), dtype=np.uint64)
-        for i in range(left.shape[1]):
-            hits |= (left[:, i] == column).astype(np.uint64) << np.uint64(i)
-        shared = state & hits
-        state = ((state + shared) | (state - shared)) & full
-    return len_a - np.bitwise_count(state).astype(np.int64)
-
-
-def _lcs_long(a: str, b: str) -> int:
-    """The same recurrence with one arbitrarily long integer, for long texts."""
-    places: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        places[ch] = places.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    state = full
-    for ch in b:
-        shared = state & places.get(ch, 0)
-        state = ((state + shared) | (state - shared)) & full
-    return len(a) - state.bit_count()
-
-
-def lcs_lengths(a, b) -> np.ndarray:
-    a, b = np.asarray(a, dtype=object), np.asarray(b, dtype=object)
-    out = np.zeros(len(a), dtype=np.int64)
-    if not len(a):
-        return out
-    len_a = np.fromiter(map(len, a), np.int64, len(a))
-    len_b = np.fromiter(map(len, b), np.int64, len(b))
-    swap = len_a > len_b
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    len_a, len_b = np.minimum(len_a, len_b), np.maximum(len_a, len_b)
-    order = np.argsort(len_b, kind="stable")
-    order = order[len_a[order] > 0]
-    fits = len_a[order] <= _BITS
-    for k in order[~fits]:
-        out[k] = _lcs_long(a[k], b[k])
-    short = order[fits]
-    for start in range(0, len(short), _CHUNK):
-        k = short[start : start + _CHUNK]
-        out[k] = _lcs_chunk(a[k], b[k], len_a[k], len_b[k])
-    return out
-
-
-def _ratio_from(lcs: np.ndarray, total: np.ndarray) -> np.ndarray:
-    distance = total - 2 * lcs
-    return 100.0 * (1.0 - distance / np.maximum(total, 1))
-
-
-def indel_scores(a, b) -> np.ndarray:
-    """Normalised insert/delete similarity; a null on either side scores 0, two empty texts 100."""
-    a, b = np.asarray(a, dtype=object), np.asarray(b, dtype=object)
-    known = ~(pd.isna(a) | pd.isna(b))
-    out = np.zeros(len(a))
-    x, y = a[known], b[known]
-    score = np.full(len(x), 100.0)
-    differ = x != y
-    x, y = x[differ], y[differ]
-    total = np.fromiter(map(len, x), np.int64, len(x)) + np.fromiter(map(len, y), np.int64, len(y))
-    score[differ] = _ratio_from(lcs_lengths(x, y), total)
-    out[known] = score
-    return out
-
-
-def token_set_scores(a, b) -> np.ndarray:
-    """Best of three insert/delete ratios over shared and unshared words; 100 if one side's words are all shared."""
-    out = np.zeros(len(a))
-    rest_a, rest_b, shared, where = [], [], [], []
-    words = {t: frozenset(t.split()) for t in {*a, *b}}  # once for each value, not for each pair
-    for k, (x, y) in enumerate(zip(a, b)):
-        words_x, words_y = words[x], words[y]
-        if not words_x or not words_y:
-            continue
-        both = words_x & words_y
-        only_x, only_y = words_x - both, words_y - both
-        if both and (not only_x or not only_y):
-            out[k] = 100.0
-            continue
-        rest_a.append(" ".join(sorted(only_x)))
-        rest_b.append(" ".join(sorted(only_y)))
-        shared.append(len(" ".join(sorted(both))))
-        where.append(k)
-    if where:
-        len_a, len_b = np.array([len(t) for t in rest_a]), np.array([len(t) for t in rest_b])
-        common = np.array(shared)
-        gap = (common > 0).astype(np.int64)
-        total = 2 * (common + gap) + len_a + len_b
-        lcs = lcs_lengths(rest_a, rest_b) + common + gap
-        best = _ratio_from(lcs, total)
-        for extra in (len_a, len_b):
-            against_shared = _ratio_from(common, 2 * common + gap + extra)
-            best = np.where(common > 0, np.maximum(best, against_shared), best)
-        out[np.array(where)] = best
-    return out
+from kinlink.functions.edits import indel_scores
+from kinlink.functions.wordsets import token_set_scores
 
 
 @F.pandas_udf(T.DoubleType())

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinlink.functions.encode import encode_distinct
-from kinlink.functions.similarity import indel_scores, may_reach
+from kinlink.functions.edits import indel_scores
+from kinlink.functions.similarity import may_reach
 from kinlink.operators.assign import assign
 from kinlink.operators.rules import Rule, passing
 from kinlink.operators.similar import similar_values

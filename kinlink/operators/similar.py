@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.functions.similarity import indel_ratio_once, indel_scores, may_reach
+from kinlink.functions.edits import indel_scores
+from kinlink.functions.similarity import indel_ratio_once, may_reach
 from kinlink.operators.tiles import compare_tiles
 
 _BUCKETS = 4096

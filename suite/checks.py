@@ -885,11 +885,11 @@ _OPTIONS = """SELECT DISTINCT p_type AS code, replace(p_name, 'e', 'a') AS value
      {duck.indel("a.value", "b.value")} AS score FROM a JOIN b USING (code))
      WHERE score >= 40 QUALIFY row_number() OVER (PARTITION BY left_value ORDER BY score DESC, right_value) = 1""",
 )
-def best_choice(spark, sf):
+def best_choice(spark, sf, counters=None):
     left, right = sql(
         spark, sf, "SELECT DISTINCT p_type AS code, concat(p_type, ' ', p_name, ' co') AS value FROM part", _OPTIONS
     )
-    return best.best_in_block(left, right, "code", "ratio", cutoff=40).withColumn("score", F.round("score", 4))
+    return best.best_in_block(left, right, "code", "ratio", cutoff=40, counters=counters).withColumn("score", F.round("score", 4))
 
 
 @check(
@@ -906,14 +906,14 @@ def best_choice(spark, sf):
      SELECT x AS left_name, y AS right_name, round(score, 4) AS score,
      CASE WHEN score >= 90 THEN 'high' WHEN score >= 80 THEN 'med' ELSE 'low' END AS tier FROM won WHERE score >= 75""",
 )
-def name_maps(spark, sf):
+def name_maps(spark, sf, counters=None):
     left = sql(spark, sf, f"SELECT upper(name) AS v FROM ({NAMES}) t WHERE name IS NOT NULL")
     right = sql(spark, sf, 
         """SELECT upper(concat(p_name, ' ', p_type)) AS v FROM part
            UNION SELECT replace(upper(concat(p_name, ' b/o INCORPORATED')), 'RED', 'REDD') FROM part
            UNION SELECT upper(concat(p_name, CASE WHEN p_size < 25 THEN 'Inc' ELSE ' Inc' END)) FROM part"""
     )
-    return names.name_maps(left, right).withColumn("score", F.round("score", 4))
+    return names.name_maps(left, right, counters).withColumn("score", F.round("score", 4))
 
 
 # --- statistics -----------------------------------------------------------------------------------------------

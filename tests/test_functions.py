@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinlink.functions import cast, encode, similarity, text
+from kinlink.functions import cast, edits, encode, similarity, text, wordsets
 
 ABBREVIATIONS = {"STR": "STREET", "STREET": "ST", "AVENUE": "AVE", "PO BOX": "POB", "B/O": "$BO"}
 
@@ -96,18 +96,55 @@ def lcs_by_table(a, b):
 @given(st.lists(st.tuples(st.text("AB é😀", max_size=80), st.text("AB é😀", max_size=80)), min_size=1, max_size=30))
 def test_lcs_equals_the_table(pairs):
     a, b = zip(*pairs)
-    assert similarity.lcs_lengths(a, b).tolist() == [lcs_by_table(x, y) for x, y in pairs]
+    assert edits.lcs_lengths(a, b).tolist() == [lcs_by_table(x, y) for x, y in pairs]
+
+
+def test_lcs_of_long_texts():
+    rng = random.Random(8)
+    pairs = [("", "AB"), ("A" * 200, "A" * 130), ("AB" * 63, "BA" * 64)]
+    for size in (1, 62, 63, 64, 126, 127, 190, 400):
+        one = "".join(rng.choices("AB é😀", k=size))
+        pairs += [(one, "".join(rng.choices("AB xé", k=rng.randint(1, 300)))), (one, one[::-1]), (one, one[1:] + "Z")]
+    a, b = zip(*pairs)
+    assert edits.lcs_lengths(a, b).tolist() == [lcs_by_table(x, y) for x, y in pairs]
+    long = "".join(rng.choices("ABCDEFGH", k=5000))
+    assert edits.lcs_lengths([long, long], [long[:2000] + "Z" + long[2500:], "Q" + long]).tolist() == [4500, 5000]
 
 
 def test_indel_scores():
-    got = similarity.indel_scores(["", "abc", None, "abcd", "abc"], ["", "abc", "x", "abxd", ""])
+    got = edits.indel_scores(["", "abc", None, "abcd", "abc"], ["", "abc", "x", "abxd", ""])
     assert got.tolist() == [100.0, 100.0, 0.0, 75.0, 0.0]
 
 
 def test_token_set_scores():
     a = ["mets new york", "abc def", "", "a b", "fuzzy was a bear"]
     b = ["york mets", "abc xyz", "x", "c d", "fuzzy fuzzy was a bear"]
-    assert np.allclose(similarity.token_set_scores(a, b), [100.0, 60.0, 0.0, 100 / 3, 100.0])
+    assert np.allclose(wordsets.token_set_scores(a, b), [100.0, 60.0, 0.0, 100 / 3, 100.0])
+
+
+def word_set_by_hand(x, y):
+    one, two = set(x.split()), set(y.split())
+    if not one or not two:
+        return 0.0
+    both = " ".join(sorted(one & two))
+    rests = [" ".join(sorted(w)) for w in (one - two, two - one)]
+    if both and not all(rests):
+        return 100.0
+    full = [f"{both} {r}".strip() for r in rests]
+    sides = [full, *([both, f] for f in full if both)]
+    return max(100.0 * 2 * lcs_by_table(p, q) / max(len(p) + len(q), 1) for p, q in sides)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("AB é", max_size=30), st.text("AB é", max_size=30)), min_size=1, max_size=30))
+def test_word_sets_equal_the_definition(pairs):
+    a, b = zip(*pairs)
+    got, want = wordsets.token_set_scores(a, b), [word_set_by_hand(x, y) for x, y in pairs]
+    # a longer common subsequence may cross the shared part, which the score does not look at
+    assert np.all(got <= np.array(want) + 1e-9)
+    plain = [k for k, (x, y) in enumerate(pairs) if not set(x.split()) & set(y.split())]
+    assert np.allclose(got[plain], np.array(want)[plain])
+    assert len(wordsets.token_set_scores([], [])) == 0
 
 
 def test_native_ratio_agrees(spark):

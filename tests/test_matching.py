@@ -3,8 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from kinlink.functions.similarity import indel_scores
-from kinlink.operators import matching, names
+from kinlink.functions.edits import indel_scores
+from kinlink.functions.wordsets import token_set_scores
+from kinlink.operators import best, matching, names
 from kinlink.operators import assign as assigning
 from kinlink.operators.assign import assign
 from kinlink.operators.components import components
@@ -314,6 +315,42 @@ def test_output_and_leftovers(spark):
     assert [tuple(r) for r in matching.unmatched(left, matches, "record_id", "left_id").collect()] == [(2, "b", False)]
 
 
+SCORES = {
+    "ratio": indel_scores,
+    "token_sort": lambda a, b: indel_scores(*([" ".join(sorted(t.split())) for t in side] for side in (a, b))),
+    "token_set": token_set_scores,
+}
+
+
+@pytest.mark.parametrize("scorer", list(SCORES))
+@pytest.mark.parametrize("cutoff", [0.0, 60.0])
+def test_best_choice_equals_scoring_every_pair(scorer, cutoff):
+    rng = random.Random(len(scorer))
+    words = ["".join(rng.choices("ABCDEÉ", k=rng.randint(1, 6))) for _ in range(25)]
+    own, other = (
+        np.array(sorted({*[" ".join(rng.choices(words, k=rng.randint(0, 4))) for _ in range(n)], " ", "A"}), dtype=object)
+        for n in (90, 160)
+    )
+    grid = SCORES[scorer](np.repeat(own, len(other)), np.tile(other, len(own))).reshape(len(own), -1)
+    pairs = best.SCORERS[scorer](own, other)
+    bound = pairs.bound(slice(0, len(own)))
+    assert np.all(bound >= grid)
+    top, score, scored = best.first_best(bound, pairs.score, cutoff)
+    kept = grid.max(axis=1) >= cutoff
+    assert top.tolist() == np.where(kept, grid.argmax(axis=1), -1).tolist()
+    assert score[kept].tolist() == grid.max(axis=1)[kept].tolist()
+    assert scored < grid.size / 4
+
+
+def test_best_choice_counts_its_work(spark):
+    names_ = [(chr(65 + i % 7), f"{chr(65 + i % 7)} SHOP {i * i}") for i in range(140)]
+    a = spark.createDataFrame(names_, "code string, value string")
+    counters = {k: spark.sparkContext.accumulator(0) for k in ("pairs", "scored")}
+    got = best.best_in_block(a, a, "code", "ratio", counters=counters).collect()
+    assert len(got) == 140 and all(r["left_value"] == r["right_value"] and r["score"] == 100.0 for r in got)
+    assert counters["pairs"].value == 140 * 20 and counters["scored"].value < 140 * 10
+
+
 def test_name_maps(spark):
     left = spark.createDataFrame([("ACME BAKERY",), ("ACME BAKERY CO",), ("SAME",), ("ZZTOP",)], "n string")
     right = spark.createDataFrame([("ACME BAKERY INN",), ("SAME",)], "n string")
