@@ -1,7 +1,8 @@
 """Personal data: exact patterns, and a linear-chain conditional random field over word shapes that adds to them.
 
-The field runs over stretches of words around those that hold a digit, an at sign, a plus or an equals sign; by its
-definition all other words are outside. It is fitted from a small labelled table (``training_table`` makes one by rule; any
+The field runs over stretches of words around marked ones: those that hold a digit of any script, an at sign, a plus or an
+equals sign, that follow a name such as ``password:``, that are long or have capitals inside, or that spell an address out
+(``at`` and ``dot``); by its definition all other words are outside. It is fitted from a small labelled table (``training_table`` makes one by rule; any
 other may be given) and decoded by Viterbi, many stretches in step. Its spans never replace those of the patterns;
 one that lies wholly within them is left out, any other is added beside them.
 """
@@ -40,7 +41,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@+=]")
 _WORD = re.compile(r"\S+")
-_MARKED = re.compile(r"(?<!\S)[^\s0-9@+=]*+[0-9@+=]\S*+")
+_MARKED = re.compile(r"(?<!\S)[^\s\d@+=]*+[\d@+=]\S*+")
+#: A long word; whether it is marked is for ``_odd`` to say.
+_LONG = re.compile(r"(?<!\S)\S{12,}+")
+#: Names that announce a secret.
+CUES = frozenset("password passwd passphrase passcode pwd pin secret token key apikey api_key secret_key access_key private_key credentials".split())
+_CUE = re.compile(r"(?<!\S)[\"'(\[]{0,2}(?:[A-Za-z]{1,20}[_-]){0,3}(?:password|passwd|passphrase|passcode|pwd|pin|secret|token|key|apikey|credentials)[\"']?:(?!\S)", re.I)
+_SPELLED = re.compile(r"(?<!\S)(?:[\[({]?dot[\])}]?)(?!\S)", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -96,6 +103,17 @@ def word_shape(word: str) -> str:
 _EDGES = "\"'()[]{}<>.,;:!?"
 
 
+def _turns(core: str) -> int:
+    """How often a capital stands behind a small letter."""
+    return sum(a.islower() and b.isupper() for a, b in zip(core, core[1:]))
+
+
+def _odd(core: str) -> bool:
+    """Whether a word of letters alone may be a key: very long, or with capitals inside."""
+    turns = _turns(core)
+    return turns >= 3 or (len(core) >= 16 and turns > 0) or (len(core) >= 24 and core.isascii() and core.isalpha())
+
+
 def _about(word: str) -> list[str]:
     core = word.strip(_EDGES)
     digits = sum(c.isdigit() for c in core)
@@ -113,6 +131,15 @@ def _about(word: str) -> list[str]:
         f"k:{core.rpartition('=')[0].lower()}" if "=" in core else "",
         f"r:{digits * 3 >= len(core)}{len(core) >= 12}{'=' in core}{'@' in core}",
         f"c:{compact.isdigit() and 12 <= len(compact) <= 19 and compact.isascii() and luhn(compact)}{min(digits, 20)}",
+        f"u:{core.lower() in CUES or re.split('[_-]', core.lower())[-1] in CUES}{word[-1:] if word[-1:] in ':=' else ''}",
+        f"a:{core.lower()}" if core.lower() in ("at", "dot") else "",
+        f"b:{word.lower()}" if word.lower() in ("[at]", "(at)", "[dot]", "(dot)", "{at}", "{dot}") else "",
+        f"o:{min(_turns(core), 4)}{letters == len(core)}{min(len(core), 40) // 8}",
+        f"t:{_turns(core) > 2}{_turns(core) * 5 >= len(core)}{letters == len(core)}" if _turns(core) else "",
+        f"g:{core.count('-')}{[len(p) for p in core.split('-')][:5]}" if digits and "-" in core else "",
+        f"i:{core.count(':')}{all(c in '0123456789abcdefABCDEF:' for c in core)}" if ":" in core else "",
+        f"y:{word[:1]}{core.count(',')}{core.count('.')}" if digits and word[:1] in "$€£¥" else "",
+        f"l:{len(core) in (7, 8, 10, 12, 13, 40, 64)}{len(core) if len(core) in (7, 40, 64) else ''}" if digits else "",
         f"v:{core.count('.')}{digits > 0}{letters > 0}{[len(p) for p in core.split('.')][:5]}",
     ]
     return [x for x in own if x]
@@ -123,12 +150,13 @@ def features(words: list[str]) -> list[list[int]]:
     about = [_about(w) for w in words]
     out = []
     for i, own in enumerate(about):
-        beside = [f"{step}{x}" for step in (-2, -1, 1) if 0 <= i + step < len(words) for x in about[i + step] if x[0] in "swd"]
-        out.append([crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in own + beside])
+        beside = [f"{step}{x}" for step in (-2, -1, 1) if 0 <= i + step < len(words) for x in about[i + step] if x[0] in "swduab"]
+        spelled = [f"2{x}" for x in (about[i + 2] if i + 2 < len(words) else ()) if x[0] in "ab"]
+        out.append([crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in own + beside + spelled])
     return out
 
 
-def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], list[str]]]:
+def training_table(rows: int = 3000, seed: int = 5) -> list[tuple[list[str], list[str]]]:
     """Labelled stretches made by rule: (words, label of each word), ``-`` for words that are not personal data."""
     rng = np.random.default_rng(seed)
     pick = lambda *choices: choices[rng.integers(len(choices))]
@@ -142,13 +170,21 @@ def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], lis
 
     def plain() -> str:
         word = letters(rng.integers(1, 12))
+        if rng.random() < 0.2:
+            return pick("at", "and", "or", "the", "to", "in", "use", "call", "is", "from", "with", "on")
         return pick(word, word, word, word.title(), word.upper(), word + ".", word + ",", word + "é", word + "&&&", word + "!!")
 
     def split_number(text: str) -> list[str]:
         return text.split(" ")
 
+    def other_digits(text: str) -> str:
+        zero = pick("٠", "०", "０")
+        return "".join(chr(ord(zero) + int(c)) if c in "0123456789" else c for c in text)
+
     def private() -> tuple[list[str], str]:
         kind = KINDS[rng.integers(5)]
+        if rng.random() < 0.3:
+            return rarer(kind), kind
         if kind == "email":
             return [f"{letters(5)}{pick('', '.', '_')}{number(2)}@{letters(5)}{pick('.com', '.org', '.example.net')}"], kind
         if kind == "ip":
@@ -168,7 +204,67 @@ def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], lis
         )
         return secret, kind
 
+    def mixed_key(n: int) -> str:
+        return letters(n, capital + capital.lower())
+
+    def rarer(kind: str) -> list[str]:
+        """What the patterns cannot see. Words before a colon or an equals sign are no part of it."""
+        a, b, c = number(3), number(3), number(4)
+        if kind == "email":
+            at, dot = pick(("at", "dot"), ("at", "dot"), ("[at]", "[dot]"), ("(at)", "(dot)"))
+            more = [dot, pick("co", "ac")] if rng.random() < 0.2 else []
+            return [letters(rng.integers(3, 8)), at, letters(rng.integers(4, 9)), *more, dot, pick("com", "org", "net", "uk")]
+        if kind == "ip":
+            groups = [letters(rng.integers(1, 5), "0123456789abcdef") for _ in range(8)]
+            return [pick(":".join(groups), ":".join(groups[:3]) + "::" + groups[3], "2001:db8::" + groups[4])]
+        if kind == "card":
+            digits = other_digits(card())
+            return pick([digits], [digits[i : i + 4] for i in range(0, len(digits), 4)])
+        if kind == "phone":
+            return split_number(pick(f"{a}-{b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", other_digits(f"+{number(2)} {a} {b} {c}"), f"0{a}/{b}{c}"))
+        word = letters(rng.integers(8, 26))
+        name = pick("password", "Password", "passwd", "passphrase", "secret", "token", "pwd", "key", "api_key", "PIN", letters(3, capital) + "_SECRET", letters(4) + "_token")
+        key = mixed_key(rng.integers(20, 44))
+        return pick(
+            [name + ":", pick(word, word.title(), key, word + number(2))],
+            [name + ":", pick(word, key)],
+            [name, "=", pick("'", '"', "") + pick(word, key)],
+            [name + "=" + pick(word, key)],
+            [key],
+            [key],
+            [f"{number(3)}-{number(2)}-{number(4)}"],
+        )
+
     def harmless() -> list[str]:
+        hexes = "0123456789abcdef"
+        digits = number(rng.integers(12, 20))
+        digits = digits if not luhn(digits) else digits[:-1] + str((int(digits[-1]) + 1) % 10)
+        if rng.random() < 0.4:
+            common = ["required", "correct", "the", "this", "lost", "see", "an", "to", "reset", "wrong", "safe", "new"]
+            isbn = f"{pick('978', '979')}-{number(1)}-{number(2)}-{number(6)}-{number(1)}"
+            long_word = letters(rng.integers(12, 40))
+            # a word of several names, as in code or a brand
+            names = "".join(letters(rng.integers(3, 8)).title() for _ in range(rng.integers(2, 6)))
+            return pick(
+                [pick("$", "€", "£") + f"{rng.integers(1, 900)},{number(3)}" + pick("", ".00", f".{number(2)}")],
+                [f"{rng.integers(1, 900)},{number(3)}{pick('', '.' + number(2))}", pick("USD", "EUR", "dollars", "people")],
+                ["ISBN" + pick("", ":", "-13:"), pick(isbn, "978" + number(10), number(9) + pick("X", number(1)))],
+                [pick("commit", "revision", "rev", "sha", "Commit", "commit:"), letters(pick(40, 40, 7, 8, 12), hexes)],
+                [pick("sha256", "sha256:", "checksum", "checksum:", "digest", "md5"), letters(pick(64, 32), hexes)],
+                [f"{rng.integers(10, 24)}:{rng.integers(10, 60)}:{rng.integers(10, 60)}"],
+                [pick(long_word, long_word + "-" + letters(6))],
+                [long_word.title()],
+                [names],
+                ["the", pick("password", "key", "token", "secret", "PIN"), pick("is", "to", "of", "was", "for"), pick(*common)],
+                pick([digits], [digits], [digits[i : i + 4] for i in range(0, len(digits), 4)]),
+                [pick("key", "secret", "token") + ":", pick(*common), letters(5), letters(4)],
+                [pick("meet", "look", "was", "arrive"), "at", letters(5), pick("and", "the", "in"), letters(4)],
+                ["a", "dot", "on", "the", letters(4)],
+                [letters(5), "at", "the", "dot", letters(5)],
+                ["https://" + letters(8) + ".org/" + letters(6) + "/" + letters(14)],
+                [letters(6) + "/" + letters(6) + "/" + letters(6)],
+                [pick("___", "---", "===", "***") * int(rng.integers(4, 12))],
+            )
         return pick(
             [f"{rng.integers(0, 10)}.{rng.integers(0, 10)}."],
             ["version", f"{rng.integers(1, 20)}.{rng.integers(0, 20)}.{rng.integers(0, 20)}"],
@@ -190,6 +286,7 @@ def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], lis
             [f"https://{letters(7)}.example.com/{letters(4)}/{number(4)}?id={number(3)}"],
             ["isbn", number(10)],
             [number(pick(6, 7, 8, 9, 10, 20, 24))],
+            [digits],
             ["licensed", "under", "CC", "BY-NC", "4.0."],
             [f"{letters(4)}/{number(2)}"],
         )
@@ -204,11 +301,14 @@ def training_table(rows: int = 1400, seed: int = 5) -> list[tuple[list[str], lis
                 more, kind = private()
                 more = [*more[:-1], more[-1] + pick("", "", "", ".", ",")]
                 # of a name, an equals sign and a value only the value is private
-                own = ["-", "-", kind] if "=" in more[1:2] else [kind] * len(more)
+                named = more[0].endswith(":") and len(more) == 2
+                own = ["-", "-", kind] if "=" in more[1:2] else ["-", kind] if named else [kind] * len(more)
             else:
                 more = harmless()
                 own = ["-"] * len(more)
             words, labels = words + more, labels + own
+            if rng.random() < 0.15:
+                words, labels = [*words, pick("at", "at", "or", "from", "dot")], [*labels, "-"]
             after = [plain()] if rng.random() < 0.8 else []
             words, labels = words + after, labels + ["-"] * len(after)
         table.append((words, labels))
@@ -222,11 +322,19 @@ def fit_field(table: list[tuple[list[str], list[str]]] | None = None) -> Field:
     return fit(labels, FEATURES, [(features(w), [labels.index(y) for y in ys]) for w, ys in rows if w])
 
 
+def _marked(text: str) -> list[tuple[int, int]]:
+    """Places of the marked words, in order."""
+    places = {m.span() for m in _MARKED.finditer(text)}
+    places |= {m.span() for pattern in (_CUE, _SPELLED) for m in pattern.finditer(text)}
+    places |= {m.span() for m in _LONG.finditer(text) if _odd(m.group().strip(_EDGES))}
+    return sorted(places)
+
+
 def _stretches(text: str) -> list[list[tuple[int, int]]]:
     """Places of the words around marked ones, overlapping stretches as one."""
     out: list[list[tuple[int, int]]] = []
-    for m in _MARKED.finditer(text):
-        before, at = [], m.start()
+    for begin, stop in _marked(text):
+        before, at = [], begin
         known = out[-1][-1][1] if out else 0
         while len(before) < REACH and at > known:
             end = at
@@ -240,8 +348,8 @@ def _stretches(text: str) -> list[list[tuple[int, int]]]:
             before.append((start, end))
             at = start
         gap = text[known:at].strip() if out else "x"
-        here = [*before[::-1], m.span()]
-        if out and out[-1][-1][1] >= m.end():
+        here = [*before[::-1], (begin, stop)]
+        if out and out[-1][-1][1] >= stop:
             continue  # already within reach of the one before
         if out and not gap:
             out[-1] += here
@@ -272,7 +380,7 @@ def find_all(texts: list[str], field: Field) -> list[list[tuple[str, int, int, b
     results, owners, places, rows, flat, lengths = [], [], [], [], [], []
     for i, text in enumerate(texts):
         results.append([(*s, True) for s in base_spans(text)])
-        for words in _stretches(text) if _SIGN.search(text) else ():
+        for words in _stretches(text):
             for own in features([text[a:b] for a, b in words]):
                 rows += [len(places)] * len(own)
                 flat += own

@@ -92,3 +92,55 @@ def test_secrets_around_base_spans(field):
 def test_masked_secret_leaves_nothing(spark, documents, field):
     df = documents([(1, "use password=ab4111111111111111cdef0123 now")])
     assert [r[0] for r in df.select(pii.masked("text", spark.sparkContext.broadcast(field))).collect()] == ["use <SECRET> now"]
+
+
+PRIVATE = [
+    ("call 555-123-4567 now", "phone", "555-123-4567"),
+    ("number 123-45-6789 was given", "secret", "123-45-6789"),
+    ("host 2001:db8::ff00:42:8329 is up", "ip", "2001:db8::ff00:42:8329"),
+    ("token = 'abcdefghijklmnopqrstuvwxyzabcdef' here", "secret", "abcdefghijklmnopqrstuvwxyzabcdef"),
+    ("my password: correcthorsebattery and more", "secret", "correcthorsebattery"),
+    ("JWT_SECRET: hunterandthefox please", "secret", "hunterandthefox"),
+    ("we use sKfjLqPzRtWmXcVbNaQe daily", "secret", "sKfjLqPzRtWmXcVbNaQe"),
+    ("write to ann at mail dot org today", "email", "ann at mail dot org"),
+    ("ring +\u0664\u0669 \u0663\u0660\u0662 \u0661\u0662\u0663 \u0664\u0665\u0666\u0667 soon", "phone", "+\u0664\u0669 \u0663\u0660\u0662 \u0661\u0662\u0663 \u0664\u0665\u0666\u0667"),
+]
+
+
+@pytest.mark.parametrize("text, kind, part", PRIVATE)
+def test_what_no_pattern_sees(field, text, kind, part):
+    assert [(k, text[a:b], base) for k, a, b, base in pii.find_all([text], field)[0]] == [(kind, part, False)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "costs $1,299.00 today",
+        "the ISBN 978-3-16-148410-0 of it",
+        "see commit 9fceb02d0ae598e95dc970b74767f19372d61af8 for it",
+        "the password is required for this",
+        "key: the first one",
+        "meet at noon on the dot please",
+        "The Donaudampfschifffahrtsgesellschaft sailed",
+        "use JavaScript and PowerPoint or YouTube",
+        "NullPointerExceptionHandler thrown in org.apache.Foo",
+        "rev 9fceb02 fixes",
+    ],
+)
+def test_what_is_left_alone(field, text):
+    assert pii.find_all([text], field) == [[]]
+
+
+def test_stretches_hold_each_word_once():
+    rng = random.Random(9)
+    bits = ["a", "12", "x@y", "password:", "dot", "aBcDeFgHiJkLmNoP", "plain", "x=1", "\n", "   ", "é"]
+    for _ in range(500):
+        text = " ".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))
+        places = [p for words in pii._stretches(text) for p in words]
+        assert places == sorted(set(places)) and {p for p in pii._marked(text)} <= set(places)
+        assert all(text[a:b].split() == [text[a:b]] for a, b in places)
+
+
+def test_marks_are_linear():
+    for text in ("a-" * 100_000, "key_" * 60_000 + ":", "aB" * 100_000, "dot " * 60_000, "[" * 200_000, "x" * 300_000):
+        pii._stretches(text)
