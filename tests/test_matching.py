@@ -161,6 +161,50 @@ def test_any_budget_of_assignment_equals_choosing_in_turn(spark):
         assert {(r["left_id"], r["right_id"], r["street_score"], r["name_score"]) for r in got} <= set(rows)
 
 
+_PAIR = "block string, left_class long, right_class long, street_score double, name_score double, used_global boolean"
+
+
+def _assigned(spark, pairs, lefts, rights, *budget):
+    p = spark.createDataFrame(pairs, _PAIR)
+    lm, rm = spark.createDataFrame(lefts, "left_class long, left_id long"), spark.createDataFrame(rights, "right_class long, right_id long")
+    return sorted((r["left_id"], r["right_id"]) for r in assign(p, lm, rm, *budget).collect())
+
+
+def test_more_turns_need_no_more_jobs(spark):
+    rng = random.Random(11)
+    pairs = [("b", i, 1000 + j, float(rng.randint(1, 9)), 1.0, False) for i in range(60) for j in range(60)]
+    lefts, rights = [(i, i) for i in range(60)], [(1000 + j, 1000 + j) for j in range(60)]
+    want, jobs = in_turn([(a, b, s, n) for _, a, b, s, n, _ in pairs]), []
+    try:
+        for budget in (1800, 60):
+            spark.sparkContext.setJobGroup(f"turns-{budget}", "")
+            assert _assigned(spark, pairs, lefts, rights, budget) == want
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"turns-{budget}")))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[1] < jobs[0] + 20  # two turns, and sixty
+
+
+def test_copies_cost_no_pairs(spark, monkeypatch):
+    """Two classes of many copies on either side are settled in one task, whose budget their row pairs exceed by far."""
+    monkeypatch.delattr(assigning, "_in_turns")
+    pairs = [("b", a, b, float(1 + (a + b) % 2), 1.0, False) for a in (0, 1) for b in (10_000, 10_001)]
+    lefts = [(i % 2, i) for i in range(300)]
+    rights = [(10_000 + i // 3 % 2, 10_000 + i) for i in range(200)]
+    left_of, right_of = ({c: [i for k, i in rows if k == c] for c, _ in rows} for rows in (lefts, rights))
+    want = in_turn([(i, j, s, n) for _, a, b, s, n, _ in pairs for i in left_of[a] for j in right_of[b]])
+    assert _assigned(spark, pairs, lefts, rights, 600) == want
+
+
+@pytest.mark.parametrize("budget", [10**6, 12, 1])
+def test_a_row_of_several_classes_chooses_once(spark, budget):
+    """Ids that repeat: a left row takes the best of all its classes, and a right row is taken once."""
+    pairs = [("b", a, b, float(1 + (a * b) % 3), float(1 + (a + b) % 2), False) for a in range(1, 5) for b in range(101, 106)]
+    lefts, rights = [(1, 1), (2, 1), (2, 2), (3, 3), (3, 3), (4, 2), (4, 9)], [(b, b - i) for b in range(101, 106) for i in (0, 1)]
+    rows = [(i, j, s, n) for _, a, b, s, n, _ in pairs for c, i in lefts if c == a for d, j in rights if d == b]
+    assert _assigned(spark, pairs, lefts, rights, budget) == in_turn(rows)
+
+
 LEFT = "left_id long, block string, street string, name string"
 RIGHT = "right_id long, block string, street string, name string, parent string"
 
