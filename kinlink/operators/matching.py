@@ -189,12 +189,10 @@ def vector_candidates(
     lefts, rights = (df.join(both, "block", "left_semi") for df in (lefts, rights))
     texts = [(lefts, c) for c in ("left_street", "left_name")] + [(rights, c) for c in ("street", "name", "parent")]
     vectors = text_vectors(texts, make_encoder)
-    a = attach_vectors(lefts, vectors, {"left_street": "vs", "left_name": "vn"})
-    b = attach_vectors(rights, vectors, {"street": "vs", "name": "vn", "parent": "vp"})
-    return vector_pairs(
-        a.select("block", "left_class", "vs", "vn"), b.select("block", "right_class", "parent", "vs", "vn", "vp"), rules,
-        counters=counters,
-    )
+    a = lefts.select("block", "left_class", F.col("left_street").alias("ts"), F.col("left_name").alias("tn"))
+    b = rights.select("block", "right_class", "parent", F.col("street").alias("ts"), F.col("name").alias("tn"), F.col("parent").alias("tp"))
+    a, b = (attach_vectors(df, vectors, {"ts": "vs"}) for df in (a, b))
+    return vector_pairs(a, b, rules, counters=counters, vectors=vectors)
 
 
 def attach_vectors(df: DataFrame, vectors: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -37,11 +37,15 @@ def compare_tiles(
     rows: int = 2048,
     cell: Sequence[str] = (),
     meet: str | None = None,
+    known: tuple[DataFrame, dict[str, list[str]]] | None = None,
 ) -> DataFrame:
     """Apply ``compare`` to every pair of tiles; keys must be unique within a block so that tiles stay even.
 
     ``cell`` are columns of both sides that part a block further; only cells for which the SQL condition ``meet`` holds, on
     the columns ``l_<cell>`` and ``r_<cell>``, are compared.
+
+    ``known`` is a table ``(text, vector)`` and the columns of texts of ``left`` and ``right``: each tile also gets the vectors
+    of its distinct texts, once, as the third argument of ``compare``.
     """
     cell = list(cell)
     sizes = _tile_counts(left, block, cell, "l", rows).join(_tile_counts(right, block, cell, "r", rows), block)
@@ -56,4 +60,23 @@ def compare_tiles(
         return compare(x, y)
 
     keys = [*block, *(f"{s}_{c}" for s in "lr" for c in cell), "_lt", "_rt"]
-    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(run, schema)
+    if known is None:
+        return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(run, schema)
+    vectors, texts = known
+    columns = {"left": [c for c in a.columns if c not in keys], "right": [c for c in b.columns if c not in keys]}
+    rows = [df.withColumnsRenamed({c: f"{side}__{c}" for c in columns[side]}) for side, df in (("left", a), ("right", b))]
+    both = rows[0].withColumn("_own", F.lit(True)).unionByName(rows[1].withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    named = F.explode(F.array_compact(F.array(*(F.col(f"{side}__{c}") for side in texts for c in texts[side])))).alias("text")
+    wanted = both.select(*(F.col(k).alias(k) for k in keys), named).distinct().join(vectors, "text")
+
+    def sides(mixed: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        tell = mixed["_own"].to_numpy(bool)
+        parts = []
+        for side, here in (("left", tell), ("right", ~tell)):
+            part = mixed.loc[here, [*keys, *(f"{side}__{c}" for c in columns[side])]]
+            parts.append(part.rename(columns={f"{side}__{c}": c for c in columns[side]}).reset_index(drop=True))
+        if any(part.empty for part in parts):
+            return pd.DataFrame({n: [] for n in names}, dtype=object)
+        return compare(*parts, vectors)
+
+    return both.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(sides, schema)

@@ -142,20 +142,39 @@ def _in_cells(lefts: DataFrame, rights: DataFrame, wide: float, rows: int) -> tu
     return with_cells(lefts), with_cells(rights), True
 
 
-def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule], tile_rows: int = _ROWS, counters: dict | None = None) -> DataFrame:
+def _of_texts(column: pd.Series, texts: pd.Index, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows of the distinct texts of a column and the number of each row's own; a missing text is a row of zeros."""
+    which, firsts = pd.factorize(texts.get_indexer(column))
+    return np.where((firsts >= 0)[:, None], rows[firsts], 0.0), which
+
+
+def vector_pairs(
+    lefts: DataFrame, rights: DataFrame, rules: list[Rule], tile_rows: int = _ROWS, counters: dict | None = None, vectors: DataFrame | None = None
+) -> DataFrame:
     """Scored pairs from ready vectors: ``vs``, ``vn`` and, on the right, ``vp`` with its ``parent`` text.
 
+    With ``vectors``, a table ``(text, vector)``, rows have their texts ``ts``, ``tn``, ``tp`` in place of ``vn`` and ``vp``, and a
+    tile gets the vector of each of its texts once; ``vs`` only cuts large blocks into cells.
+
     ``counters`` may hold accumulators: ``pairs`` counts pairs of distinct streets in tiles, ``streets`` the products of
     them that were computed, ``names`` the pairs of rows whose names were compared.
     """
     least = min(r.street for r in rules)
     tell = counters or {}
 
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        size = len(y["vs"].iloc[0])
-        (own_street, own), (street, other) = _distinct(x["vs"], size), _distinct(y["vs"], size)
-        (own_name, name_of), (names, theirs), (parents, parent_of) = (_distinct(c, size) for c in (x["vn"], y["vn"], y["vp"]))
-        no_name, no_parent = (c.isna().to_numpy() for c in (y["vn"], y["vp"]))
+    def compare(x: pd.DataFrame, y: pd.DataFrame, known: pd.DataFrame | None = None) -> pd.DataFrame:
+        if known is None:
+            size = len(y["vs"].iloc[0])
+            distinct, street_of, own_name_of, parent_text = (lambda c: _distinct(c, size)), "vs", "vn", "vp"
+        else:
+            texts = pd.Index(known["text"])
+            rows = unit_rows(known["vector"], len(known["vector"].iloc[0]))
+            distinct, street_of, own_name_of, parent_text = (lambda c: _of_texts(c, texts, rows)), "ts", "tn", "tp"
+        (own_street, own), (street, other) = distinct(x[street_of]), distinct(y[street_of])
+        (own_name, name_of), (names, theirs), (parents, parent_of) = (
+            distinct(c) for c in (x[own_name_of], y[own_name_of], y[parent_text])
+        )
+        no_name, no_parent = (y[c].isna().to_numpy() for c in (own_name_of, parent_text))
         i, j, score, computed = near_rows(own_street, street, least)
         compared, found = 0, []
         for left, right, pair in _expanded(i, j, own, other):
@@ -189,8 +208,12 @@ def vector_pairs(lefts: DataFrame, rights: DataFrame, rules: list[Rule], tile_ro
 
     wide = reach(least)
     lefts, rights, cut = _in_cells(lefts, rights, wide, tile_rows)
+    known = None
+    if vectors is not None:
+        lefts, rights = lefts.drop("vs"), rights.drop("vs")
+        known = vectors, {"left": ["ts", "tn"], "right": ["ts", "tn", "tp"]}
     far = f"abs(l_{{0}} - r_{{0}}) - 1 >= {_CELLS} + {_SLACK}"
     meet = " AND ".join(f"NOT ({far.format(c)})" for c in ("_c", "_d")) if cut else None
     return compare_tiles(
-        lefts, rights, ["block"], "left_class", "right_class", compare, _SCHEMA, tile_rows, ["_c", "_d"] if cut else [], meet
+        lefts, rights, ["block"], "left_class", "right_class", compare, _SCHEMA, tile_rows, ["_c", "_d"] if cut else [], meet, known
     )

@@ -347,6 +347,27 @@ def test_vector_pairs_of_a_large_block_in_cells(spark):
     assert counters["pairs"].value < 4 * (30 * 25)  # some cells never meet; those that do hold distinct streets only
 
 
+@pytest.mark.parametrize("rows", [3, 100])
+def test_tiles_get_the_vector_of_each_text_once(spark, rows):
+    """Texts and a table of vectors give the pairs of ready vectors, whatever the tiles, and rows carry no vectors."""
+    from kinlink.functions.encode import hashed_trigrams
+
+    rng = random.Random(2)
+    names, streets = ["ACME BAKERY", "ACME BAKERIES", "RIVER GRILL", "BLUE DOOR"], ["12 MAIN ST", "12 MAIN STREET", "9 OAK AVE"]
+    a = [(str(i % 2), i, rng.choice(streets), rng.choice(names)) for i in range(31)]
+    b = [(str(i % 2), i, rng.choice([None, *names]), rng.choice(streets), rng.choice([None, *names])) for i in range(29)]
+    vectors = spark.createDataFrame([(t, hashed_trigrams([t])[0].tolist()) for t in names + streets], "text string, vector array<float>")
+    left = spark.createDataFrame(a, "block string, left_class long, ts string, tn string")
+    right = spark.createDataFrame(b, "block string, right_class long, parent string, ts string, tn string").selectExpr("*", "parent AS tp")
+    rule = [Rule("", 0.5, 0.5, 0.5)]
+    ready = [matching.attach_vectors(df, vectors, {"ts": "vs", "tn": "vn"}) for df in (left, right)]
+    ready[1] = matching.attach_vectors(ready[1], vectors, {"tp": "vp"})
+    keys = lambda df: sorted(df.collect(), key=lambda r: r[:3])
+    want = keys(matching.vector_pairs(*(df.drop("ts", "tn", "tp") for df in ready), rule, rows))
+    own, other = (matching.attach_vectors(df, vectors, {"ts": "vs"}) for df in (left, right))
+    assert keys(matching.vector_pairs(own, other, rule, rows, vectors=vectors)) == want and want
+
+
 def test_output_and_leftovers(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "record_id long, x string")
     right = spark.createDataFrame([(7, "c"), (8, "d")], "record_id long, x string")
