@@ -5,14 +5,15 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Encoder = Callable[[list[str]], np.ndarray]
 
 DIMENSIONS = 256
-_CHARACTERS = 1_000_000  # of texts whose windows are laid out at once; a longer text comes alone
+_CHARACTERS = 250_000  # of texts whose windows are laid out at once; a longer text comes alone
+_TEXTS = 1024  # encoded at once
 
 
 @lru_cache(maxsize=200_000)
@@ -53,14 +54,18 @@ def hashed_trigrams(texts: list[str]) -> np.ndarray:
 def encode_distinct(texts: DataFrame, column: str, make_encoder: Callable[[], Encoder] | None = None) -> DataFrame:
     """One vector per distinct non-null text: ``(column, vector)``.
 
-    ``make_encoder`` runs once per task, so a model is loaded there and fed whole Arrow batches.
+    ``make_encoder`` runs once per task, so a model is loaded there; it is fed up to 1,024 texts at a time.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make_encoder() if make_encoder else hashed_trigrams
         for batch in batches:
-            vectors = encode(batch[column].tolist())
-            yield pd.DataFrame({column: batch[column], "vector": list(np.asarray(vectors, dtype=np.float32))})
+            for start in range(0, batch.num_rows, _TEXTS):
+                some = batch.column(0).slice(start, _TEXTS)
+                vectors = np.ascontiguousarray(encode(some.to_pylist()), dtype=np.float32)
+                ends = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1])
+                lists = pa.ListArray.from_arrays(ends, pa.array(vectors.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([some, lists], names=[column, "vector"])
 
     distinct = texts.select(column).where(F.col(column).isNotNull()).distinct()
-    return distinct.mapInPandas(run, f"`{column}` string, vector array<float>")
+    return distinct.mapInArrow(run, f"`{column}` string, vector array<float>")

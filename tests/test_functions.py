@@ -168,3 +168,12 @@ def test_encoder_is_pluggable(spark):
     assert sorted((r["t"], r["vector"]) for r in made) == [("a", [1.0, 1.0]), ("bb", [2.0, 1.0])]
     hashed = encode.hashed_trigrams(["ACME", "ACME", ""])
     assert np.allclose(hashed[0], hashed[1]) and np.allclose((hashed**2).sum(axis=1), 1.0)
+
+
+def test_encoder_gets_bounded_batches(spark):
+    def sizes():
+        return lambda texts: np.full((len(texts), 1), len(texts), dtype=np.float32)
+
+    df = spark.range(0, 5000, 1, 1).selectExpr("CAST(id AS STRING) AS t").coalesce(1)
+    fed = [r["vector"][0] for r in encode.encode_distinct(df, "t", sizes).collect()]
+    assert len(fed) == 5000 and max(fed) <= 1024
