@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinlink.operators.blocking import add_match_keys
 from kinlink.operators.matching import match_output, remaining, unmatched
-from kinlink.operators.ordering import add_record_ids, number_rows
+from kinlink.operators.ordering import add_record_ids, by_shuffle, number_rows
 from kinlink.operators.stats import block_stats, phase_counts
 from kinlink.plans.cleaning import reference_cities, standardize_left, standardize_right, survivors
 from kinlink.plans.phases import run_phase
@@ -96,7 +96,7 @@ def link(
         now_left = remaining(now_left, found, ORDER, "left_id")
         now_right = remaining(now_right, found, "record_id", "right_id")
     placed = reduce(DataFrame.unionByName, placed)
-    matches = placed.join(ids, "left_id").withColumn("left_id", F.col("_record")).drop("_record")
+    matches = placed.join(by_shuffle(ids), "left_id").withColumn("left_id", F.col("_record")).drop("_record")
     matches = stages.run("matches", lambda: matches)
 
     stats, now_left, now_right = {}, left, right

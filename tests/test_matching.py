@@ -433,3 +433,32 @@ def test_null_texts_match_in_the_vector_phase_only_when_filled(spark):
     assert run_phase(left, right, PHASES[2]).count() == 0
     got = run_phase(left, right, PHASES[2], Settings(fill_missing=True)).collect()
     assert [(r["left_id"], r["right_id"], r["method"], r["phase"]) for r in got] == [(1, 2, "Method 3", 3)]
+
+
+def _broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_rows_reach_no_broadcast(spark):
+    """Tables that grow with the input meet by shuffle, however small they are here."""
+    left = spark.createDataFrame([("1", "9 OAK AVE", "ACME", i) for i in range(3)], "block string, street string, name string, left_id long")
+    right = left.selectExpr("block", "street", "name", "left_id + 10 AS right_id", "name AS parent")
+    lefts, rights = matching.left_classes(left), matching.right_classes(right)
+    assert not _broadcasts(matching.left_members(left, lefts)) and not _broadcasts(matching.right_members(right, rights))
+    matches = spark.createDataFrame([("1", 1, 11, 99.0, 90.0, True, "Method 1")], "block string, left_id long, right_id long, street_score double, name_score double, used_global boolean, method string")
+    assert not _broadcasts(matching.unmatched(left, matches, "left_id", "left_id"))
+    rows = spark.createDataFrame([(1, "a"), (11, "b")], "record_id long, x string")
+    assert not _broadcasts(matching.match_output(matches, rows, rows))
+    vectors = spark.createDataFrame([("ACME", [1.0])], "text string, vector array<double>")
+    assert not _broadcasts(matching.attach_vectors(left, vectors, {"name": "vn"}))
+
+
+def test_assignment_broadcasts_blocks_only(spark):
+    pairs = [("b", i, 1000 + i, 1.0, 1.0, False) for i in range(9)]
+    p = spark.createDataFrame(pairs, "block string, left_class long, right_class long, street_score double, name_score double, used_global boolean")
+    lm = p.selectExpr("left_class", "left_class AS left_id")
+    rm = p.selectExpr("right_class", "right_class AS right_id")
+    assert _broadcasts(assign(p, lm, rm)) <= 3  # the sizes of blocks, for pairs and either side
+    assert not _broadcasts(assigning._weigh(p, lm, rm, "block"))
+    units = p.withColumn("unit", p["left_class"])
+    assert not _broadcasts(assigning._left_stars(units, lm, rm)) and not _broadcasts(assigning._right_stars(units, lm, rm))
