@@ -204,30 +204,46 @@ def attach_vectors(df: DataFrame, vectors: DataFrame, columns: dict[str, str]) -
     return df
 
 
-def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates) -> DataFrame:
-    """Matches of all rules in turn, each on the rows its predecessors left over; ``method`` names the rule."""
+def _open_classes(classes: DataFrame, used: DataFrame, free: DataFrame, class_id: str) -> DataFrame:
+    """Classes without those in ``used`` of which no row is left in ``free``."""
+    gone = used.select(class_id).join(by_shuffle(free.select(class_id).distinct()), class_id, "left_anti")
+    return classes.join(by_shuffle(gone), class_id, "left_anti")
+
+
+def cascade(left: DataFrame, right: DataFrame, rules: list[Rule], candidates: Candidates, apart: bool = False) -> DataFrame:
+    """Matches of all rules in turn, each on the rows its predecessors left over; ``method`` names the rule.
+
+    With ``apart`` each rule has candidates of its own, among the classes that still have rows when its turn comes.
+    """
     lefts, rights = materialize_all((left_classes(left), "left-classes"), (right_classes(right), "right-classes"))
-    scored = materialize(candidates(lefts, rights, rules), "scored")
-    used_left = lefts.join(by_shuffle(scored.select("left_class").distinct()), "left_class", "left_semi")
-    used_right = rights.join(by_shuffle(scored.select("right_class").distinct()), "right_class", "left_semi")
-    free_left, free_right = materialize_all(
-        (left_members(left, used_left), "left-members"), (right_members(right, used_right), "right-members")
-    )
     found = []
-    for at, rule in enumerate(rules, 1):
-        won = assign(passing(scored, rule), free_left, free_right)
-        won = materialize(won.withColumn("method", F.lit(rule.method)), "matches")
-        found.append(won)
-        if at < len(rules):  # stored, as the next rule reads them several times
-            free_left, free_right = materialize_all(
-                (free_left.join(by_shuffle(won), "left_id", "left_anti"), "left-members"),
-                (free_right.join(by_shuffle(won), "right_id", "left_anti"), "right-members"),
-            )
+    for step in [[r] for r in rules] if apart else [rules]:
+        scored = materialize(candidates(lefts, rights, step), "scored")
+        used_left = lefts.join(by_shuffle(scored.select("left_class").distinct()), "left_class", "left_semi")
+        used_right = rights.join(by_shuffle(scored.select("right_class").distinct()), "right_class", "left_semi")
+        left_rows, right_rows = left_members(left, used_left), right_members(right, used_right)
+        for won in found:
+            left_rows = left_rows.join(by_shuffle(won), "left_id", "left_anti")
+            right_rows = right_rows.join(by_shuffle(won), "right_id", "left_anti")
+        free_left, free_right = materialize_all((left_rows, "left-members"), (right_rows, "right-members"))
+        for rule in step:
+            won = assign(passing(scored, rule), free_left, free_right)
+            won = materialize(won.withColumn("method", F.lit(rule.method)), "matches")
+            found.append(won)
+            if len(found) < len(rules):  # stored, as the next rule reads them several times
+                free_left, free_right = materialize_all(
+                    (free_left.join(by_shuffle(won), "left_id", "left_anti"), "left-members"),
+                    (free_right.join(by_shuffle(won), "right_id", "left_anti"), "right-members"),
+                )
+        if len(found) < len(rules):
+            lefts = _open_classes(lefts, used_left, free_left, "left_class")
+            rights = _open_classes(rights, used_right, free_right, "right_class")
+            lefts, rights = materialize_all((lefts, "left-classes"), (rights, "right-classes"))
     return reduce(DataFrame.unionByName, found)
 
 
 def fuzzy_match(left: DataFrame, right: DataFrame, rules: list[Rule]) -> DataFrame:
-    return cascade(left, right, rules, fuzzy_candidates)
+    return cascade(left, right, rules, fuzzy_candidates, apart=True)
 
 
 def vector_match(left: DataFrame, right: DataFrame, rules: list[Rule], make_encoder=None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The angle between unit vectors is a metric, so two rows can be within an angle of each other only if their angles to any
 third vector, a pivot, differ by no more. Pivots are rows of the block itself: one, and the row farthest from it. They
-serve twice: a block larger than a tile is cut into cells by the angles to its pivots, and cells that are too far apart
-never meet; inside a tile rows are sorted by the angle to a pivot, and each run of rows meets only the rows whose angles
+serve twice: a block larger than a tile on both sides is cut into cells by the angles to its pivots, unless the reach is
+wide, and cells that are too far apart never meet; inside a tile rows are sorted by the angle to a pivot, and each run of rows meets only the rows whose angles
 are near its own. Streets come first, on distinct vectors; names are compared only under streets that pass.
 """
 
@@ -22,12 +22,16 @@ from kinlink.storage import materialize
 _ROWS, _STEP = 8192, 256
 #: Pairs under passing streets whose names are compared at once.
 _PAIRS = 200_000
+#: Products of a tile's distinct names that are kept, 8 bytes each.
+_GRID = 4_000_000
 #: Cosines are rounded to so many digits before they are compared with thresholds and with each other.
 _DIGITS = 9
 #: More than rounding errors of cosines and angles come to.
 _SLACK = 1e-6
 #: A cell is the reach of the weakest street threshold over this wide, in the angle to either pivot.
-_CELLS = 4
+_CELLS = 1
+#: With a wider reach few cells are too far apart, and cutting only repeats rows.
+_WIDEST = math.pi / 4
 
 _SCHEMA = (
     "block string, left_class bigint, right_class bigint, parent string, "
@@ -82,31 +86,61 @@ def _distinct(column: pd.Series, size: int) -> tuple[np.ndarray, np.ndarray]:
     return unit_rows(column.iloc[places], size), which
 
 
+def _grouped(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows sorted by their distinct vector, and where the rows of each vector begin and how many they are."""
+    counts = np.bincount(own)
+    return np.argsort(own, kind="stable"), np.cumsum(counts) - counts, counts
+
+
+def _counting(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For stretches of the given lengths, one after the other: which stretch each place is in, and the how manieth there."""
+    which = np.repeat(np.arange(len(lengths)), lengths)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def _expanded(i: np.ndarray, j: np.ndarray, own: np.ndarray, other: np.ndarray):
     """Pairs of rows for pairs of their distinct vectors, a bounded number of them at a time, and which pair each is of."""
-    mine, theirs = ([np.flatnonzero(x == k) for k in range(x.max(initial=-1) + 1)] for x in (own, other))
-    rows, size = [], 0
-    for pair, (p, q) in enumerate(zip(i.tolist(), j.tolist())):
-        step = max(_PAIRS // max(len(theirs[q]), 1), 1)
-        for start in range(0, len(mine[p]), step):
-            some = mine[p][start : start + step]
-            rows.append((np.repeat(some, len(theirs[q])), np.tile(theirs[q], len(some)), np.full(len(some) * len(theirs[q]), pair)))
-            size += len(rows[-1][0])
-            if size >= _PAIRS:
-                yield tuple(np.concatenate(x) for x in zip(*rows))
-                rows, size = [], 0
-    if rows:
-        yield tuple(np.concatenate(x) for x in zip(*rows))
-
-
-def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Rounded cosines of the given pairs of rows, each pair of distinct vectors once."""
-    key, back = np.unique(i * len(b) + j, return_inverse=True)
-    out = np.empty(len(key))
-    for start in range(0, len(key), 20_000):
-        p, q = np.divmod(key[start : start + 20_000], len(b))
-        out[start : start + 20_000] = np.einsum("ij,ij->i", a[p], b[q])
-    return np.round(out, _DIGITS)[back]
+    (mine, mine_at, mine_n), (theirs, theirs_at, theirs_n) = _grouped(own), _grouped(other)
+    for base in range(0, len(i), _PAIRS):
+        p, q = i[base : base + _PAIRS], j[base : base + _PAIRS]
+        step = np.maximum(_PAIRS // theirs_n[q], 1)  # left rows of a pair that are taken at once
+        pair, part = _counting(-(-mine_n[p] // step))
+        first = part * step[pair]
+        size = np.minimum(mine_n[p][pair] - first, step[pair]) * theirs_n[q][pair]
+        first += mine_at[p][pair]
+        ends, start = np.cumsum(size), 0
+        while start < len(pair):
+            end = max(int(np.searchsorted(ends, ends[start] - size[start] + _PAIRS, side="right")), start + 1)
+            which, at = _counting(size[start:end])
+            which = which + start
+            some = q[pair[which]]
+            left, right = np.divmod(at, theirs_n[some])
+            yield mine[first[which] + left], theirs[theirs_at[some] + right], pair[which] + base
+            start = end
+
+
+class _Products:
+    """Rounded cosines of pairs of rows. Where the grid of both sides is small, each pair is computed once for a tile."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self._a, self._b = a, b
+        self._grid = np.full(len(a) * len(b), np.nan) if len(a) * len(b) <= _GRID else None
+
+    def _computed(self, key: np.ndarray) -> np.ndarray:
+        out = np.empty(len(key))
+        for start in range(0, len(key), 20_000):
+            p, q = np.divmod(key[start : start + 20_000], len(self._b))
+            out[start : start + 20_000] = np.einsum("ij,ij->i", self._a[p], self._b[q])
+        return np.round(out, _DIGITS)
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        key = i * len(self._b) + j
+        if self._grid is None:
+            key, back = np.unique(key, return_inverse=True)
+            return self._computed(key)[back]
+        new = np.unique(key[np.isnan(self._grid[key])])
+        self._grid[new] = self._computed(new)
+        return self._grid[key]
 
 
 @F.pandas_udf(T.DoubleType())
@@ -117,13 +151,15 @@ def _angle(vector: pd.Series, pivot: pd.Series) -> pd.Series:
 
 
 def _in_cells(lefts: DataFrame, rights: DataFrame, wide: float, rows: int) -> tuple[DataFrame, DataFrame, bool]:
-    """Both sides with the cells of their streets' angles to two pivots; small blocks are one cell.
+    """Both sides with the cells of their streets' angles to two pivots; blocks of which one side fits a tile are one cell,
+    as there each row of the other side is in one tile anyway.
 
     The pivots are a right row and the right row farthest from it: one row for each large block.
     """
-    counts = [df.groupBy("block").agg(F.count("*").alias("n")) for df in (lefts, rights)]
-    large = counts[0].union(counts[1]).where(F.col("n") > rows).select("block").distinct()
-    large = materialize(large, "large-vector-blocks")
+    if wide > _WIDEST:
+        return lefts, rights, False
+    counts = [df.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > rows) for df in (lefts, rights)]
+    large = materialize(counts[0].join(counts[1].select("block"), "block").select("block"), "large-vector-blocks")
     if large.isEmpty():
         return lefts, rights, False
     known = rights.where("vs IS NOT NULL").join(large, "block", "left_semi")
@@ -176,13 +212,14 @@ def vector_pairs(
         )
         no_name, no_parent = (y[c].isna().to_numpy() for c in (own_name_of, parent_text))
         i, j, score, computed = near_rows(own_street, street, least)
+        by_name, by_parent = _Products(own_name, names), _Products(own_name, parents)
         compared, found = 0, []
         for left, right, pair in _expanded(i, j, own, other):
             at = score[pair]
             compared += len(left)
             name, parent = (
-                np.where(missing[right], -1.0, _products(own_name, values, name_of[left], which[right]))
-                for values, which, missing in ((names, theirs, no_name), (parents, parent_of, no_parent))
+                np.where(missing[right], -1.0, products(name_of[left], which[right]))
+                for products, which, missing in ((by_name, theirs, no_name), (by_parent, parent_of, no_parent))
             )
             keep = np.zeros(len(left), bool)
             for r in rules:

@@ -5,7 +5,7 @@ import pytest
 
 from kinlink.functions.edits import indel_scores
 from kinlink.functions.wordsets import token_set_scores
-from kinlink.operators import best, matching, names
+from kinlink.operators import best, matching, names, vectors
 from kinlink.operators import assign as assigning
 from kinlink.operators.assign import assign
 from kinlink.operators.components import components
@@ -347,6 +347,46 @@ def test_vector_pairs_of_a_large_block_in_cells(spark):
     assert counters["pairs"].value < 4 * (30 * 25)  # some cells never meet; those that do hold distinct streets only
 
 
+@pytest.mark.parametrize("pairs", [3, 50, 10_000])
+def test_pairs_of_vectors_stand_for_all_their_rows_in_bounded_steps(monkeypatch, pairs):
+    rng = np.random.default_rng(3)
+    own, other = (np.concatenate([np.arange(k), rng.integers(0, k, n)]) for k, n in ((20, 150), (3, 5)))
+    near = rng.random((20, 3)) < 0.4
+    i, j = np.nonzero(near)
+    monkeypatch.setattr(vectors, "_PAIRS", pairs)
+    steps = list(vectors._expanded(i, j, own, other))
+    got = [row for step in steps for row in zip(*(c.tolist() for c in step))]
+    want = {(a, b) for a in range(len(own)) for b in range(len(other)) if near[own[a], other[b]]}
+    assert {(a, b) for a, b, _ in got} == want and len(got) == len(want)
+    assert all((i[pair], j[pair]) == (own[a], other[b]) for a, b, pair in got)
+    assert max(len(step[0]) for step in steps) <= max(pairs, np.bincount(other).max())
+
+
+def test_blocks_are_cut_into_cells_only_where_both_sides_are_larger_than_a_tile(spark):
+    make = lambda n, side: spark.range(n).selectExpr("'b' AS block", f"id AS {side}_class", "array(float(id), 1f) AS vs")
+    few, many = make(4, "right"), make(9, "left")
+    assert not vectors._in_cells(many, few, 0.2, 5)[2] and vectors._in_cells(many, few, 0.2, 3)[2]
+    assert not vectors._in_cells(many, few, vectors.reach(0.6), 3)[2]
+
+
+def test_a_rule_of_strings_looks_only_at_classes_that_have_rows_left(spark):
+    left = [(i, "b", f"{i} MAIN ST", f"ACME {i}") for i in range(4)] + [(9, "b", "0 MAIN ST", "ACME 0")]
+    left = spark.createDataFrame(left, "left_id long, block string, street string, name string")
+    right = [(i, "b", f"{i} MAIN ST" if i < 3 else "77 MAIN ST", f"ACME {i}", None) for i in range(4)]
+    right = spark.createDataFrame(right, "right_id long, block string, street string, name string, parent string")
+    seen, rule_list = [], [Rule("first", 100, 100, 100), Rule("second", 60, 100, 100)]
+
+    def candidates(lefts, rights, some):
+        seen.append((lefts.count(), rights.count(), [r.method for r in some]))
+        return matching.fuzzy_candidates(lefts, rights, some)
+
+    got = {tuple(r) for r in matching.cascade(left, right, rule_list, candidates, apart=True).select("left_id", "right_id", "method").collect()}
+    assert got == {(0, 0, "first"), (1, 1, "first"), (2, 2, "first"), (3, 3, "second")}
+    assert seen == [(4, 4, ["first"]), (2, 1, ["second"])]  # 0 MAIN ST still has row 9
+    together = matching.cascade(left, right, rule_list, matching.fuzzy_candidates)
+    assert {tuple(r) for r in together.select("left_id", "right_id", "method").collect()} == got
+
+
 @pytest.mark.parametrize("rows", [3, 100])
 def test_tiles_get_the_vector_of_each_text_once(spark, rows):
     """Texts and a table of vectors give the pairs of ready vectors, whatever the tiles, and rows carry no vectors."""
