@@ -5,7 +5,7 @@ import pytest
 
 from kinlink.functions.edits import indel_scores
 from kinlink.functions.wordsets import token_set_scores
-from kinlink.operators import best, matching, names, vectors
+from kinlink.operators import best, lists, matching, names, vectors
 from kinlink.operators import assign as assigning
 from kinlink.operators.assign import assign
 from kinlink.operators.components import components
@@ -13,6 +13,7 @@ from kinlink.operators.rules import M1, M2, Rule, passing
 from kinlink.operators.similar import meetings, similar_values
 from kinlink.operators.tiles import compare_tiles
 from kinlink.operators.vectors import near_rows, vector_pairs
+from suite import checks
 
 
 def mutate(text, rng):
@@ -205,6 +206,84 @@ def test_a_row_of_several_classes_chooses_once(spark, budget):
     assert _assigned(spark, pairs, lefts, rights, budget) == in_turn(rows)
 
 
+@pytest.mark.parametrize("budget", [10**6, 60, 1])
+def test_lists_settle_as_pairs_do(spark, monkeypatch, budget):
+    """Blocks, stars and components of all sizes; ids that repeat, classes without rows, null blocks, classes and ids."""
+    monkeypatch.setattr(assigning, "PACKED_FROM", 0)
+    monkeypatch.setattr(lists, "PAIRS_AT_ONCE", 40)
+    rng = random.Random(17)
+    pairs, lefts, rights = [], [], []
+    for block in range(8):
+        base = block * 1000 - 1000
+        a, b = (range(base, base + rng.randint(2, 14)) for _ in range(2))
+        pairs += [(str(block), p, q, float(rng.randint(1, 2)), float(rng.randint(1, 3)), rng.random() < 0.5) for p in a for q in b if rng.random() < 0.7]
+        lefts += [(p, p + 100 * k) for p in a for k in range(rng.randint(0, 3))]
+        rights += [(q, q + 100 * k) for q in b for k in range(rng.randint(0, 3))]
+        pairs += [(str(block), base + 500, base + 500 + j, 1.0, float(j % 3), False) for j in range(5)]
+        pairs += [(str(block), base + 600 + j, base + 600, 1.0, 1.0, True) for j in range(5)]
+        lefts += [(base + 500, base + 500 + i) for i in range(7)] + [(base + 600 + j, base + 600 + j + 10 * i) for j in range(5) for i in range(2)]
+        rights += [(base + 500 + j, base + 500 + j + 10 * i) for j in range(5) for i in range(2)] + [(base + 600, base + 600 + i) for i in range(8)]
+    pairs += [("5", 4001, 1 << 40, 2.0, 3.0, True)]
+    rights += [(1 << 40, 1 << 40), rights[0], (rights[1][0], rights[0][1])]
+    lefts += [lefts[0], (lefts[1][0], lefts[0][1])]
+    rng.shuffle(pairs)
+    left_of, right_of = ({c: [i for k, i in rows if k == c] for c, _ in rows} for rows in (lefts, rights))
+    rows = [(i, j, s, n) for _, a, b, s, n, _ in pairs for i in left_of.get(a, []) for j in right_of.get(b, [])]
+    none = [(None, 1, 1, 9.0, 9.0, True), ("1", None, 1, 9.0, 9.0, True), ("1", 1, None, 9.0, 9.0, True)]
+    got = _assigned(spark, pairs + none, lefts + [(None, 1), (1, None)], rights + [(None, 1), (1, None)], budget)
+    assert len(rows) > 1000 and got == in_turn(rows)
+
+
+def test_many_pairs_are_moved_as_lists(spark, monkeypatch):
+    """No stored table has a row for each pair, and no other joins, sorts or groups them."""
+    monkeypatch.setattr(assigning, "PACKED_FROM", 1000)
+    written, real = [], assigning.materialize
+
+    def counting(df, label):
+        done = real(df, label)
+        written.append(done.count())
+        return done
+
+    monkeypatch.setattr(assigning, "materialize", counting)
+    rng = random.Random(4)
+    pairs = [("b", i, 1000 + j, float(rng.randint(1, 2)), float(rng.randint(1, 2)), False) for i in range(60) for j in range(60)]
+    side = [(i, i) for i in range(60)], [(1000 + j, 1000 + j) for j in range(60)]
+    assert _assigned(spark, pairs, *side, 400) == in_turn([(a, b, s, n) for _, a, b, s, n, _ in pairs])
+    assert written and max(written) <= len(pairs) / 8
+
+
+def test_lists_keep_pairs(spark):
+    rng = random.Random(6)
+    pairs = [(str(a % 3), a, b, float(rng.randint(1, 2)), 1.0, rng.random() < 0.5) for a in (-5, 1, 2, 1 << 62) for b in (-(1 << 62), -3, 0, 7, 300, 1 << 40, 1 << 62) if rng.random() < 0.9]
+    stored = lists.packed(spark.createDataFrame(pairs, _PAIR).coalesce(1)).cache()
+    columns = ["block", "left_class", "right_class", "street_score", "name_score", "used_global"]
+    back = lists.unpacked(stored.where(f"kind = {lists.LIST}"), *(c for c in columns if c != "right_class")).select(columns)
+    assert sorted(map(tuple, back.collect())) == sorted(pairs)
+    least = {p[1]: min(q[2] for q in pairs if q[1] == p[1]) for p in pairs}
+    met = lists.unpacked(stored.where(f"kind = {lists.MEETS}"), "block", "left_class").select("block", "left_class", "right_class")
+    assert set(map(tuple, met.collect())) == {(p[0], least[p[1]], p[2]) for p in pairs}
+
+
+def test_pairs_of_brands_equal_their_sql(spark, monkeypatch, tmp_path):
+    """Keys in two brands, equal rows, and nulls; pairs of classes of one row are made without grouping."""
+    rng = random.Random(9)
+    brands, given = ["Brand#11", "Brand#12", "Brand#13", "Brand#14", "Brand#15", "Brand#41", None], []
+    rows = [(rng.choice([None, *range(90)]), f"n{i}", rng.choice(brands), rng.choice(["A", "B", None]), rng.choice([1, 2, 3, None])) for i in range(200)]
+    part = spark.createDataFrame(rows + rows[:20], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+
+    def taken(pairs, own, other, budget):
+        given.append(pairs)
+        return pairs.selectExpr("block", "left_class AS left_id", "right_class AS right_id", "street_score", "name_score", "used_global").limit(0)
+
+    monkeypatch.setattr(assigning, "assign", taken)
+    checks.assign_large(spark, str(tmp_path))
+    columns = ["block", "left_class", "right_class", "street_score", "name_score"]
+    part.createOrReplaceTempView("part")
+    want = [(*r[:3], float(r[3]), float(r[4])) for r in spark.sql(checks._BRAND_PAIRS).select(columns).collect()]
+    assert len(want) > 1000 and sorted(map(tuple, given[0].select(columns).collect())) == sorted(want)
+
+
 LEFT = "left_id long, block string, street string, name string"
 RIGHT = "right_id long, block string, street string, name string, parent string"
 
