@@ -7,6 +7,7 @@ from kinlink.functions.edits import indel_scores
 from kinlink.functions.wordsets import token_set_scores
 from kinlink.operators import best, lists, matching, names, vectors
 from kinlink.operators import assign as assigning
+from kinlink.operators import components as connected
 from kinlink.operators.assign import assign
 from kinlink.operators.components import components
 from kinlink.operators.rules import M1, M2, Rule, passing
@@ -101,6 +102,17 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent} and components(table.limit(0)).count() == 0
 
 
+def test_components_in_a_task_and_in_rounds(spark, monkeypatch):
+    rng = random.Random(12)
+    edges = [(rng.randrange(-150, 150), rng.randrange(-150, 150)) for _ in range(130)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
+    table = spark.createDataFrame(edges, "node long, other long")
+    found = []
+    for most in (1_000, 10):
+        monkeypatch.setattr(connected, "EDGES_AT_ONCE", most)
+        found.append(sorted(map(tuple, components(table).collect())))
+    assert found[0] == found[1] and len(found[0]) > 150
+
+
 def test_turns_read_and_write_only_what_is_left(spark, monkeypatch):
     """One large component, many of one turn, and two stars, in one large block."""
     rng = random.Random(3)
